@@ -108,13 +108,17 @@ def join_forecast(requests: DataFrame, forecast: DataFrame, places: Sequence[str
 
 
 def new_names(rows: DataFrame, active: DataFrame) -> DataFrame:
-    """Names in ``rows`` that are not active yet."""
-    return distinct_names(rows).join(active.select("name"), "name", "left_anti")
+    """Names in ``rows`` that are not active yet.
+
+    Both sides are made distinct first: a name that fills a third of either
+    table then reaches the join as one row.
+    """
+    return distinct_names(rows).join(distinct_names(active), "name", "left_anti")
 
 
 def known_names(rows: DataFrame, active: DataFrame) -> DataFrame:
     """Names in ``rows`` that are active already."""
-    return distinct_names(rows).join(active.select("name"), "name", "left_semi")
+    return distinct_names(rows).join(distinct_names(active), "name", "left_semi")
 
 
 def minute_lookup(series: DataFrame, metadata: DataFrame) -> DataFrame:

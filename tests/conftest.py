@@ -1,0 +1,44 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from streamtide.session import apply_settings  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        apply_settings(SparkSession.builder.master("local[8]").appName("tests"))
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def values(spark):
+    """Evaluates a column over literal rows: values([(1,), (2,)], "x int", column)."""
+
+    def run(rows, schema, column):
+        frame = spark.createDataFrame(rows, schema).coalesce(1)
+        return [r[0] for r in frame.select(column.alias("result")).collect()]
+
+    return run
+
+
+def rows_of(frame, *columns):
+    """Rows as a sorted list of tuples; nulls first."""
+    picked = frame.select(*columns) if columns else frame
+    return sorted(
+        (tuple(r) for r in picked.collect()),
+        key=lambda t: tuple((x is not None, str(x)) for x in t),
+    )

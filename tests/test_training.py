@@ -1,0 +1,120 @@
+from datetime import datetime
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from streamtide.plans import training
+
+OBS = "hour_key string, place string, main string, wind string, temp double"
+SESSION = (
+    "name string, game string, dur double, daytime int, fps double, viewers double, "
+    "starttime timestamp"
+)
+
+
+def test_training_set(spark):
+    sessions = spark.createDataFrame([
+        ("n", "g", 10.0, 3, 60.0, 1400.0, datetime(2024, 1, 1, 12, 5)),
+        ("n", "g", 5.5, 4, 30.0, 1700.0, datetime(2024, 1, 2, 16)),
+        ("m", "g", 0.0, 5, 59.5, 499.0, datetime(2024, 1, 1, 13)),
+        ("lost", "g", 1.0, 1, None, 499.0, datetime(2024, 1, 1, 13)),
+        ("unknown", "g", 1.0, 1, 1.0, 2500.0, None),
+    ], SESSION)
+    obs = spark.createDataFrame([
+        ("2024010112", "p", "Rain", "3.6", 1.5), ("2024010112", "q", "Fog", "1", 2.0),
+        ("2024010113", "p", "Rain", "3.6", 1.5),
+    ], OBS)
+    rows = training.build_training_set(sessions, obs, ["p", "q"])
+    assert rows_of(rows) == [
+        (1, "m g 0.0 Abends 59.5 ", 0.0),
+        (1, "n g 15.5 Mittags 45.0 Rain 3.6 1.5 Fog 1 2.0", 2.0),
+        (1, "unknown g 1.0 Nachts 1.0 ", 3.0),
+    ]
+    floored = training.build_training_set(sessions, obs, ["p", "q"], strict=False, bucket="floor")
+    assert rows_of(floored, "text", "target")[0] == ("m g 0.0 Abends 59.5 Rain 3.6 1.5", 0.0)
+    assert rows_of(floored, "target") == [(0.0,), (1.0,), (2.0,)]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Three classes with words of their own; classes 7 and 2 occur equally often."""
+    data = []
+    for target, word, count in ((7.0, "alpha", 6), (2.0, "beta", 6), (0.0, "gamma", 9)):
+        data += [(1, f"{word} {word} common {i}", target) for i in range(count)]
+    return spark.createDataFrame(data, "id long, text string, target double")
+
+
+@pytest.fixture(scope="module")
+def model(rows):
+    return training.train(rows)
+
+
+def test_labels_by_frequency_then_alphabet(model):
+    assert list(model.stages[2].labels) == ["0.0", "2.0", "7.0"]
+    assert model.stages[1].getNumFeatures() == 1000
+
+
+def test_scores_are_classes_not_label_indexes(model, rows):
+    scored = training.score(model, rows)
+    joined = rows.join(scored.select("text", "viewer_class"), "text")
+    assert joined.where("target = viewer_class").count() == rows.count()
+    request = rows.select("id", "text").limit(1)
+    assert set(training.score(model, request).columns) == {
+        "id", "text", "probability", "viewer_class"
+    }
+
+
+def test_saved_model_scores_alike(spark, model, rows, tmp_path):
+    path = str(tmp_path / "model")
+    training.save_model(model, path)
+    training.save_model(model, path)
+    loaded = training.load_model(path)
+    assert rows_of(training.score(loaded, rows), "text", "viewer_class") == rows_of(
+        training.score(model, rows), "text", "viewer_class"
+    )
+
+
+def test_forest_settings():
+    forest = training.pipeline("rf").getStages()[-1]
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins(), forest.getSeed()) == (
+        500, 4, 16, 12345
+    )
+    with pytest.raises(ValueError):
+        training.pipeline("svm")
+
+
+def test_small_forest_scores_classes(rows, monkeypatch):
+    monkeypatch.setitem(training.FOREST, "numTrees", 10)
+    fitted = training.train(rows, "rf")
+    assert fitted.stages[-1].getNumTrees == 10
+    scored = training.score(fitted, rows)
+    assert scored.count() == rows.count()
+    assert scored.where("viewer_class in (0, 2, 7)").count() == rows.count()
+
+
+def test_predict(spark, model):
+    requests = spark.createDataFrame([
+        (1, "alpha x", "alpha", 60.0, "Morgens", 60.0, datetime(2024, 1, 1)),
+        (2, "gamma", "gamma", 30.0, "Abends", 30.0, datetime(2024, 1, 1)),
+    ], "id long, name string, game string, duration double, daytime string, fps double, day timestamp")
+    forecast = spark.createDataFrame(
+        [("p", 0, "2024-01-01 06:00:00", "Clear", 1.5, 2.0)],
+        "place string, pos int, dt_txt string, main string, wind double, temp double",
+    )
+    got = training.predict(requests, forecast, ["p"], model)
+    assert rows_of(got, "id", "text", "viewer_class", "range_text") == [
+        (1, "alpha_x alpha 60.0 Morgens 60.0 Clear 1.5 2.0", 7.0, "6500 bis 7500"),
+        (2, "gamma gamma 30.0 Abends 30.0 ", 0.0, "0 bis 500"),
+    ]
+
+
+def test_training_and_request_share_the_text(spark):
+    row = spark.createDataFrame(
+        [("n", "g", 1 / 3, "Abends", 60.0, None)],
+        "name string, game string, dur double, daytime string, fps double, weather string",
+    )
+    assert row.select(training.feature_text(2)).first()[0] == "n g 0.33 Abends 60.0 "
+    assert row.withColumn("fps", F.lit(None).cast("double")).select(
+        training.feature_text()
+    ).first()[0] is None
