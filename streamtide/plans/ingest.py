@@ -22,8 +22,7 @@ def ingest_metadata(
     )
     if latest_only:
         rows = rollups.latest_per_key(rows, ["channel_id"], ["created", "updated_at"])
-    bad = documents.corrupt_documents(documents.parse_documents(pages, schemas.STREAM_PAGE))
-    return rows, bad
+    return rows, documents.corrupt_documents(pages, schemas.STREAM_PAGE)
 
 
 def ingest_chat(messages: DataFrame, scores: DataFrame, key: str = "msg_id") -> DataFrame:

@@ -6,6 +6,8 @@ with its text in ``_corrupt_record``, so it can be counted and kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,24 +36,28 @@ def _parse(body: Column, schema: str) -> Column:
     )
 
 
-def parse_documents(documents: DataFrame, schema: str) -> DataFrame:
-    """Adds the parsed ``doc`` struct to the documents."""
-    return documents.withColumn("doc", _parse(F.col("body"), schema))
+def _part(body: Column, schema: str, pick: Callable[[Column], Column]) -> Column:
+    """A part of each document, null where the document cannot be parsed.
 
+    The document is bound to a lambda variable: named columns would be
+    substituted into every later use and each use would parse the text again.
+    """
+    def readable(doc: Column) -> Column:
+        return F.when(doc["_corrupt_record"].isNull(), pick(doc))
 
-def corrupt_documents(parsed: DataFrame) -> DataFrame:
-    """The quarantine: documents that could not be parsed."""
-    return parsed.where("doc is null or doc._corrupt_record is not null").drop("doc")
+    return F.get(F.transform(F.array(_parse(body, schema)), readable), F.lit(0))
 
 
-def readable_documents(parsed: DataFrame) -> DataFrame:
-    return parsed.where("doc._corrupt_record is null and doc is not null")
+def corrupt_documents(documents: DataFrame, schema: str) -> DataFrame:
+    """The quarantine: documents that cannot be parsed."""
+    doc = _parse(F.col("body"), schema)
+    return documents.where(F.coalesce(doc["_corrupt_record"].isNotNull(), F.lit(False)) | doc.isNull())
 
 
 def stream_rows(documents: DataFrame, polled_at: str = "landed_at") -> DataFrame:
     """One row per listed stream (S1), separator stripped (X3), typed by try_cast."""
-    pages = readable_documents(parse_documents(documents, schemas.STREAM_PAGE))
-    rows = pages.select(F.col(polled_at).alias("created"), F.inline("doc.streams"))
+    streams = _part(F.col("body"), schemas.STREAM_PAGE, lambda doc: doc["streams"])
+    rows = documents.select(F.col(polled_at).alias("created"), F.inline(streams))
     plain = {
         name: text.strip_separator(F.col(source))
         for name, source in {
@@ -80,22 +86,24 @@ def stream_rows(documents: DataFrame, polled_at: str = "landed_at") -> DataFrame
 
 def weather_rows(documents: DataFrame, obs_ts: str = "landed_at") -> DataFrame:
     """Current weather per place (S10), celsius (X27), hour key."""
-    parsed = readable_documents(parse_documents(documents, schemas.WEATHER_RESPONSE))
-    rows = parsed.select(
-        times.hour_key(F.col(obs_ts)).alias("hour_key"),
-        F.col("place"),
-        F.get("doc.weather", F.lit(0))["main"].alias("main"),
-        F.col("doc.wind.speed").alias("wind"),
-        classes.kelvin_to_celsius(F.col("doc.main.temp")).alias("temp"),
-        F.col(obs_ts).alias("obs_ts"),
+    observed = _part(F.col("body"), schemas.WEATHER_RESPONSE, lambda doc: F.struct(
+        F.get(doc["weather"], F.lit(0))["main"].alias("main"),
+        doc["wind"]["speed"].alias("wind"),
+        doc["main"]["temp"].alias("kelvin"),
+    ))
+    rows = documents.select("place", F.col(obs_ts).alias("obs_ts"), F.inline(F.array(observed)))
+    return rows.dropna(subset=["place", "main", "wind", "kelvin"]).select(
+        times.hour_key(F.col("obs_ts")).alias("hour_key"),
+        "place", "main", "wind",
+        classes.kelvin_to_celsius(F.col("kelvin")).alias("temp"),
+        "obs_ts",
     )
-    return rows.dropna(subset=["place", "main", "wind", "temp"])
 
 
 def forecast_rows(documents: DataFrame) -> DataFrame:
     """Forecast slots per place in document order (S11), celsius."""
-    parsed = readable_documents(parse_documents(documents, schemas.FORECAST_RESPONSE))
-    slots = parsed.select("place", F.posexplode("doc.list").alias("pos", "slot"))
+    listed = _part(F.col("body"), schemas.FORECAST_RESPONSE, lambda doc: doc["list"])
+    slots = documents.select("place", F.posexplode(listed).alias("pos", "slot"))
     return slots.select(
         "place",
         "pos",

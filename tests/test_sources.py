@@ -140,8 +140,14 @@ def test_forecast_documents(spark):
         (0, "2024-01-01 06:00:00", "Clear", 1.5, 0.0),
         (1, "2024-01-01 09:00:00", None, None, 1.0),
     ]
-    parsed = documents.parse_documents(docs, schemas.FORECAST_RESPONSE)
-    assert documents.corrupt_documents(parsed).count() == 1
+    assert documents.corrupt_documents(docs, schemas.FORECAST_RESPONSE).count() == 1
+
+
+def test_each_document_is_parsed_once(spark, tmp_path):
+    (tmp_path / "page.json").write_text(json.dumps({"streams": [stream()]}))
+    rows, _ = ingest.ingest_metadata(documents.read_documents(spark, str(tmp_path)))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_filters(spark):
