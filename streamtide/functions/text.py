@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def clean_name(c: Column) -> Column:
     """One token per name: blanks and commas become underscores."""
-    return F.regexp_replace(c, "[ ,]", "_")
+    return F.translate(c, " ,", "__")
 
 
 def commas_to_blanks(c: Column) -> Column:

@@ -86,24 +86,30 @@ def join_weather(
 
 def forecast_by_slot(forecast: DataFrame, places: Sequence[str]) -> DataFrame:
     """Forecast as one map per slot; the first entry of a place and slot wins."""
-    cell = F.concat_ws(" ", "main", F.col("wind").cast("string"), F.col("temp").cast("string"))
+    values = F.struct("main", "wind", "temp")
     complete = forecast.where(F.col("place").isin(*places)).dropna(subset=["main", "wind", "temp"])
-    first = complete.groupBy("place", "dt_txt").agg(F.min_by(cell, "pos").alias("cell"))
+    first = complete.groupBy("place", "dt_txt").agg(F.min_by(values, "pos").alias("slot"))
+    cell = F.concat_ws(
+        " ", "slot.main", F.col("slot.wind").cast("string"), F.col("slot.temp").cast("string")
+    )
     return first.groupBy("dt_txt").agg(
-        F.map_from_entries(F.collect_list(F.struct("place", "cell"))).alias("weather")
+        F.map_from_entries(F.collect_list(F.struct("place", cell))).alias("weather")
     )
 
 
-def join_forecast(requests: DataFrame, forecast: DataFrame, places: Sequence[str]) -> DataFrame:
+def join_forecast(requests: DataFrame, slots: DataFrame, places: Sequence[str]) -> DataFrame:
     """Requests with the forecast text of their slot.
 
-    One join on the slot covers all places; places without a forecast are skipped.
+    ``slots`` comes from ``forecast_by_slot``. One join on the slot covers all
+    places; places without a forecast are skipped. Hand in a stored table when
+    there are many requests: Spark then knows the size of the slots beforehand
+    and need not shuffle the requests.
     """
-    slots = forecast_by_slot(forecast, places).select(
+    texts = slots.select(
         "dt_txt", place_text(F.col("weather"), places, strict=False).alias("weather")
     )
     slot = classes.forecast_time(F.col("day"), F.col("daytime"))
-    joined = requests.withColumn("dt_txt", slot).join(slots, "dt_txt", "left")
+    joined = requests.withColumn("dt_txt", slot).join(texts, "dt_txt", "left")
     return joined.withColumn("weather", F.coalesce("weather", F.lit(""))).drop("dt_txt")
 
 

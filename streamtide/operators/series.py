@@ -21,8 +21,8 @@ def viewer_series(minutes: DataFrame) -> DataFrame:
 
 
 def time_ordered(series: DataFrame) -> DataFrame:
-    """O1"""
-    return series.orderBy("name", "series", "ts")
+    """O1; the value settles ties between runs."""
+    return series.orderBy("name", "series", "ts", "value")
 
 
 def sorted_files(rows: DataFrame, key: str) -> DataFrame:
@@ -31,6 +31,11 @@ def sorted_files(rows: DataFrame, key: str) -> DataFrame:
 
 
 def sort_ignoring_case(rows: DataFrame, field: str, reverse: bool = False) -> DataFrame:
-    """O4"""
+    """O4
+
+    The other columns settle ties, so that rows sharing a frequent value spread
+    over several range partitions.
+    """
     key = F.lower(F.col(field))
-    return rows.orderBy(key.desc() if reverse else key.asc())
+    rest = [c for c, dtype in rows.dtypes if not dtype.startswith("map")]
+    return rows.orderBy(key.desc() if reverse else key.asc(), *rest)

@@ -11,6 +11,7 @@ from streamtide import schemas
 from streamtide.operators import rollups
 
 GROUP = ["name", "day"]
+SALTS = 64
 BAGS = {
     "metadata": schemas.METADATA_ENTRY,
     "viewerspermin": schemas.VIEWERS_ENTRY,
@@ -36,22 +37,28 @@ def number_parts(entries: DataFrame, bag_limit: int) -> DataFrame:
     A group with more than ``bag_limit`` entries is spread by hash over as many
     parts as it needs, so no row of the wide table holds an unbounded list. The
     entry with the smallest hash is always in part 0, which therefore exists
-    for every group.
+    for every group. The join with the large groups is salted: a group of any
+    size reaches it through ``SALTS`` partitions.
     """
     entry = F.xxhash64(*[c for c in entries.columns if c not in GROUP])
     hashed = entries.withColumn("entry_hash", entry)
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     large = (
         hashed.groupBy(*GROUP)
         .agg(F.count(F.lit(1)).alias("entries"), F.min("entry_hash").alias("first_hash"))
         .where(F.col("entries") > bag_limit)
-        .select(*GROUP, F.ceil(F.col("entries") / bag_limit).alias("parts"), "first_hash")
+        .select(
+            *GROUP, F.ceil(F.col("entries") / bag_limit).alias("parts"), "first_hash",
+            F.explode(salts).alias("salt"),
+        )
     )
     spread = F.pmod("entry_hash", "parts").cast("int")
     part = F.when(F.col("parts").isNull() | (F.col("entry_hash") == F.col("first_hash")), 0)
+    salted = hashed.withColumn("salt", F.pmod("entry_hash", F.lit(SALTS).cast("long")))
     return (
-        hashed.join(large, GROUP, "left")
+        salted.join(large, [*GROUP, "salt"], "left")
         .withColumn("part", part.otherwise(spread))
-        .drop("entry_hash", "first_hash", "parts")
+        .drop("entry_hash", "first_hash", "parts", "salt")
     )
 
 
@@ -97,7 +104,7 @@ def stream_day(
         ),
     ])
     rows = bags.groupBy(*GROUP, "part").agg(
-        *[F.array_sort(F.collect_list(name)).alias(name) for name in BAGS]
+        *[F.sort_array(F.collect_list(name)).alias(name) for name in BAGS]
     )
     if how == "left":
         rows = rows.where(F.size("metadata") > 0)
@@ -117,17 +124,20 @@ def flatten(table: DataFrame, bag: str) -> DataFrame:
 def repeat_polls(entries: DataFrame, block: int = 100_000) -> DataFrame:
     """Metadata entries repeated ``polls`` times.
 
-    In two steps with a shuffle between them, so that one much repeated entry
-    is neither one huge list nor the work of one task.
+    Entries repeated more than ``block`` times are cut into blocks that are
+    spread over the tasks, so none is one huge list or the work of one task.
     """
-    starts = entries.withColumn(
-        "start", F.explode(F.sequence(F.lit(1).cast("long"), "polls", F.lit(block).cast("long")))
-    )
-    spread = starts.repartition(*[c for c in starts.columns if c != "polls"])
-    stop = F.least(F.col("start") + (block - 1), F.col("polls"))
-    return spread.withColumn("copy", F.explode(F.sequence("start", stop))).drop(
-        "start", "copy", "polls"
+    columns = [c for c in entries.columns if c != "polls"]
+    one, size = F.lit(1).cast("long"), F.lit(block).cast("long")
+    few = entries.where(F.col("polls") <= block).withColumn("first", one)
+    many = (
+        entries.where(F.col("polls") > block)
+        .withColumn("first", F.explode(F.sequence(one, "polls", size)))
+        .withColumn("polls", F.least(F.col("polls") - F.col("first") + 1, size))
+        .repartition(*columns, "first")
     )
+    repeated = F.explode(F.sequence(one, "polls")).alias("copy")
+    return few.unionByName(many).select(*columns, repeated).drop("copy")
 
 
 def project_entries(items: Column, *fields: str) -> Column:
@@ -148,10 +158,28 @@ def merged_chat(table: DataFrame) -> DataFrame:
 def day_rollup(table: DataFrame) -> DataFrame:
     """Mean viewers over the minutes, and sentiment sums, per stream and day.
 
-    The two lists are aggregated on their own and only then joined.
+    Both lists go through one pass as entries of the same shape; each entry
+    only carries values of its own list, so neither multiplies the other. The
+    first grouping merges the runs of a minute.
     """
-    viewers = merged_viewers(table).groupBy(*GROUP).agg(F.avg("viewers").alias("viewers"))
-    chat = flatten(table, "chatspermin").groupBy(*GROUP).agg(
-        *[F.sum(c).alias(c) for c in ("positive", "negative", "neutral")]
+    none = F.lit(None).cast("long")
+    viewers = F.transform("viewerspermin", lambda x: F.struct(
+        x["minute"].alias("minute"), x["viewers_sum"].alias("viewers_sum"),
+        x["viewers_cnt"].alias("viewers_cnt"), none.alias("positive"), none.alias("negative"),
+        none.alias("neutral"),
+    ))
+    chat = F.transform("chatspermin", lambda x: F.struct(
+        x["minute"].alias("minute"), none.alias("viewers_sum"), none.alias("viewers_cnt"),
+        x["positive"].alias("positive"), x["negative"].alias("negative"),
+        x["neutral"].alias("neutral"),
+    ))
+    counts = ["viewers_sum", "viewers_cnt", "positive", "negative", "neutral"]
+    minutes = (
+        table.select(*GROUP, F.inline(F.concat(viewers, chat)))
+        .groupBy(*GROUP, "minute")
+        .agg(*[F.sum(c).alias(c) for c in counts])
+    )
+    return minutes.groupBy(*GROUP).agg(
+        F.avg(rollups.viewer_mean()).alias("viewers"),
+        *[F.sum(c).alias(c) for c in ("positive", "negative", "neutral")],
     )
-    return viewers.join(chat, GROUP, "full")

@@ -108,22 +108,25 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def enrich_requests(
-    requests: DataFrame, forecast: DataFrame, places: Sequence[str], digits: int | None = None
+    requests: DataFrame, slots: DataFrame, places: Sequence[str], digits: int | None = None
 ) -> DataFrame:
-    """Requests with the feature text, forecast included."""
+    """Requests with the feature text, forecast included.
+
+    ``slots`` comes from ``joins.forecast_by_slot``.
+    """
     named = requests.withColumns(
         {c: text.clean_name(F.col(c)) for c in ("name", "game")}
     ).withColumnRenamed("duration", "dur")
-    return joins.join_forecast(named, forecast, places).withColumn("text", feature_text(digits))
+    return joins.join_forecast(named, slots, places).withColumn("text", feature_text(digits))
 
 
 def predict(
     requests: DataFrame,
-    forecast: DataFrame,
+    slots: DataFrame,
     places: Sequence[str],
     model: PipelineModel,
     bucket: str = "round",
 ) -> DataFrame:
     """Requests to viewer classes and range texts."""
-    scored = score(model, enrich_requests(requests, forecast, places).select("id", "text"))
+    scored = score(model, enrich_requests(requests, slots, places).select("id", "text"))
     return scored.withColumn("range_text", classes.range_text(F.col("viewer_class"), bucket))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for; most are Spark's defaults and are repeated
 # so that a site default cannot silently change a plan. Partition counts are
@@ -39,3 +39,15 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="streamtide-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to a scratch folder and read back.
+
+    For a result that is used more than once, or whose size the planner should
+    know before it picks a join: a stored table has one, an aggregation only an
+    estimate. Files survive the loss of an executor.
+    """
+    path = scratch_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

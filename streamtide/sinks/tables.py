@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamtide.functions import times
+
 
 def write_stream_day(rows: DataFrame, path: str) -> None:
-    """Append a run to the wide table, one folder per day (K1).
+    """Add a run to the wide table, one folder per day and run (K1).
 
-    The rebalance hint gathers a day's rows into well-sized files; AQE splits a
-    day that is too large for one task.
+    Writing the same run again replaces it, other runs of the day stay. Days
+    are the first partition level, so a scan of one day reads only its folder.
     """
-    rows.hint("rebalance", F.col("day")).write.partitionBy("day").mode("append").parquet(path)
+    stamped = rows.withColumn("run", times.run_stamp(F.col("run_ts")))
+    replace_partitions(stamped, path, "day", "run")
 
 
 def append_weather(obs: DataFrame, path: str) -> None:
@@ -20,15 +23,20 @@ def append_weather(obs: DataFrame, path: str) -> None:
     obs.write.mode("append").parquet(path)
 
 
-def append_run(rows: DataFrame, path: str, run: str) -> None:
-    """Rows of one run below ``run=<stamp>`` (K3)."""
-    rows.withColumn("run", F.lit(run)).write.partitionBy("run").mode("append").parquet(path)
+def write_run(rows: DataFrame, path: str, run: str) -> None:
+    """Rows of one run below ``run=<stamp>``; other runs stay (K3)."""
+    replace_partitions(rows.withColumn("run", F.lit(run)), path, "run")
 
 
 def replace_partitions(rows: DataFrame, path: str, *keys: str) -> None:
-    """Idempotent publish: only the partitions present in ``rows`` are replaced (K4)."""
+    """Idempotent publish: only the partitions present in ``rows`` are replaced (K4).
+
+    The rebalance hint gathers each partition into well-sized files; AQE splits
+    a partition that is too large for one task.
+    """
     (
-        rows.write.partitionBy(*keys)
+        rows.hint("rebalance", *[F.col(k) for k in keys])
+        .write.partitionBy(*keys)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)

@@ -141,7 +141,8 @@ def test_forecast_join(spark):
         ("q", 1, "2024-01-01 12:00:00", "Rain", 5.0, 6.0),
         ("q", 2, "2024-01-01 21:00:00", "Rain", 5.0, None),
     ], "place string, pos int, dt_txt string, main string, wind double, temp double")
-    got = joins.join_forecast(requests, forecast, ["p", "q"])
+    slots = joins.forecast_by_slot(forecast, ["p", "q"])
+    got = joins.join_forecast(requests, slots, ["p", "q"])
     assert rows_of(got, "id", "weather") == [
         (1, "First 1.5 2.25 Fog 3.0 4.0"), (2, "Rain 5.0 6.0"), (3, "")
     ]

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from streamtide.operators import joins
 from streamtide.plans import training
 
 OBS = "hour_key string, place string, main string, wind string, temp double"
@@ -102,7 +103,7 @@ def test_predict(spark, model):
         [("p", 0, "2024-01-01 06:00:00", "Clear", 1.5, 2.0)],
         "place string, pos int, dt_txt string, main string, wind double, temp double",
     )
-    got = training.predict(requests, forecast, ["p"], model)
+    got = training.predict(requests, joins.forecast_by_slot(forecast, ["p"]), ["p"], model)
     assert rows_of(got, "id", "text", "viewer_class", "range_text") == [
         (1, "alpha_x alpha 60.0 Morgens 60.0 Clear 1.5 2.0", 7.0, "6500 bis 7500"),
         (2, "gamma gamma 30.0 Abends 30.0 ", 0.0, "0 bis 500"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from streamtide.functions import classes, text, times
 from streamtide.operators import joins, rollups
 from streamtide.plans import ingest, training
+from streamtide.session import stored
 from workload import roles
 from workload.registry import query
 from workload.roles import six_digits
@@ -180,12 +181,18 @@ def training_rows_loose(spark, sf_dir):
     return training_set(spark, sf_dir, strict=False)
 
 
+def forecast_slots(spark, sf_dir):
+    """Stored: their size is known when the join with the requests is planned."""
+    slots = joins.forecast_by_slot(roles.forecast(spark, sf_dir), roles.PLACES)
+    return stored(slots, "slots")
+
+
 @query("forecast_hour", f"""WITH {roles.REQUESTS}, {roles.FORECAST}
 SELECT id, s.dt_txt, coalesce(weather, '') AS weather
 FROM slotted s LEFT JOIN slots ON s.dt_txt = slots.dt_txt""")
 def forecast_hour(spark, sf_dir):
     requests = roles.requests(spark, sf_dir)
-    rows = joins.join_forecast(requests, roles.forecast(spark, sf_dir), roles.PLACES)
+    rows = joins.join_forecast(requests, forecast_slots(spark, sf_dir), roles.PLACES)
     slot = classes.forecast_time(F.col("day"), F.col("daytime"))
     return rows.select("id", slot.alias("dt_txt"), "weather")
 
@@ -196,7 +203,7 @@ SELECT id, name || ' ' || game || ' ' || CAST(dur AS VARCHAR) || ' ' || daytime
 FROM slotted s LEFT JOIN slots ON s.dt_txt = slots.dt_txt""")
 def prediction_batch(spark, sf_dir):
     rows = training.enrich_requests(
-        roles.requests(spark, sf_dir), roles.forecast(spark, sf_dir), roles.PLACES
+        roles.requests(spark, sf_dir), forecast_slots(spark, sf_dir), roles.PLACES
     )
     return rows.select("id", "text")
 

@@ -68,11 +68,11 @@ def session_text_scan(spark, sf_dir):
 @query("session_runs", f"""WITH {DAILY_SESSIONS}
 SELECT name, game, polls, CASE WHEN daytime < 3 THEN 'early' ELSE 'late' END AS run FROM sessions""")
 def session_runs(spark, sf_dir):
-    """Two runs appended to one table (K3)."""
+    """Two runs in one table (K3)."""
     path = scratch_folder(spark, "runs")
     early, late = quality.split_valid(daily_sessions(spark, sf_dir), F.col("daytime") < 3)
-    sinks.append_run(early, path, "early")
-    sinks.append_run(late, path, "late")
+    sinks.write_run(early, path, "early")
+    sinks.write_run(late, path, "late")
     return spark.read.parquet(path).select("name", "game", "polls", "run")
 
 
@@ -192,14 +192,15 @@ def stream_pages(spark, sf_dir):
 
 
 @query("stream_page_rows", f"""WITH {roles.SAMPLES}
-SELECT channel_id, CASE WHEN game <> 'click' THEN viewers END AS viewers, game, name, status,
+SELECT channel_id, CAST(CASE WHEN game <> 'click' THEN viewers END AS DOUBLE) AS viewers,
+       game, name, status,
        strftime(created, '%Y%m%d%H%M%S') AS created,
        CASE WHEN game = 'view' THEN 0 ELSE CAST(mature AS INTEGER) END AS mature, fps
 FROM samples WHERE game <> 'error'""")
 def stream_page_rows(spark, sf_dir):
     rows, _ = ingest.ingest_metadata(stream_pages(spark, sf_dir))
     return rows.select(
-        "channel_id", "viewers", "game", "name", "status",
+        "channel_id", F.col("viewers").cast("double").alias("viewers"), "game", "name", "status",
         F.date_format("created", "yyyyMMddHHmmss").alias("created"),
         F.col("mature").cast("int").alias("mature"), "fps",
     )
@@ -257,7 +258,7 @@ def forecast_from_json(spark, sf_dir):
 
 @query("json_props", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-       try_cast(event_type AS BIGINT) AS no_number, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value,
+       try_cast(event_type AS BIGINT) IS NULL AS no_number, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value,
        json_extract_string(props, '$.missing') IS NULL AS without_field
 FROM events""")
 def json_props(spark, sf_dir):
@@ -266,7 +267,7 @@ def json_props(spark, sf_dir):
     return roles.table(spark, sf_dir, "events").select(
         "event_id",
         doc["k"].try_cast("long").alias("k"),
-        F.col("event_type").try_cast("long").alias("no_number"),
+        F.col("event_type").try_cast("long").isNull().alias("no_number"),
         F.col("value").cast("string").try_cast("double").alias("value"),
         doc["missing"].isNull().alias("without_field"),
     )

@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 from streamtide.plans import training
-from streamtide.session import scratch_folder
-from streamtide.sinks import tables as sinks
+from streamtide.session import scratch_folder, stored
 from workload import roles
-from workload.features import training_set
+from workload.features import forecast_slots, training_set
 from workload.registry import query
 
 
 def stored_training_set(spark, sf_dir):
     """The training set as a table: fitting reads it several times."""
-    path = scratch_folder(spark, "training")
-    sinks.replace_partitions(training_set(spark, sf_dir, strict=False), path, "id")
-    return spark.read.parquet(path).select("id", "text", "target")
+    return stored(training_set(spark, sf_dir, strict=False), "training")
 
 
 def _scored(rows):
@@ -42,6 +39,6 @@ def predicted_classes(spark, sf_dir):
     """Requests with forecast through the model."""
     model = training.train(stored_training_set(spark, sf_dir))
     rows = training.predict(
-        roles.requests(spark, sf_dir), roles.forecast(spark, sf_dir), roles.PLACES, model
+        roles.requests(spark, sf_dir), forecast_slots(spark, sf_dir), roles.PLACES, model
     )
     return rows.select("id", "text", "viewer_class", "range_text")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from streamtide.functions import bags, text, times
 from streamtide.operators import joins, rollups, wide
 from streamtide.plans import dashboard
-from streamtide.session import scratch_folder
+from streamtide.session import scratch_folder, stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import tables as sources
 from workload import roles
@@ -68,8 +68,9 @@ SELECT name, day, strftime(created, '%Y%m%d%H%M%S') AS created, game, status,
        CAST(mature AS INTEGER) AS mature, fps
 FROM samples""")
 def stream_day_metadata(spark, sf_dir):
-    """The metadata list back to one row per poll."""
-    entries = wide.repeat_polls(wide.flatten(nested(spark, sf_dir), "metadata"))
+    """The stored metadata list back to one row per poll."""
+    table = stored(nested(spark, sf_dir), "stream-day")
+    entries = wide.repeat_polls(wide.flatten(table, "metadata"))
     return entries.select(
         "name", day_text().alias("day"),
         F.date_format("created", "yyyyMMddHHmmss").alias("created"),
