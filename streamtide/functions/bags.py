@@ -13,20 +13,24 @@ def _records(c: Column) -> Column:
     ).otherwise(F.split(body, r"\),\("))
 
 
+def _split_records(c: Column) -> Column:
+    """Every record as its list of fields, so that each is split only once."""
+    return F.transform(_records(c), lambda record: F.split(record, ","))
+
+
 def parse_bag(c: Column, columns: dict[str, str]) -> Column:
     """Bag text to an array of structs; ``columns`` maps field name to type.
 
     ``{}`` is an empty array, a field that does not fit its type is null.
     """
 
-    def record(text: Column) -> Column:
-        parts = F.split(text, ",")
+    def record(parts: Column) -> Column:
         return F.struct(*[
             F.get(parts, F.lit(i)).try_cast(dtype).alias(name)
             for i, (name, dtype) in enumerate(columns.items())
         ])
 
-    return F.transform(_records(c), record)
+    return F.transform(_split_records(c), record)
 
 
 def parse_metadata_bag(c: Column) -> Column:
@@ -36,8 +40,7 @@ def parse_metadata_bag(c: Column) -> Column:
     fixed, whatever lies between them is the status.
     """
 
-    def record(text: Column) -> Column:
-        parts = F.split(text, ",")
+    def record(parts: Column) -> Column:
         size = F.size(parts)
         status = F.array_join(F.slice(parts, F.lit(4), F.greatest(size - 6, F.lit(0))), ",")
         return F.struct(
@@ -49,7 +52,7 @@ def parse_metadata_bag(c: Column) -> Column:
             F.get(parts, size - 1).try_cast("timestamp").alias("created"),
         )
 
-    return F.transform(_records(c), record)
+    return F.transform(_split_records(c), record)
 
 
 def bag_text(items: Column, *fields: str) -> Column:

@@ -67,11 +67,12 @@ def from_minute_key(key: Column) -> Column:
 def bucket_start(ts: Column, width: str = "1 minute") -> Column:
     """Start of the tumbling bucket of ``ts``.
 
-    The minute case is a plain truncation; grouping by it hashes eight bytes
-    instead of a formatted key.
+    Calendar units are a plain truncation in the session's zone; grouping by it
+    hashes eight bytes instead of a formatted key.
     """
-    if width == "1 minute":
-        return F.date_trunc("minute", ts)
+    count, unit = width.split()
+    if count == "1" and unit in ("minute", "hour", "day"):
+        return F.date_trunc(unit, ts)
     return F.window(ts, width)["start"]
 
 

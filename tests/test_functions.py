@@ -90,6 +90,12 @@ def test_bucket_start_and_next_day(values):
     rows = [(datetime(2024, 2, 28, 11, 53, 59, 999000),)]
     assert values(rows, "x timestamp", times.bucket_start(F.col("x"))) == [datetime(2024, 2, 28, 11, 53)]
     assert values(rows, "x timestamp", times.bucket_start(F.col("x"), "1 hour")) == [datetime(2024, 2, 28, 11)]
+    assert values(rows, "x timestamp", times.bucket_start(F.col("x"), "10 minutes")) == [
+        datetime(2024, 2, 28, 11, 50)
+    ]
+    assert values(rows, "x timestamp", times.bucket_start(F.col("x"), "1 day")) == [
+        datetime(2024, 2, 28)
+    ]
     assert values([(date(2024, 2, 29),)], "x date", times.next_day(F.col("x"))) == [date(2024, 3, 1)]
 
 
