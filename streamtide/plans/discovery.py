@@ -10,10 +10,14 @@ from streamtide.operators import joins, quality, rollups
 
 
 def new_channels(
-    samples: DataFrame, active: DataFrame, batch: str = "created",
+    samples: DataFrame, active: DataFrame, batch: str = "run",
     allowed: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Names of the newest batch without a running capture."""
+    """Names of the newest batch without a running capture.
+
+    ``batch`` is the column that marks a poll's batch; its pages carry different
+    times. On a table partitioned by it only the newest folder is read.
+    """
     latest = rollups.newest_batch(samples, batch)
     if allowed is not None:
         latest = quality.only_channels(latest, allowed, "name")

@@ -27,6 +27,10 @@ class Layout:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def _stamp(run_ts: str) -> str:
+    return run_ts.replace(" ", "T").replace(":", "-")
+
+
 def _own_run(spark: SparkSession, path: str, stamp: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("run") == stamp).drop("run")
 
@@ -45,7 +49,7 @@ def minute_run(
     are written once and feed all branches. ``run_ts`` names the run
     (``yyyy-MM-dd HH:mm:ss``); repeating a run replaces its own output.
     """
-    stamp = run_ts.replace(" ", "T").replace(":", "-")
+    stamp = _stamp(run_ts)
     cleaned = quality.clean_samples(files.read_stream_samples(spark, polls, recursive=True))
     sinks.write_run(cleaned, layout.folder("samples"), stamp)
     samples = _own_run(spark, layout.folder("samples"), stamp)
@@ -67,17 +71,20 @@ def training_run(
     spark: SparkSession,
     layout: Layout,
     places: Sequence[str],
+    run_ts: str,
     algorithm: str = "nb",
     strict: bool = True,
 ) -> PipelineModel:
-    """The nightly run: all sessions and the weather log to a stored model."""
+    """The nightly run: all sessions and the weather log to a stored model.
+
+    The training set is a table of its own, because fitting reads it several times.
+    """
+    stamp = _stamp(run_ts)
     sessions = spark.read.parquet(layout.folder("sessions"))
     obs = ingest.latest_weather(spark.read.parquet(layout.folder("weather")))
     rows = training.build_training_set(sessions, obs, places, strict)
-    sinks.replace_partitions(rows, layout.folder("training"), "id")
-    model = training.train(
-        spark.read.parquet(layout.folder("training")).select("text", "target"), algorithm
-    )
+    sinks.write_run(rows, layout.folder("training"), stamp)
+    model = training.train(_own_run(spark, layout.folder("training"), stamp), algorithm)
     training.save_model(model, layout.folder("model"))
     return model
 

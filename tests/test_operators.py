@@ -150,8 +150,7 @@ def test_forecast_join(spark):
 
 def test_new_and_known_channels(spark):
     rows = spark.createDataFrame(
-        [("old", at(0)), ("known", at(1)), ("new", at(1)), ("new", at(1)), ("other", at(1))],
-        "name string, created timestamp",
+        [("old", 1), ("known", 2), ("new", 2), ("new", 2), ("other", 2)], "name string, run int"
     )
     active = spark.createDataFrame([("known",), ("known",)], "name string")
     assert rows_of(discovery.new_channels(rows, active)) == [("new",), ("other",)]

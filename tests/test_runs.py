@@ -46,7 +46,7 @@ def layout(spark, tmp_path_factory):
     sinks.append_weather(
         obs.withColumn("hour_key", F.lit("2024010112")), layout.folder("weather")
     )
-    runs.training_run(spark, layout, PLACES)
+    runs.training_run(spark, layout, PLACES, "2024-01-02 00:15:00")
     return layout
 
 

@@ -5,8 +5,9 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from streamtide import schemas
-from streamtide.operators import rollups
-from streamtide.plans import ingest
+from streamtide.operators import joins, rollups
+from streamtide.plans import ingest, training
+from streamtide.session import stored
 from streamtide.streaming import chat as chat_jobs
 from streamtide.streaming import rollups as stream_rollups
 from streamtide.streaming import weather as weather_jobs
@@ -199,3 +200,31 @@ def test_weather_stream_appends_and_the_latest_wins(spark, tmp_path):
     assert rows_of(ingest.latest_weather(log), "hour_key", "place", "temp") == [
         ("2024010112", "p", 7.0)
     ]
+
+
+def test_requests_are_scored_as_a_stream(spark, tmp_path):
+    """The batch scoring job over a stream of requests, against stored slots."""
+    training_rows = spark.createDataFrame(
+        [(1, f"alpha alpha {i}", 7.0) for i in range(5)]
+        + [(1, f"beta beta {i}", 2.0) for i in range(5)], "id long, text string, target double"
+    )
+    model = training.train(training_rows)
+    forecast = spark.createDataFrame(
+        [("p", 0, "2024-01-01 06:00:00", "Clear", 1.5, 2.0)],
+        "place string, pos int, dt_txt string, main string, wind double, temp double",
+    )
+    slots = stored(joins.forecast_by_slot(forecast, ["p"]), "slots")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1").write_text("\n".join(json.dumps({
+        "id": i, "name": name, "game": name, "duration": 60.0, "daytime": "Morgens", "fps": 60.0,
+        "day": "2024-01-01T00:00:00Z",
+    }) for i, name in enumerate(["alpha", "beta"])))
+    requests = chat_jobs.file_stream(spark, str(tmp_path / "in"), schemas.PREDICTION_REQUEST)
+    chat_jobs.write_rolled(
+        training.predict(requests, slots, ["p"], model), str(tmp_path / "t"), str(tmp_path / "c"),
+        until_done=True,
+    ).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert rows_of(rows, "id", "viewer_class", "range_text") == [
+        (0, 7.0, "6500 bis 7500"), (1, 2.0, "1500 bis 2500")
+    ]
