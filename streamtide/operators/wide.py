@@ -31,46 +31,47 @@ def metadata_entries(samples: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("polls"))
 
 
-def number_parts(entries: DataFrame, bag_limit: int) -> DataFrame:
+def large_groups(samples: DataFrame, bag_limit: int) -> DataFrame:
+    """Streams and days with more polls than one list may hold, and the parts they need.
+
+    Reads two columns and shuffles counts. Stored before use (``session.stored``)
+    it is a table of known size, and ``number_parts`` need not shuffle the entries.
+    """
+    counts = samples.where("name is not null and created is not null").groupBy(
+        "name", F.to_date("created").alias("day")
+    ).agg(F.count(F.lit(1)).alias("polls"))
+    return counts.where(F.col("polls") > bag_limit).select(
+        *GROUP, F.ceil(F.col("polls") / bag_limit).alias("parts")
+    )
+
+
+def number_parts(entries: DataFrame, large: DataFrame) -> DataFrame:
     """Adds ``part``: 0 for an ordinary group, several parts for a large one.
 
-    A group with more than ``bag_limit`` entries is spread by hash over as many
-    parts as it needs, so no row of the wide table holds an unbounded list. The
-    entry with the smallest hash is always in part 0, which therefore exists
-    for every group. The join with the large groups is salted: a group of any
-    size reaches it through ``SALTS`` partitions.
+    The entries of a large group are spread by hash, so no row of the wide
+    table holds an unbounded list. The join with the large groups is salted: a
+    group of any size reaches it through ``SALTS`` partitions.
     """
-    entry = F.xxhash64(*[c for c in entries.columns if c not in GROUP])
+    entry = F.xxhash64(*[c for c in entries.columns if c not in (*GROUP, "polls")])
     hashed = entries.withColumn("entry_hash", entry)
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    large = (
-        hashed.groupBy(*GROUP)
-        .agg(F.count(F.lit(1)).alias("entries"), F.min("entry_hash").alias("first_hash"))
-        .where(F.col("entries") > bag_limit)
-        .select(
-            *GROUP, F.ceil(F.col("entries") / bag_limit).alias("parts"), "first_hash",
-            F.explode(salts).alias("salt"),
-        )
-    )
-    spread = F.pmod("entry_hash", "parts").cast("int")
-    part = F.when(F.col("parts").isNull() | (F.col("entry_hash") == F.col("first_hash")), 0)
     salted = hashed.withColumn("salt", F.pmod("entry_hash", F.lit(SALTS).cast("long")))
-    return (
-        salted.join(large, [*GROUP, "salt"], "left")
-        .withColumn("part", part.otherwise(spread))
-        .drop("entry_hash", "first_hash", "parts", "salt")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    joined = salted.join(
+        large.select("*", F.explode(salts).alias("salt")), [*GROUP, "salt"], "left"
     )
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("entry_hash", "parts").cast("int"))
+    return joined.withColumn("part", part).drop("entry_hash", "parts", "salt")
 
 
-def _as_bag_rows(rows: DataFrame, bag: str, part: Column) -> DataFrame:
-    """Rows as (name, day, part) plus three entry columns, of which one is set."""
+def _as_bag_rows(rows: DataFrame, bag: str | None, part: Column) -> DataFrame:
+    """Rows as (name, day, part) plus three entry columns, of which at most one is set."""
     entry = F.struct(*[c for c in rows.columns if c not in (*GROUP, "part")])
     cells = [
         (entry if name == bag else F.lit(None)).cast(dtype).alias(name)
         for name, dtype in BAGS.items()
     ]
     return rows.where("name is not null and day is not null").select(
-        *GROUP, part.alias("part"), *cells
+        *GROUP, part.alias("part"), *cells, F.lit(bag is None).alias("large")
     )
 
 
@@ -81,19 +82,25 @@ def stream_day(
     run_ts: Column,
     bag_limit: int = 10_000,
     how: str = "left",
+    large: DataFrame | None = None,
 ) -> DataFrame:
     """One nested row per stream and day.
 
     ``viewers`` and ``chat`` are minute tables, at most 1,440 entries per
     stream and day; they go with part 0. With ``how='left'`` only streams and
-    days with metadata remain, ``how='full'`` keeps all. The three inputs are
+    days with metadata remain, ``how='full'`` keeps all. The inputs are
     concatenated and grouped once, so the cogroup costs a single shuffle.
+    ``large`` may hand in the stored ``large_groups``. They take part as rows
+    of their own, since all entries of a large group may be in other parts
+    than part 0.
     """
     if how not in ("left", "full"):
         raise ValueError(f"how must be 'left' or 'full', not {how!r}")
-    metadata = number_parts(metadata_entries(samples), bag_limit)
+    if large is None:
+        large = large_groups(samples, bag_limit)
     bags = reduce(DataFrame.unionAll, [
-        _as_bag_rows(metadata, "metadata", F.col("part")),
+        _as_bag_rows(number_parts(metadata_entries(samples), large), "metadata", F.col("part")),
+        _as_bag_rows(large.select(*GROUP), None, F.lit(0)),
         _as_bag_rows(
             viewers.select(*GROUP, "minute", "viewers_sum", "viewers_cnt", "viewers"),
             "viewerspermin", F.lit(0),
@@ -104,10 +111,11 @@ def stream_day(
         ),
     ])
     rows = bags.groupBy(*GROUP, "part").agg(
-        *[F.sort_array(F.collect_list(name)).alias(name) for name in BAGS]
+        *[F.sort_array(F.collect_list(name)).alias(name) for name in BAGS],
+        F.max("large").alias("large"),
     )
     if how == "left":
-        rows = rows.where(F.size("metadata") > 0)
+        rows = rows.where((F.size("metadata") > 0) | F.col("large"))
     return rows.select(*GROUP, run_ts.alias("run_ts"), "part", *BAGS)
 
 

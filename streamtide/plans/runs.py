@@ -13,6 +13,7 @@ from streamtide import schemas
 from streamtide.functions import times
 from streamtide.operators import joins, quality, rollups, wide
 from streamtide.plans import ingest, training
+from streamtide.session import stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import files
 
@@ -42,6 +43,7 @@ def minute_run(
     chat: str,
     run_ts: str,
     min_viewers: int = 500,
+    bag_limit: int = 10_000,
 ) -> None:
     """The ten-minute run: polls and chat to sessions and the wide table.
 
@@ -63,6 +65,7 @@ def minute_run(
         rollups.viewers_per_bucket(samples),
         rollups.chat_per_bucket(messages),
         times.run_time(run_ts),
+        large=stored(wide.large_groups(samples, bag_limit), "large-groups"),
     )
     sinks.write_stream_day(rows, layout.folder("stream_day"))
 
