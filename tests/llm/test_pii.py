@@ -1,0 +1,70 @@
+import hashlib
+import re
+
+import pytest
+
+from streamtide.llm import pii
+
+KINDS = ["email", "ip", "card", "phone"]
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+TEXTS = [
+    "a@b.c_x@d.e and x@y.z.w@q.r", "1.2.3.4.5.6.7.8 999.1.1.1 255.255.0255.000", "card 4111 1111 1111 1111, 4111-1111-1111-1112",
+    "call +1 (555) 123-4567 or +49 30 1234567890 +1+2 3 4 5 6 7 8 9 0", "\U0001F600 mail: me@x.org é 10.0.0.1 4111111111111111",
+    "iban DE89 3704 0044 0532 0130 00 bad DE88370400440532013000", "1" * 30000, "1 " * 20000, "a." * 20000 + "@b.c", "m@n.op " * 1500, "@ @a.b +5((((( 1..2.3.4.5",
+]
+
+
+def valid(kind, hit):
+    number = re.sub("[^0-9]", "", hit)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in hit.split("."))
+    if kind == "card":
+        total = sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(number)))
+        return 12 <= len(number) <= 19 and total % 10 == 0
+    return kind == "email" or 9 <= len(number) <= 15
+
+
+def brute(text):
+    found = [(m.start(), k, m.end()) for k, kind in enumerate(KINDS) for m in re.finditer(PLAIN[kind], text or "") if valid(kind, m.group())]
+    return [f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(found)]
+
+
+@pytest.fixture(scope="module")
+def rows(spark, documents):
+    extra = spark.createDataFrame(list(enumerate(TEXTS, 20_000)), "doc_id long, text string")
+    return documents.unionByName(extra, allowMissingColumns=True)
+
+
+def test_base_spans_equal_plain_matches(rows):
+    texts = {r.doc_id: r.text for r in rows.select("doc_id", "text").collect()}
+    got = pii.digest(rows).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        expected = brute(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(expected).encode()).hexdigest(), texts[r.doc_id][:90]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k + ":") for x in expected) for k in KINDS]
+        assert [s for s in r.spans.split(",") if s and not s.startswith("iban")] == expected
+        assert 0 <= r.score <= 1 and (r.score > 0 or not r.spans)
+
+
+def test_added_kind_needs_its_checksum(rows):
+    [row] = pii.digest(rows.where("text like 'iban%'")).collect()
+    assert [s for s in row.spans.split(",") if s.startswith("iban")] == ["iban:5:32"]
+
+
+def test_context_moves_the_score(spark):
+    texts = ["pay by card 4111111111111111", "x 4111111111111111", "test card number 4111111111111111", "test 4111111111111111"]
+    got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [round(r.personal[0].score, 2) for r in got] == [0.9, 0.7, 0.6, 0.4]
+
+
+def test_no_rows_and_no_shuffle(spark, empty):
+    assert pii.digest(empty).count() == 0
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = pii.digest(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
