@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import pii
+from streamtide.llm import decontaminate, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_personal_data,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_decontamination, op8_personal_data)}
 ORACLES: dict[str, str] = {}
