@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, pii
+from streamtide.llm import decontaminate, language, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_decontamination, op8_personal_data)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_decontamination, op7_language, op8_personal_data)}
 ORACLES: dict[str, str] = {}
