@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, language, licenses, pii
+from streamtide.llm import decontaminate, language, licenses, pieces, pii
+
+#: Read by the driver only; its tables travel with the tasks.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +26,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), pieces.load(model_file or MODEL_FILE))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,5 +42,5 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_licenses, op4_decontamination, op7_language, op8_personal_data)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_licenses, op2_pieces, op4_decontamination, op7_language, op8_personal_data)}
 ORACLES: dict[str, str] = {}
