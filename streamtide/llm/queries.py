@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, language, licenses, pieces, pii
+from streamtide.llm import decontaminate, fingerprints, language, licenses, pieces, pii
 
 #: Read by the driver only; its tables travel with the tasks.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -34,6 +34,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(table(spark, sf_dir, "documents"))
 
@@ -42,5 +46,5 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_licenses, op2_pieces, op4_decontamination, op7_language, op8_personal_data)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_licenses, op2_pieces, op4_decontamination, op6_fingerprints, op7_language, op8_personal_data)}
 ORACLES: dict[str, str] = {}
