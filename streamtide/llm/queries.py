@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, fingerprints, language, licenses, neardup, pieces, pii
+from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii
 
 #: Read by the driver only; its tables travel with the tasks.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -50,6 +50,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_licenses, op2_pieces, op4_decontamination, op6_fingerprints, op7_language, op8_personal_data)}
+    op1_licenses, op2_pieces, op4_decontamination, op6_fingerprints, op7_language, op8_personal_data,
+    op9_near_duplicates, op10_lines)}
 ORACLES: dict[str, str] = {}
