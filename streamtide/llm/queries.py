@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii
+from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii, quality
 
 #: Read by the driver only; its tables travel with the tasks.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -34,6 +34,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,6 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_licenses, op2_pieces, op4_decontamination, op6_fingerprints, op7_language, op8_personal_data,
-    op9_near_duplicates, op10_lines)}
+    op1_licenses, op2_pieces, op4_decontamination, op5_quality, op6_fingerprints, op7_language,
+    op8_personal_data, op9_near_duplicates, op10_lines)}
 ORACLES: dict[str, str] = {}
