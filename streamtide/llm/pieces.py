@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from streamtide.llm.common import BASE, INVERSE, SYMBOLS, mixed, powers, slices, span_hashes
 
@@ -33,6 +32,9 @@ LONG = 48
 MARK = "▁"
 #: Extra cost of a fallback byte over the dearest piece.
 PENALTY = 10.0
+#: Words solved at once, and the ids that a process keeps of solved words.
+BLOCK = 8_192
+FULL = 4_000_000
 FILTER_BITS = 20
 LENGTHS = np.uint64(0xD6E8FEB86659FD93)
 
@@ -104,28 +106,33 @@ class Neighbours:
     """Whether two pieces may stand side by side; the last million answers are kept."""
 
     def __init__(self, machine: Machine):
-        self.machine = machine
+        self.pieces = machine.pieces
+        self.ranks = {piece: float(machine.costs[k]) for piece, k in machine.arcs.items()}
         self.codes = np.full(1 << 20, -1, np.int64)
         self.answers = np.zeros(1 << 20, bool)
 
-    def merged(self, text: bytes) -> list[bytes]:
-        """The parts left when the cheapest merge, the leftmost of equals, is made again and again."""
-        parts = [c.encode() for c in text.decode()]
-        arcs, costs = self.machine.arcs, self.machine.costs
-        while True:
-            options = [(costs[k], i) for i in range(len(parts) - 1) if (k := arcs.get(parts[i] + parts[i + 1])) is not None]
-            if not options:
-                return parts
-            _, i = min(options)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-
     def apart(self, left: int, right: int) -> bool:
-        a, b = self.machine.pieces[left], self.machine.pieces[right]
-        return self.merged(a + b) == [a, b]
+        """Makes the cheapest merge, the leftmost of equals, again and again; none must cross the border."""
+        before, after = (list(self.pieces[k].decode()) for k in (left, right))
+        parts = [c.encode() for c in before + after]
+        border, none = len(before) - 1, np.inf
+        ranks = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while (best := min(ranks)) < none:
+            i = ranks.index(best)
+            if i == border:
+                return False
+            border -= i < border
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = self.ranks.get(parts[i - 1] + parts[i], none)
+            if i < len(ranks):
+                ranks[i] = self.ranks.get(parts[i] + parts[i + 1], none)
+        return True
 
     def allowed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """For pairs of ids; an id beyond the pieces (the start, a character without piece) goes with any."""
-        n = len(self.machine.pieces)
+        n = len(self.pieces)
         codes = np.where(left >= n, -2, left.astype(np.int64) * n + right)
         slots = mixed(codes.view(np.uint64)) >> np.uint64(44)
         answers = self.answers[slots] | (codes == -2)
@@ -253,6 +260,48 @@ def shortest_paths(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mach
     return path[used], used.sum(axis=1), cost
 
 
+class Solved:
+    """Paths of words that this process has met, by the words' hashes; it starts anew when full."""
+
+    def __init__(self):
+        self.keys = np.zeros(1 << 19, np.uint64)
+        self.place, self.number = np.zeros(1 << 19, np.int32), np.zeros(1 << 19, np.int32)
+        self.cost = np.zeros(1 << 19)
+        self.pool = np.zeros(0, np.int32)
+
+    def paths(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, machine: Machine, index):
+        """For different words: where their ids lie in the pool, how many they are, their costs."""
+        if len(self.pool) > FULL:
+            self.keys[:], self.pool = 0, self.pool[:0]
+        slots = hashes >> np.uint64(45)
+        place, number, cost = self.place[slots], self.number[slots], self.cost[slots]
+        new = np.flatnonzero(self.keys[slots] != hashes)
+        new = new[np.argsort(-sizes[new], kind="stable")]
+        short, flat, at = new[sizes[new] <= LONG], [self.pool], len(self.pool)
+        for k in new[sizes[new] > LONG]:
+            ids, cost[k] = shortest_path(data[starts[k]:starts[k] + sizes[k]].tobytes(), machine)
+            flat.append(np.array(ids, np.int32))
+            place[k], number[k], at = at, len(ids), at + len(ids)
+        for begin in range(0, len(short), BLOCK):
+            block = short[begin:begin + BLOCK]
+            ids, number[block], cost[block] = shortest_paths(data, starts[block], sizes[block], machine, index)
+            flat.append(ids)
+            place[block], at = at + np.cumsum(number[block]) - number[block], at + len(ids)
+        self.pool = np.concatenate(flat)
+        self.keys[slots[new]], self.place[slots[new]], self.number[slots[new]], self.cost[slots[new]] = hashes[new], place[new], number[new], cost[new]
+        return place, number, cost
+
+
+_solved: dict[str, Solved] = {}
+
+
+def solved(machine: Machine) -> Solved:
+    if machine.name not in _solved:
+        _solved.clear()
+        _solved[machine.name] = Solved()
+    return _solved[machine.name]
+
+
 def encode_texts(texts: list[str | None], machine: Machine, index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids end to end, their number in each text, and the cost of each text."""
     parts = [normalised(t, machine.leading_space) for t in texts]
@@ -264,26 +313,22 @@ def encode_texts(texts: list[str | None], machine: Machine, index) -> tuple[np.n
     first[offsets] = True
     starts = np.flatnonzero(first[:-1])
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
-    _, shown, same = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    starts_, sizes = starts[shown], (ends - starts)[shown]
-    short = sizes <= LONG
-    flat, numbers, costs = shortest_paths(data, starts_[short], sizes[short], machine, index)
-    n_ids, cost = np.zeros(len(shown), np.int64), np.zeros(len(shown))
-    n_ids[short], cost[short] = numbers, costs
-    place = np.zeros(len(shown), np.int64)
-    place[short] = np.cumsum(numbers) - numbers
-    pool, at = [flat], len(flat)
-    for k in np.flatnonzero(~short):
-        ids, cost[k] = shortest_path(data[starts_[k]:starts_[k] + sizes[k]].tobytes(), machine)
-        pool.append(np.array(ids, np.int32))
-        n_ids[k], place[k], at = len(ids), at, at + len(ids)
-    pool = np.concatenate(pool)
-    each = n_ids[same]
-    ids = pool[np.repeat(place[same] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+    hashes, shown, same = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    words = solved(machine)
+    place, number, cost = words.paths(data, hashes, starts[shown], (ends - starts)[shown], machine, index)
+    each = number[same].astype(np.int64)
+    ids = words.pool[np.repeat(place[same] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
     edges = np.searchsorted(starts, offsets)
     totals = np.concatenate([[0], np.cumsum(each)])
     sums = np.concatenate([[0.0], np.cumsum(cost[same])])
-    return ids.astype(np.int32), np.diff(totals[edges]), np.diff(sums[edges])
+    return ids, np.diff(totals[edges]), np.diff(sums[edges])
+
+
+def decode_ids(ids: np.ndarray, machine: Machine) -> str:
+    """The text of the ids; those that are no piece have none."""
+    n = len(machine.pieces)
+    text = b"".join([machine.pieces[k] for k in ids.tolist() if 0 <= k < n])
+    return text[1 if machine.leading_space and text[:1] == b" " else 0:].decode("utf-8", "replace")
 
 
 def fields_of(docs: DataFrame, keep: list[str]) -> list[str]:
@@ -318,17 +363,11 @@ def decode(rows: DataFrame, machine: Machine, ids: str = "ids", keep: list[str]
     bytes that are no UTF-8 become replacement signs.
     """
     keep = [c for c in (rows.columns if keep is None else keep) if c != "decoded"]
-    lead = 1 if machine.leading_space else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = np.array([*machine.pieces, b""], object)
         for batch in batches:
-            texts = []
-            for value in batch.column(ids):
-                own = pc.fill_null(value.values, -1).to_numpy(zero_copy_only=False) if value.is_valid else np.zeros(0, int)
-                own = np.where((own < 0) | (own >= len(pieces)), len(pieces) - 1, own)
-                text = b"".join(pieces[own])
-                texts.append(text[lead if text[:1] == b" " else 0:].decode("utf-8", "replace"))
+            values = (pc.fill_null(v.values, -1).to_numpy() if v.is_valid else np.zeros(0, np.int32) for v in batch.column(ids))
+            texts = [decode_ids(v, machine) for v in values]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, "decoded"])
 
     needed = [*keep, *([] if ids in keep else [ids])]
@@ -336,9 +375,24 @@ def decode(rows: DataFrame, machine: Machine, ids: str = "ids", keep: list[str]
 
 
 def digest(docs: DataFrame, machine: Machine) -> DataFrame:
-    """doc_id, n_ids, ids, cost, decoded_sha256, and whether decoding gave the text again."""
-    both = decode(encode(docs.select("doc_id", "text"), machine), machine)
-    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(MARK), F.lit(" "))
-    return both.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "cost",
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == plain).alias("round_trip"))
+    """doc_id, n_ids, ids, cost, decoded_sha256, and whether decoding gave the text again.
+
+    Encoding and decoding share one pass, so that the ids cross to Spark once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = machine.by_hash()
+        for batch in batches:
+            for part in slices(batch):
+                texts = part.column("text").to_pylist()
+                ids, numbers, costs = encode_texts(texts, machine, index)
+                edges = np.concatenate([[0], np.cumsum(numbers)])
+                decoded = [decode_ids(ids[a:b], machine) for a, b in zip(edges, edges[1:])]
+                again = [d == (t or "").replace(MARK, " ") for d, t in zip(decoded, texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(numbers, pa.int64()), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)),
+                     pa.array(costs), pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()), pa.array(again, pa.bool_())],
+                    ["doc_id", "n_ids", "ids", "cost", "decoded_sha256", "round_trip"])
+
+    schema = "doc_id long, n_ids long, ids array<int>, cost double, decoded_sha256 string, round_trip boolean"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
