@@ -43,8 +43,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_only_models_have_no_sql():
-    corpus = driver.corpus.QUERIES if driver.corpus else {}
-    assert set(driver.queries()) - set(driver.oracle_sql()) - set(corpus) == ROWS_ONLY
+    assert set(driver.queries()) - set(driver.oracle_sql()) - set(driver.CORPUS) == ROWS_ONLY
 
 
 def test_model_queries(spark, monkeypatch):
