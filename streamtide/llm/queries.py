@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii, quality
+from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii, quality, suffixes
 
 #: Read by the driver only; its tables travel with the tasks.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -30,6 +30,10 @@ def op2_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None)
     return pieces.digest(table(spark, sf_dir, "documents"), pieces.load(model_file or MODEL_FILE))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,6 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_licenses, op2_pieces, op4_decontamination, op5_quality, op6_fingerprints, op7_language,
-    op8_personal_data, op9_near_duplicates, op10_lines)}
+    op1_licenses, op2_pieces, op3_suffixes, op4_decontamination, op5_quality, op6_fingerprints,
+    op7_language, op8_personal_data, op9_near_duplicates, op10_lines)}
 ORACLES: dict[str, str] = {}
