@@ -3,18 +3,22 @@
 A document is the set of the hashes of its word shingles; documents with one set are a class,
 represented by its least id. A sketch has the ``k`` least hashes. The steps:
 
-1. Inverted lists of the retained values. Two sets that meet the threshold share at least
-   ``need`` values of their sketches (``least_overlap``: missed with a probability below
-   ``MISS``, for sets of at most ``k`` never), so a representative stands in the lists of its
-   rarest values only, all but ``need - 1``; values that one representative has are no lists.
-   The very frequent values so drop out of nearly all sketches.
+1. Inverted lists of the retained values, two neighbours of a sketch at a time. In the order
+   of the hash, the values of two sets' union are shared at random, so sets that meet the
+   threshold share many values and among them many neighbours: at least ``need``, missed with a
+   probability below ``MISS``, and for sets of at most ``k`` values never. Lists with one
+   member drop out, and a representative stands only in its rarest lists, all but
+   ``need - 1``. So neither frequent words nor a passage that many documents have make them
+   meet.
 2. Rounds of stars: each member of a list meets one member drawn for the round, so a list of
    any length gives as many pairs as members. Pairs whose sizes cannot meet the threshold are
-   left out, then those whose union sketch does not reach ``need``; the full sets decide.
+   left out, then those whose union sketch shares too few values (``least_overlap``); the full
+   sets decide.
    Links make components, and lists within one component are closed.
-3. When the pairs still open are few, or a round has found no link, the last round meets all
-   members of the open lists whose components differ. No pair that could link two components
-   is left untested.
+3. When a round has not closed a third of the open pairs, the last one meets all members of
+   the open lists whose components differ, each two of them once as a rule: not where both
+   have another list in common shortly before. No pair that could link two components is left
+   untested.
 """
 
 from __future__ import annotations
@@ -24,18 +28,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamtide.llm.common import DARK, LOWER, as_bytes, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
 from streamtide.llm.components import stars
 
-K = 64
-MISS = 1e-12
-#: The last round starts when it would meet at most so many pairs for each member of a list.
-OPEN_PAIRS = 4
-#: Ids (8 bytes each) up to this number are broadcast, 32 MB; beyond it they are shuffled.
-BROADCAST_IDS = 4_000_000
+K = 96
+MISS = 1e-10
+#: So many lists back a member of the last round knows which ones it is in.
+RECENT = 6
+#: Sets to be compared are broadcast up to this size; beyond it pairs and sets are shuffled.
+BROADCAST_BYTES = 64_000_000
+#: Rows of ids and keys (24 bytes at most) up to this number are broadcast, 48 MB; beyond it
+#: they are shuffled.
+BROADCAST_IDS = 2_000_000
 
 
 def least_overlap(k: int, percent: int) -> int:
@@ -49,6 +56,22 @@ def least_overlap(k: int, percent: int) -> int:
     return k
 
 
+def shared_neighbours(k: int, percent: int) -> list[int]:
+    """For each size of a set up to k, and last for larger ones, how many pairs of neighbours
+    it shares at least with any set that meets the threshold."""
+    least = [1]
+    for n in range(1, k + 1):
+        unions = range(n, 100 * n // percent + 1)
+        others = [u - -(-percent * u // 100) for u in unions]  # each parts two pairs at most
+        least.append(max(1, min(min(u, k) - 1 - 2 * o for u, o in zip(unions, others))))
+    p = percent / 100
+    apart, shared = np.zeros(k + 1), np.zeros(k + 1)  # by pairs so far; the last value shared or not
+    apart[0] = 1.0
+    for _ in range(k):
+        apart, shared = (apart + shared) * (1 - p), apart * p + np.append(0, shared[:-1] * p)
+    return [*least, int((np.cumsum(apart + shared) <= MISS).sum())]
+
+
 def shingle_sets(part: pa.RecordBatch, text: str, width: int):
     """The distinct hashes of each text, sorted, end to end; the number of each."""
     data, offsets = as_bytes(part.column(text))
@@ -99,6 +122,17 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, hashes binary")
 
 
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The stored pairs with set_a and set_b."""
+    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids")
+    own = sets.join(few(ids), "id", "left_semi")
+    size = own.agg(F.coalesce(F.sum(F.octet_length("hashes") + 32), F.lit(0))).first()[0]
+    one, two = (own.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
+    if size <= BROADCAST_BYTES:
+        one, two = F.broadcast(one), F.broadcast(two)
+    return pairs.join(one, "a").join(two, "b")
+
+
 def linked(pairs: DataFrame, percent: int) -> DataFrame:
     """a, b of the pairs whose full sets meet the threshold."""
 
@@ -115,12 +149,12 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """value, id, n: the lists in which each representative must stand."""
-    values = classes.select("id", "n", F.explode("sketch").alias("value"))
+    """value, id, n: the lists in which each representative must stand; a value is two neighbours."""
+    pairs = F.transform(F.sequence(F.lit(1), F.size("sketch") - 1), lambda i: F.xxhash64(F.get("sketch", i - 1), F.get("sketch", i)))
+    values = classes.where(F.size("sketch") > 1).select(F.explode(pairs).alias("value"), "id", "n")
     shared = values.groupBy("value").agg(F.count("*").alias("frequency")).where("frequency > 1")
     own = values.join(shared, "value").groupBy("id", "n").agg(F.sort_array(F.collect_set(F.struct("frequency", "value"))).alias("own"))
-    small = F.least(F.ceil(F.col("n") * percent / 100), F.lit(k - k * (100 - percent) // percent))
-    need = F.when(F.col("n") <= k, small).otherwise(F.lit(least_overlap(k, percent))).cast("int")
+    need = F.get(F.array(*map(F.lit, shared_neighbours(k, percent))), F.least(F.col("n"), F.lit(k + 1)).cast("int"))
     places = F.size("own") - need + 1
     return own.where(places > 0).select("id", "n", F.explode(F.slice("own", F.lit(1), places)).alias("one")).select("one.value", "id", "n")
 
@@ -148,10 +182,18 @@ def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Of the open lists only: members whose components differ."""
-    others = members.select("value", F.col("id").alias("other"), F.col("n").alias("m"), F.col("part").alias("other_part"))
-    met = members.join(others, "value").where((F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part")))
-    return ordered(met.where(sizes_agree(F.col("n"), F.col("m"), percent)))
+    """Of the open lists only: members whose components differ.
+
+    Two members meet in the first list that they share, and in later ones only if that does
+    not show from the few lists before.
+    """
+    before = Window.partitionBy("id").orderBy("value").rowsBetween(-RECENT, -1)
+    here = members.withColumn("recent", F.collect_list("value").over(before))
+    there = here.select("value", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "recent"))).withColumnRenamed("other_id", "other")
+    met = here.join(there, "value").where(
+        (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part")) & sizes_agree(F.col("n"), F.col("other_n"), percent)
+        & ~F.arrays_overlap("recent", "other_recent"))
+    return ordered(met)
 
 
 def with_parts(rows: DataFrame, parts: DataFrame | None, key: str) -> DataFrame:
@@ -161,49 +203,51 @@ def with_parts(rows: DataFrame, parts: DataFrame | None, key: str) -> DataFrame:
         "part", F.coalesce("least", F.col(key))).drop("least")
 
 
-def open_lists(lists: DataFrame, parts: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """The members of lists with several components, their number, and the pairs across them."""
+def open_lists(lists: DataFrame, parts: DataFrame | None) -> tuple[DataFrame, int]:
+    """The members of lists with several components, and how many pairs lie across these."""
     members = with_parts(lists, parts, "id")
     by_part = members.groupBy("value", "part").agg(F.count("*").alias("c"))
     per_list = by_part.groupBy("value").agg(F.count("*").alias("parts"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("squares"))
-    lists_left = stored(per_list.where("parts > 1").select("value", "c", ((F.col("c") * F.col("c") - F.col("squares")) / 2).alias("pairs")), "open")
-    n, pairs = lists_left.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
-    return members.join(lists_left.select("value"), "value", "left_semi"), int(n), int(pairs)
+    across = ((F.col("c") * F.col("c") - F.col("squares")) / 2).cast("long")
+    still = stored(per_list.where("parts > 1").select("value", across.alias("pairs")), "open")
+    pairs = still.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+    return members.join(still.select("value"), "value", "left_semi"), int(pairs)
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """The stored table of ids, to be broadcast if they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int) -> DataFrame | None:
     """Parts (a the least, b any other id) of the representatives; None if there is no link."""
     lists = stored(inverted_lists(classes, k, percent), "lists")
     active = stored(lists.select("id").distinct(), "active")
-    n_active = active.count()
-    if not n_active:
+    if active.isEmpty():
         return None
-    if n_active <= BROADCAST_IDS:
-        active = F.broadcast(active)
+    active = few(active)
     sets = stored(full_sets(docs.join(active, docs.doc_id == active.id, "left_semi").select("doc_id", "text"), width), "sets")
     kept = stored(classes.join(active, "id", "left_semi").select("id", "sketch"), "kept")
-    parts, tested, edges, turn = None, None, None, 0
+    parts, tested, edges, turn, before = None, None, None, 0, None
     while True:
-        members, n, pairs = open_lists(lists, parts)
+        members, pairs = open_lists(lists, parts)
         if not pairs:
             return parts
-        last = pairs <= OPEN_PAIRS * n or (turn and not found)
+        last = before is not None and 3 * pairs > 2 * before
         met = all_pairs(members, percent) if last else star_pairs(members, turn, percent)
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
         one, two = (kept.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         near = met.join(one, "a").join(two, "b").where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b")
         near = stored(near, "near")
-        one, two = (sets.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
-        sure = stored(linked(near.join(one, "a").join(two, "b"), percent), "links")
-        found = not sure.isEmpty()
-        if found:
+        sure = stored(linked(with_sets(near, sets), percent), "links")
+        if not sure.isEmpty():
             edges = sure if edges is None else edges.select("a", "b").union(sure)
             edges = parts = stars(edges)
         if last:
             return parts
         tested = near if tested is None else tested.union(near)
-        turn += 1
+        turn, before = turn + 1, pairs
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,16 +258,19 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, doc_i
     without words, null or empty, it has none and links with nothing. A row without an id links
     with nothing, has no component and is kept. Repeated rows get the same answer; of rows that
     share an id each is judged by its own text, and groups that such an id represents are one.
-    Other columns are not read.
+    Other columns are not read. The threshold must be two thirds at least, and ``k`` so large that
+    neighbours are sure to be shared.
     """
+    if percent < 67 or not shared_neighbours(k, percent)[-1]:
+        raise ValueError(f"sketches of {k} values miss sets that are alike to {percent} percent")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     drawn = stored(sketches(rows, width, k), "sketches")
     usable = drawn.where("n > 0 and doc_id is not null")
-    keys = stored(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id")), "classes")
-    classes = usable.join(keys.withColumnRenamed("id", "doc_id"), ["key_a", "key_b", "doc_id"])
-    classes = stored(classes.select(F.col("doc_id").alias("id"), "n", "sketch"), "representatives")
+    keys = stored(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id"), F.count("*").alias("c")).where("c > 1").drop("c"), "classes")
+    copies = stored(usable.join(few(keys), ["key_a", "key_b"]).where("doc_id != id").select("doc_id").distinct(), "copies")
+    classes = usable.join(few(copies), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "sketch")
     parts = links(rows, classes, width, percent, k)
-    named = drawn.select("doc_id", "n", "key_a", "key_b").join(keys, ["key_a", "key_b"], "left")
+    named = drawn.select("doc_id", "n", "key_a", "key_b").join(keys, ["key_a", "key_b"], "left").withColumn("id", F.coalesce("id", "doc_id"))
     part = with_parts(named, parts, "id").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("part")).otherwise(F.col("doc_id")).alias("component_id"))

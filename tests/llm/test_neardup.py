@@ -54,7 +54,7 @@ def docs(spark, documents):
     return documents.where("doc_id >= 10000 or doc_id < 120").unionByName(extra, allowMissingColumns=True).cache()
 
 
-@pytest.mark.parametrize("width, percent, k", [(2, 80, 64), (5, 80, 64), (2, 60, 64)])
+@pytest.mark.parametrize("width, percent, k", [(2, 80, 96), (5, 80, 64), (2, 70, 96)])
 def test_equals_brute_force(docs, width, percent, k):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     expected = brute(rows, width, percent)
@@ -63,8 +63,8 @@ def test_equals_brute_force(docs, width, percent, k):
     assert sum(not r[3] for r in got) > 40
 
 
-def test_star_rounds_alone_reach_the_last_round(docs, monkeypatch):
-    monkeypatch.setattr(neardup, "OPEN_PAIRS", 0)
+def test_large_tables_are_shuffled(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
     some = docs.where("doc_id >= 60000")
     rows = [(r.doc_id, r.text) for r in some.select("doc_id", "text").collect()]
@@ -80,8 +80,24 @@ def test_null_ids_repeated_rows_and_no_rows(spark, empty):
     assert neardup.groups(empty).count() == 0
 
 
-def test_overlap_bound():
-    assert neardup.least_overlap(64, 80) in range(20, 30) and neardup.least_overlap(8, 80) == 0
+def test_bounds():
+    assert neardup.least_overlap(64, 80) in range(24, 34) and neardup.least_overlap(8, 80) == 0
+    least = neardup.shared_neighbours(96, 80)
+    assert len(least) == 98 and min(least) == 1 and 15 < least[97] < 25
+    rng = random.Random(1)
+    for _ in range(3000):  # whole sets share at least so many neighbours
+        union = rng.randrange(2, 97)
+        both = sorted(rng.sample(range(union), -(-80 * union // 100)))
+        rest = [x for x in range(union) if x not in both]
+        a, b = (sorted(both + [x for x in rest if rng.random() < 0.5]) for _ in "ab")
+        pairs = set(zip(a, a[1:])) & set(zip(b, b[1:]))
+        if 100 * len(both) >= 80 * len(set(a) | set(b)):
+            assert len(pairs) >= max(least[len(a)], least[len(b)])
+
+
+def test_threshold_that_the_lists_cannot_keep(empty):
+    with pytest.raises(ValueError):
+        neardup.groups(empty, 2, 60)
 
 
 def test_stars_reach_the_least_node(spark):
