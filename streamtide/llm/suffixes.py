@@ -20,6 +20,7 @@ Two different windows have one fingerprint with probability 2**-64.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -32,9 +33,10 @@ from streamtide.llm.common import INVERSE, as_bytes, mixed, powers, prefix_sums,
 
 WINDOW = 400
 GRAM = 200
-#: Bytes of text in a packet, unless one document has more; entries in a range.
-PACKET = 2_000_000
-RANGE = 2_000_000
+#: Bytes of text hashed at once and in a packet, unless one document has more; entries in a range.
+PART = 1_000_000
+PACKET = 1_000_000
+RANGE = 1_000_000
 LEAST_RANGES = 32
 #: Tables of ids up to these sizes (rows, and entries of their lists) are broadcast.
 BROADCAST_ROWS = 400_000
@@ -94,7 +96,7 @@ def grams_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART):
                 data, offsets = as_bytes(part.column("text"))
                 if len(data) >= window:
                     owner, found, n = chosen_grams(data, offsets, window, gram)
@@ -141,7 +143,7 @@ def packets_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
             return pa.RecordBatch.from_pylist([row], PACKET_FIELDS)
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART):
                 for doc, edges, texts in stretches(part):
                     more = sum(map(len, texts))
                     if held and size + more > PACKET:
@@ -306,28 +308,38 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_id: str
     )
 
 
+def outside(text: str, removed: list[dict]) -> bytes:
+    """The bytes of the text outside the removed ranges."""
+    data, at, parts = text.encode(), 0, []
+    for span in removed:
+        parts.append(data[at:span["from"]])
+        at = span["to"]
+    return b"".join([*parts, data[at:]])
+
+
 def cut(found: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept: the bytes outside the removed ranges."""
+    """doc_id, kept: the bytes of each text that are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, gone, spans, kept = [], [], [], []
-            for text, removed in zip(batch.column("text"), batch.column("removed")):
-                data, at, parts = text.as_py().encode(), 0, []
-                for span in removed.as_py():
-                    parts.append(data[at:span["from"]])
-                    at = span["to"]
-                rest = b"".join([*parts, data[at:]])
-                sizes.append(len(data))
-                gone.append(len(data) - len(rest))
-                spans.append(len(removed))
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, spans)), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+            for part in slices(batch, limit=PART):
+                kept = [outside(t.as_py(), r.as_py()) for t, r in zip(part.column("text"), part.column("removed"))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.binary())], ["doc_id", "kept"])
+
+    return found.mapInArrow(run, "doc_id long, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return cut(repeats(docs)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """doc_id, n_bytes, n_removed, n_spans, and the hash of the bytes that are left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, limit=PART):
+                kept = [outside(t.as_py(), r.as_py()) for t, r in zip(part.column("text"), part.column("removed"))]
+                yield pa.RecordBatch.from_arrays([
+                    *(part.column(c) for c in ("doc_id", "n_bytes", "n_spans")), pa.array([len(x) for x in kept], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())], ["doc_id", "n_bytes", "n_spans", "n_kept", "kept_sha256"])
+
+    found = repeats(docs).withColumns({"n_bytes": F.octet_length("text").cast("long"), "n_spans": F.size("removed").cast("long")})
+    left = found.mapInArrow(run, "doc_id long, n_bytes long, n_spans long, n_kept long, kept_sha256 string")
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.col("n_kept")).alias("n_removed"), "n_spans", "kept_sha256")
