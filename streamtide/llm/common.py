@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
@@ -40,14 +40,14 @@ def discard(frame: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Row ranges of the batch whose texts have ``CHUNK`` bytes at most, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Row ranges of the batch whose texts have ``limit`` bytes at most, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes.astype(np.int64))
     at = 0
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
 

@@ -109,24 +109,21 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """id, hashes: the whole set of each document as sorted 8-byte values."""
+    """id, hashes: the whole set of each document, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                hashes, counts = shingle_sets(part, "text", width)
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([hashes[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], ["id", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists_of(*shingle_sets(part, "text", width))], ["id", "hashes"])
 
-    return docs.mapInArrow(run, "id long, hashes binary")
+    return docs.mapInArrow(run, "id long, hashes array<long>")
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The stored pairs with set_a and set_b."""
     ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids")
     own = sets.join(few(ids), "id", "left_semi")
-    size = own.agg(F.coalesce(F.sum(F.octet_length("hashes") + 32), F.lit(0))).first()[0]
+    size = own.agg(F.coalesce(F.sum(F.size("hashes") * 8 + 32), F.lit(0))).first()[0]
     one, two = (own.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
     if size <= BROADCAST_BYTES:
         one, two = F.broadcast(one), F.broadcast(two)
@@ -135,17 +132,9 @@ def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked(pairs: DataFrame, percent: int) -> DataFrame:
     """a, b of the pairs whose full sets meet the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.mapInArrow(run, "a long, b long")
+    both = pairs.withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
+    union = F.size("set_a") + F.size("set_b") - F.col("shared")
+    return both.where(F.col("shared") * 100 >= union * percent).select("a", "b")
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int) -> DataFrame:

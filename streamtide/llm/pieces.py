@@ -32,6 +32,8 @@ LONG = 48
 MARK = "▁"
 #: Extra cost of a fallback byte over the dearest piece.
 PENALTY = 10.0
+#: Bytes of text taken apart at once: the more, the fewer words are solved twice.
+PART = 2_000_000
 #: Words solved at once, and the ids that a process keeps of solved words.
 BLOCK = 8_192
 FULL = 4_000_000
@@ -346,7 +348,7 @@ def encode(docs: DataFrame, machine: Machine, text: str = "text", keep: list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = machine.by_hash()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit=PART):
                 ids, numbers, costs = encode_texts(part.column(text).to_pylist(), machine, index)
                 offsets = np.concatenate([[0], np.cumsum(numbers)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
@@ -383,7 +385,7 @@ def digest(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = machine.by_hash()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART):
                 texts = part.column("text").to_pylist()
                 ids, numbers, costs = encode_texts(texts, machine, index)
                 edges = np.concatenate([[0], np.cumsum(numbers)])
