@@ -21,10 +21,11 @@ from streamtide.operators.rollups import distinct_names
 def attach_sentiment(messages: DataFrame, scores: DataFrame, key: str = "msg_id") -> DataFrame:
     """Messages with the code of their score.
 
-    ``scores`` has one row per key. A message without a score is neutral; one
-    whose score carries no label is dropped.
+    A message without a score is neutral; one whose score carries no label is
+    dropped. Of repeated scores of a key the least label counts, so a message
+    never comes twice; labels win over none.
     """
-    labels = scores.select(key, "label", F.lit(True).alias("scored"))
+    labels = scores.groupBy(key).agg(F.min("label").alias("label"), F.lit(True).alias("scored"))
     joined = messages.join(labels, key, "left")
     kept = joined.where(F.col("scored").isNull() | F.col("label").isNotNull())
     return kept.withColumn("sentiment", classes.sentiment_code(F.col("label"))).drop(
@@ -49,7 +50,7 @@ def weather_by_hour(obs: DataFrame, places: Sequence[str]) -> DataFrame:
     Expects one row per hour and place (``latest_per_key``). Only the listed
     places enter the map, so a map is never larger than that list.
     """
-    cell = F.concat_ws(",", "main", "wind", F.col("temp").cast("string"))
+    cell = F.concat_ws(",", "main", F.col("wind").cast("string"), F.col("temp").cast("string"))
     return (
         obs.where(F.col("place").isin(*places))
         .groupBy("hour_key")
@@ -85,10 +86,15 @@ def join_weather(
 
 
 def forecast_by_slot(forecast: DataFrame, places: Sequence[str]) -> DataFrame:
-    """Forecast as one map per slot; the first entry of a place and slot wins."""
+    """Forecast as one map per slot; the first entry of a place and slot wins.
+
+    A place whose first entry is incomplete has no text in that slot.
+    """
     values = F.struct("main", "wind", "temp")
-    complete = forecast.where(F.col("place").isin(*places)).dropna(subset=["main", "wind", "temp"])
-    first = complete.groupBy("place", "dt_txt").agg(F.min_by(values, "pos").alias("slot"))
+    listed = forecast.where(F.col("place").isin(*places))
+    first = listed.groupBy("place", "dt_txt").agg(F.min_by(values, "pos").alias("slot")).where(
+        "slot.main is not null and slot.wind is not null and slot.temp is not null"
+    )
     cell = F.concat_ws(
         " ", "slot.main", F.col("slot.wind").cast("string"), F.col("slot.temp").cast("string")
     )

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamtide import schemas
 from streamtide.operators import rollups
 
 GROUP = ["name", "day"]
-SALTS = 64
+#: Slices of an hour: with 24 hours, the parts of a stream and day.
+SLICES = 4
 BAGS = {
     "metadata": schemas.METADATA_ENTRY,
     "viewerspermin": schemas.VIEWERS_ENTRY,
@@ -31,91 +30,61 @@ def metadata_entries(samples: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("polls"))
 
 
-def large_groups(samples: DataFrame, bag_limit: int) -> DataFrame:
-    """Streams and days with more polls than one list may hold, and the parts they need.
-
-    Reads two columns and shuffles counts. Stored before use (``session.stored``)
-    it is a table of known size, and ``number_parts`` need not shuffle the entries.
-    """
-    counts = samples.where("name is not null and created is not null").groupBy(
-        "name", F.to_date("created").alias("day")
-    ).agg(F.count(F.lit(1)).alias("polls"))
-    return counts.where(F.col("polls") > bag_limit).select(
-        *GROUP, F.ceil(F.col("polls") / bag_limit).alias("parts")
-    )
-
-
-def number_parts(entries: DataFrame, large: DataFrame) -> DataFrame:
-    """Adds ``part``: 0 for an ordinary group, several parts for a large one.
+def part_of(at: Column, *values: Column | str) -> Column:
+    """The part an entry goes to, from its own values alone: its hour, and one of SLICES by hash.
 
-    The entries of a large group are spread by hash, so no row of the wide
-    table holds an unbounded list. The join with the large groups is salted: a
-    group of any size reaches it through ``SALTS`` partitions.
+    The rule is the same for all lists, streams and days, whatever their size, so the parts of
+    a stream and day number 24 * SLICES at most and no row holds more than one of them.
     """
-    entry = F.xxhash64(*[c for c in entries.columns if c not in (*GROUP, "polls")])
-    hashed = entries.withColumn("entry_hash", entry)
-    salted = hashed.withColumn("salt", F.pmod("entry_hash", F.lit(SALTS).cast("long")))
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    joined = salted.join(
-        large.select("*", F.explode(salts).alias("salt")), [*GROUP, "salt"], "left"
-    )
-    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("entry_hash", "parts").cast("int"))
-    return joined.withColumn("part", part).drop("entry_hash", "parts", "salt")
+    return F.hour(at) * SLICES + F.pmod(F.xxhash64(at, *values), F.lit(SLICES)).cast("int")
 
 
-def _as_bag_rows(rows: DataFrame, bag: str | None, part: Column) -> DataFrame:
-    """Rows as (name, day, part) plus three entry columns, of which at most one is set."""
-    entry = F.struct(*[c for c in rows.columns if c not in (*GROUP, "part")])
+def _as_bag_rows(rows: DataFrame, bag: str) -> DataFrame:
+    """Rows as (name, day, part) plus three entry columns, of which one is set."""
+    own = [c for c in rows.columns if c not in GROUP]
+    at, *rest = [c for c in own if c in ("created", "minute")] + [c for c in own if bag == "metadata" and c not in ("created", "polls")]
     cells = [
-        (entry if name == bag else F.lit(None)).cast(dtype).alias(name)
+        (F.struct(*own) if name == bag else F.lit(None)).cast(dtype).alias(name)
         for name, dtype in BAGS.items()
     ]
     return rows.where("name is not null and day is not null").select(
-        *GROUP, part.alias("part"), *cells, F.lit(bag is None).alias("large")
+        *GROUP, part_of(F.col(at), *rest).alias("part"), *cells
     )
 
 
+def _polled(minutes: DataFrame) -> DataFrame:
+    """The minutes of streams and days that have viewers: a window over their minutes only."""
+    has_viewers = F.max(F.col("viewerspermin").isNotNull()).over(Window.partitionBy(*GROUP))
+    return minutes.withColumn("polled", has_viewers).where("polled").drop("polled")
+
+
 def stream_day(
     samples: DataFrame,
     viewers: DataFrame,
     chat: DataFrame,
     run_ts: Column,
-    bag_limit: int = 10_000,
     how: str = "left",
-    large: DataFrame | None = None,
 ) -> DataFrame:
-    """One nested row per stream and day.
+    """Nested rows per stream, day and part.
 
     ``viewers`` and ``chat`` are minute tables, at most 1,440 entries per
-    stream and day; they go with part 0. With ``how='left'`` only streams and
-    days with metadata remain, ``how='full'`` keeps all. The inputs are
-    concatenated and grouped once, so the cogroup costs a single shuffle.
-    ``large`` may hand in the stored ``large_groups``. They take part as rows
-    of their own, since all entries of a large group may be in other parts
-    than part 0.
+    stream and day, ``viewers`` that of ``samples``. With ``how='left'`` only
+    streams and days with polls remain, ``how='full'`` keeps all. The inputs are
+    concatenated and grouped once, so the cogroup needs no join.
     """
     if how not in ("left", "full"):
         raise ValueError(f"how must be 'left' or 'full', not {how!r}")
-    if large is None:
-        large = large_groups(samples, bag_limit)
-    bags = reduce(DataFrame.unionAll, [
-        _as_bag_rows(number_parts(metadata_entries(samples), large), "metadata", F.col("part")),
-        _as_bag_rows(large.select(*GROUP), None, F.lit(0)),
-        _as_bag_rows(
-            viewers.select(*GROUP, "minute", "viewers_sum", "viewers_cnt", "viewers"),
-            "viewerspermin", F.lit(0),
-        ),
-        _as_bag_rows(
-            chat.select(*GROUP, "minute", "positive", "negative", "neutral"),
-            "chatspermin", F.lit(0),
-        ),
-    ])
+    minutes = _as_bag_rows(
+        viewers.select(*GROUP, "minute", "viewers_sum", "viewers_cnt", "viewers"), "viewerspermin"
+    ).unionAll(_as_bag_rows(
+        chat.select(*GROUP, "minute", "positive", "negative", "neutral"), "chatspermin"
+    ))
+    if how == "left":
+        minutes = _polled(minutes)
+    bags = _as_bag_rows(metadata_entries(samples), "metadata").unionAll(minutes)
     rows = bags.groupBy(*GROUP, "part").agg(
-        *[F.sort_array(F.collect_list(name)).alias(name) for name in BAGS],
-        F.max("large").alias("large"),
+        *[F.sort_array(F.collect_list(name)).alias(name) for name in BAGS]
     )
-    if how == "left":
-        rows = rows.where((F.size("metadata") > 0) | F.col("large"))
     return rows.select(*GROUP, run_ts.alias("run_ts"), "part", *BAGS)
 
 
@@ -130,22 +99,12 @@ def flatten(table: DataFrame, bag: str) -> DataFrame:
 
 
 def repeat_polls(entries: DataFrame, block: int = 100_000) -> DataFrame:
-    """Metadata entries repeated ``polls`` times.
-
-    Entries repeated more than ``block`` times are cut into blocks that are
-    spread over the tasks, so none is one huge list or the work of one task.
-    """
+    """Metadata entries repeated ``polls`` times, in blocks, so that no list is longer."""
     columns = [c for c in entries.columns if c != "polls"]
     one, size = F.lit(1).cast("long"), F.lit(block).cast("long")
-    few = entries.where(F.col("polls") <= block).withColumn("first", one)
-    many = (
-        entries.where(F.col("polls") > block)
-        .withColumn("first", F.explode(F.sequence(one, "polls", size)))
-        .withColumn("polls", F.least(F.col("polls") - F.col("first") + 1, size))
-        .repartition(*columns, "first")
-    )
-    repeated = F.explode(F.sequence(one, "polls")).alias("copy")
-    return few.unionByName(many).select(*columns, repeated).drop("copy")
+    blocks = entries.select("*", F.explode(F.sequence(one, "polls", size)).alias("first"))
+    last = F.least(F.col("polls"), F.col("first") + size - 1)
+    return blocks.select(*columns, F.explode(F.sequence("first", last)).alias("copy")).drop("copy")
 
 
 def project_entries(items: Column, *fields: str) -> Column:

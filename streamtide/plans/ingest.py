@@ -7,22 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtide import schemas
 from streamtide.functions import text
 from streamtide.operators import joins, quality, rollups
+from streamtide.session import stored
 from streamtide.sources import documents
 
 
 def ingest_metadata(
     pages: DataFrame, polled_at: str = "landed_at", latest_only: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Listing pages to polls, and the quarantine of unreadable pages."""
+    """Listing pages to polls, and the quarantine of unreadable pages and elements.
+
+    The parsed elements are stored, so both come from one parse.
+    """
+    kept = [c for c in pages.columns if c not in ("body", "element", "stream")]
+    elements = stored(documents.page_elements(pages, *kept), "elements")
     rows = quality.default_mature(
-        quality.required_fields(documents.stream_rows(pages, polled_at))
+        quality.required_fields(documents.stream_rows(elements, polled_at))
     )
     if latest_only:
         rows = rollups.latest_per_key(rows, ["channel_id"], ["created", "updated_at"])
-    return rows, documents.corrupt_documents(pages, schemas.STREAM_PAGE)
+    return rows, documents.page_quarantine(elements)
 
 
 def ingest_chat(messages: DataFrame, scores: DataFrame, key: str = "msg_id") -> DataFrame:
@@ -34,7 +39,7 @@ def ingest_chat(messages: DataFrame, scores: DataFrame, key: str = "msg_id") ->
 
 def ingest_weather(pages: DataFrame, obs_ts: str = "landed_at") -> DataFrame:
     """Weather documents to the observation log (C3); ``latest_weather`` resolves it."""
-    return documents.weather_rows(pages, obs_ts)
+    return documents.weather_rows(documents.weather_parts(pages, obs_ts))
 
 
 def latest_weather(obs: DataFrame, *tie_break: str) -> DataFrame:

@@ -1,9 +1,16 @@
-"""The two scheduled runs, from landed files to tables, on one folder layout."""
+"""The scheduled runs, from landed files to tables, on one folder layout.
+
+Landed files are read as streams with a checkpoint: each enters exactly one run,
+whatever is still in its folder. A micro-batch writes its rows and then a line of
+the manifest that says which run has it; a batch that is done again after a
+failure replaces both, so it still belongs to one run only.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,27 +20,68 @@ from streamtide import schemas
 from streamtide.functions import times
 from streamtide.operators import joins, quality, rollups, wide
 from streamtide.plans import ingest, training
-from streamtide.session import stored
+from streamtide.session import has_folder, stored
 from streamtide.sinks import tables as sinks
-from streamtide.sources import files
+from streamtide.sources import documents, files
+from streamtide.sources import tables as sources
+from streamtide.streaming.chat import file_stream
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders below one root on storage all executors share."""
+    """Folders below one root on storage all executors share.
+
+    ``archive``: where landed files go once their batch is done (K7, T8);
+    without it they stay where they landed.
+    """
 
     root: str
+    archive: str | None = None
 
     def folder(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def options(self) -> dict:
+        return {"cleanSource": "archive", "sourceArchiveDir": self.archive} if self.archive else {}
+
 
-def _stamp(run_ts: str) -> str:
+def stamp_of(run_ts: str) -> str:
     return run_ts.replace(" ", "T").replace(":", "-")
 
 
-def _own_run(spark: SparkSession, path: str, stamp: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("run") == stamp).drop("run")
+def take(
+    layout: Layout, source: str, stream: DataFrame, stamp: str,
+    write: Callable[[DataFrame, str, str], None],
+) -> None:
+    """Works off what has landed: ``write(rows, folder, batch name)`` per micro-batch."""
+
+    def done(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{layout.folder(source)}/query={query}/batch={batch_id}"
+        write(batch, folder, f"{query}-{batch_id}")
+        line = batch.sparkSession.createDataFrame([(stamp, folder)], "run string, path string")
+        place = f"{layout.folder('manifest')}/source={source}/query={query}/batch={batch_id}"
+        line.coalesce(1).write.mode("overwrite").parquet(place)
+
+    writer = stream.writeStream.foreachBatch(done).trigger(availableNow=True)
+    writer.option("checkpointLocation", layout.folder(f"checkpoints/{source}")).start().awaitTermination()
+
+
+def taken(spark: SparkSession, layout: Layout, source: str, stamp: str, schema: str) -> DataFrame:
+    """The rows of the batches that belong to the run; none is an empty table."""
+    empty = spark.createDataFrame([], schema)
+    if not has_folder(spark, layout.folder("manifest")):
+        return empty
+    lines = spark.read.schema(schemas.MANIFEST).parquet(layout.folder("manifest"))
+    own = lines.where((F.col("source") == source) & (F.col("run") == stamp)).select("path").collect()
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(r.path) for r in own], empty)
+
+
+def _write_rows(clean: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str, str], None]:
+    def write(batch: DataFrame, folder: str, name: str) -> None:
+        clean(batch).write.mode("overwrite").parquet(folder)
+
+    return write
 
 
 def minute_run(
@@ -42,20 +90,27 @@ def minute_run(
     polls: str,
     chat: str,
     run_ts: str,
+    pages: str | None = None,
     min_viewers: int = 500,
-    bag_limit: int = 10_000,
 ) -> None:
     """The ten-minute run: polls and chat to sessions and the wide table.
 
-    ``polls`` holds ``;`` text, ``chat`` the typed chat rows. The cleaned polls
-    are written once and feed all branches. ``run_ts`` names the run
-    (``yyyy-MM-dd HH:mm:ss``); repeating a run replaces its own output.
+    ``polls`` holds ``;`` text, ``chat`` the typed chat rows, ``pages`` listing
+    pages (C1). Only files that no earlier run has taken count. ``run_ts`` names
+    the run (``yyyy-MM-dd HH:mm:ss``); repeating a run replaces its own output.
     """
-    stamp = _stamp(run_ts)
-    cleaned = quality.clean_samples(files.read_stream_samples(spark, polls, recursive=True))
-    sinks.write_run(cleaned, layout.folder("samples"), stamp)
-    samples = _own_run(spark, layout.folder("samples"), stamp)
-    messages = spark.read.schema(schemas.CHAT_MESSAGE).parquet(chat)
+    stamp = stamp_of(run_ts)
+    take(layout, "polls", files.stream_sample_files(spark, polls, **layout.options()), stamp,
+         _write_rows(quality.clean_samples))
+    take(layout, "chat", file_stream(spark, chat, schemas.CHAT_MESSAGE, "parquet", archive=layout.archive), stamp,
+         _write_rows(lambda rows: rows))
+    landed = taken(spark, layout, "polls", stamp, schemas.CLEAN_SAMPLE)
+    if pages is not None:
+        take(layout, "pages", documents.stream_documents(spark, pages, **layout.options()), stamp, _write_pages(layout))
+        landed = landed.unionByName(taken(spark, layout, "pages", stamp, schemas.CLEAN_SAMPLE))
+    sinks.write_run(landed, layout.folder("samples"), stamp)
+    samples = sources.read_run(spark, layout.folder("samples"), stamp, schemas.CLEAN_SAMPLE)
+    messages = taken(spark, layout, "chat", stamp, schemas.CHAT_MESSAGE)
 
     sinks.write_run(
         ingest.sessions_of(samples, min_viewers), layout.folder("sessions"), stamp
@@ -65,37 +120,73 @@ def minute_run(
         rollups.viewers_per_bucket(samples),
         rollups.chat_per_bucket(messages),
         times.run_time(run_ts),
-        large=stored(wide.large_groups(samples, bag_limit), "large-groups"),
     )
-    sinks.write_stream_day(rows, layout.folder("stream_day"))
+    sinks.write_stream_day(rows, layout.folder("stream_day"), stamp)
+
+
+def _write_pages(layout: Layout) -> Callable[[DataFrame, str, str], None]:
+    def write(batch: DataFrame, folder: str, name: str) -> None:
+        rows, bad = ingest.ingest_metadata(batch)
+        rows.drop("updated_at").write.mode("overwrite").parquet(folder)
+        bad.write.mode("overwrite").parquet(f"{layout.folder('pages_quarantine')}/batch={name}")
+
+    return write
+
+
+def weather_run(spark: SparkSession, layout: Layout, pages: str, run_ts: str) -> None:
+    """The hourly run: landed weather documents to the log, by day; unreadable ones apart."""
+
+    def write(batch: DataFrame, folder: str, name: str) -> None:
+        parts = documents.weather_parts(batch).persist()
+        sinks.append_weather(documents.weather_rows(parts), layout.folder("weather"), name)
+        bad = documents.weather_quarantine(parts)
+        bad.write.mode("overwrite").parquet(f"{layout.folder('weather_quarantine')}/batch={name}")
+        parts.unpersist()
+
+    take(layout, "weather_pages", documents.stream_documents(spark, pages, **layout.options()), stamp_of(run_ts), write)
+
+
+def night_samples(spark: SparkSession, layout: Layout, day: str) -> DataFrame:
+    """The polls of one day. Runs that began before it hold none and are not read."""
+    samples = sources.read_runs(spark, layout.folder("samples"), schemas.CLEAN_SAMPLE)
+    return samples.where((F.col("run") >= day) & (F.to_date("created") == F.lit(day).cast("date"))).drop("run")
 
 
 def training_run(
     spark: SparkSession,
     layout: Layout,
     places: Sequence[str],
-    run_ts: str,
+    day: str,
     algorithm: str = "nb",
     strict: bool = True,
+    min_viewers: int = 500,
 ) -> PipelineModel:
-    """The nightly run: all sessions and the weather log to a stored model.
+    """The nightly run: one row per stream and game of ``day``, then a model of all nights.
 
-    The training set is a table of its own, because fitting reads it several times.
+    Sessions come from the day's polls, weather from that day of the log and the
+    day before and after it. The rows are added to the training table, in place
+    of those of an earlier run for the day, and the model is fitted on the table.
     """
-    stamp = _stamp(run_ts)
-    sessions = spark.read.parquet(layout.folder("sessions"))
-    obs = ingest.latest_weather(spark.read.parquet(layout.folder("weather")))
+    sessions = ingest.sessions_of(night_samples(spark, layout, day), min_viewers)
+    at = F.lit(day).cast("date")
+    log = sources.read_weather(spark, layout.folder("weather")).where(F.col("day").between(F.date_sub(at, 1), F.date_add(at, 1)))
+    obs = ingest.latest_weather(log.drop("day", "batch"))
     rows = training.build_training_set(sessions, obs, places, strict)
-    sinks.write_run(rows, layout.folder("training"), stamp)
-    model = training.train(_own_run(spark, layout.folder("training"), stamp), algorithm)
+    sinks.write_run(rows, layout.folder("training"), day)
+    table = spark.read.schema(schemas.TRAINING_ROW).parquet(layout.folder("training"))
+    model = training.train(table, algorithm)
     training.save_model(model, layout.folder("model"))
     return model
 
 
 def prediction_run(
     spark: SparkSession, layout: Layout, requests: DataFrame, forecast: DataFrame,
-    places: Sequence[str],
+    places: Sequence[str], digits: int | None = None,
 ) -> DataFrame:
-    """Requests through the model stored last."""
+    """Requests through the model stored last.
+
+    The slots are stored first: with their size known, the requests need no shuffle.
+    """
     model = training.load_model(layout.folder("model"))
-    return training.predict(requests, joins.forecast_by_slot(forecast, places), places, model)
+    slots = stored(joins.forecast_by_slot(forecast, places), "slots")
+    return training.predict(requests, slots, places, model, digits=digits)

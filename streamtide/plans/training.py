@@ -126,7 +126,12 @@ def predict(
     places: Sequence[str],
     model: PipelineModel,
     bucket: str = "round",
+    digits: int | None = None,
 ) -> DataFrame:
-    """Requests to viewer classes and range texts."""
-    scored = score(model, enrich_requests(requests, slots, places).select("id", "text"))
+    """Requests to viewer classes and range texts.
+
+    ``digits`` must be that of the training set, so that equal numbers are equal text.
+    """
+    enriched = enrich_requests(requests, slots, places, digits)
+    scored = score(model, enriched.select("id", "text"))
     return scored.withColumn("range_text", classes.range_text(F.col("viewer_class"), bucket))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,17 +28,25 @@ def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Without that setting only a local master gets a folder of its own; on a
-    cluster a machine-local path would be lost with its executor.
+    Without that setting it lies below the warehouse, which all executors share
+    as well. ``drop_folder`` removes one that is no longer read.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="streamtide-")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def has_folder(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder on any file system that Spark reaches; False if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to a scratch folder and read back.
 

@@ -5,27 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.functions import times
 
+def write_stream_day(rows: DataFrame, path: str, run: str) -> None:
+    """A run of the wide table, below ``run=<stamp>`` by day (K1).
 
-def write_stream_day(rows: DataFrame, path: str) -> None:
-    """Add a run to the wide table, one folder per day and run (K1).
-
-    Writing the same run again replaces it, other runs of the day stay. Days
-    are the first partition level, so a scan of one day reads only its folder.
+    Writing the run again replaces all of it, days that it no longer has
+    included; other runs stay. A scan of one day reads that day's folders only.
     """
-    stamped = rows.withColumn("run", times.run_stamp(F.col("run_ts")))
-    replace_partitions(stamped, path, "day", "run")
+    rows.hint("rebalance").write.partitionBy("day").mode("overwrite").parquet(f"{path}/run={run}")
+
 
+def append_weather(obs: DataFrame, path: str, batch: str) -> None:
+    """Observations to the log behind the upsert, by day of the hour (K2).
 
-def append_weather(obs: DataFrame, path: str) -> None:
-    """The observation log behind the upsert (K2); readers resolve the latest."""
-    obs.write.mode("append").parquet(path)
+    Readers resolve the latest. A batch that is written again replaces its own
+    folders.
+    """
+    day = F.to_date(F.substring("hour_key", 1, 8), "yyyyMMdd")
+    replace_partitions(obs.withColumns({"day": day, "batch": F.lit(batch)}), path, "day", "batch")
 
 
 def write_run(rows: DataFrame, path: str, run: str) -> None:
-    """Rows of one run below ``run=<stamp>``; other runs stay (K3)."""
-    replace_partitions(rows.withColumn("run", F.lit(run)), path, "run")
+    """The rows of one run below ``run=<stamp>``, in place of what it wrote before (K3)."""
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def replace_partitions(rows: DataFrame, path: str, *keys: str) -> None:

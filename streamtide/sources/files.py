@@ -9,15 +9,18 @@ from streamtide import schemas
 from streamtide.functions import text, times
 
 
+def _options(sep: str, recursive: bool) -> dict:
+    return {"sep": sep, "quote": "", "escape": "", "recursiveFileLookup": recursive}
+
+
 def _delimited(spark: SparkSession, path, schema: str, sep: str, recursive: bool) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("quote", "")
-        .option("escape", "")
-        .option("recursiveFileLookup", recursive)
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**_options(sep, recursive)).csv(path)
+
+
+def stream_sample_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The same polls as a stream: each landed file is read once."""
+    reader = spark.readStream.schema(schemas.STREAM_SAMPLE).options(**_options(";", True), **options)
+    return reader.csv(path)
 
 
 def read_stream_samples(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
@@ -64,17 +67,6 @@ def read_places(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def place_list(places: DataFrame, limit: int = 1000) -> list[str]:
-    """The places as a checked, bounded argument for the weather functions.
-
-    Reads one row more than allowed and refuses a list that is too long.
-    """
-    rows = places.select("place").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} places")
-    return sorted(r["place"] for r in rows)
-
-
 def read_sequence_chat(spark: SparkSession, path: str) -> DataFrame:
     """Older chat files: sequence files of epoch ms and ``channel,msg,code``.
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from streamtide import schemas
 from streamtide.operators import rollups
 from streamtide.streaming.chat import LATENESS
 
@@ -56,13 +57,16 @@ def write_partials(
     until_done: bool = True,
     every: str = "10 minutes",
 ) -> StreamingQuery:
-    """Per micro-batch: the batch rollup of its rows into ``batch=<id>``.
+    """Per micro-batch: the batch rollup of its rows into ``query=<id>/batch=<id>``.
 
     A batch that is run again after a failure replaces its own folder, so the
-    table holds every row exactly once.
+    table holds every row exactly once; a new checkpoint is another query and
+    leaves the older folders alone.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rollup(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{path}/query={query}/batch={batch_id}"
+        rollup(batch).write.mode("overwrite").parquet(folder)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if until_done else writer.trigger(
@@ -73,9 +77,9 @@ def write_partials(
 
 def read_chat_partials(spark: SparkSession, path: str) -> DataFrame:
     """Chat minutes merged over all micro-batches."""
-    return rollups.merge_chat(spark.read.parquet(path))
+    return rollups.merge_chat(spark.read.schema(schemas.CHAT_PARTIAL).parquet(path))
 
 
 def read_viewer_partials(spark: SparkSession, path: str) -> DataFrame:
     """Viewer minutes merged over all micro-batches."""
-    return rollups.merge_viewers(spark.read.parquet(path))
+    return rollups.merge_viewers(spark.read.schema(schemas.VIEWER_PARTIAL).parquet(path))

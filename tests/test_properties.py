@@ -42,23 +42,20 @@ def test_viewer_minutes_equal_a_plain_loop(spark, rows):
 
 
 @FEW
-@given(polls, st.integers(1, 8), st.integers(1, 4))
-def test_split_bags_hold_every_poll(spark, rows, limit, block):
+@given(polls, st.integers(1, 4))
+def test_split_bags_hold_every_poll(spark, rows, block):
     frame = spark.createDataFrame(
         [(n, "g", str(v), None, float(v or 0), START + timedelta(seconds=s)) for n, v, s in rows],
         "name string, game string, status string, mature boolean, fps double, created timestamp",
     )
-    entries = wide.number_parts(
-        wide.metadata_entries(frame), wide.large_groups(frame, limit)
-    )
     table = wide.stream_day(
         frame, rollups.viewers_per_bucket(frame.selectExpr("*", "1L viewers")),
         rollups.chat_per_bucket(frame.selectExpr("name channel", "1 sentiment", "created ts")),
-        F.lit(None).cast("timestamp"), bag_limit=limit,
+        F.lit(None).cast("timestamp"),
     )
     assert wide.merged_viewers(table).agg(F.sum("viewers_sum")).first()[0] == len(rows)
     assert wide.merged_chat(table).agg(F.sum("positive")).first()[0] == len(rows)
-    back = wide.repeat_polls(entries.drop("part"), block=block)
+    back = wide.repeat_polls(wide.flatten(table, "metadata"), block=block)
     columns = ["name", "game", "status", "mature", "fps", "created"]
     order = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, back.select(columns).collect()), key=order) == sorted(

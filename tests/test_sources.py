@@ -64,9 +64,6 @@ def test_places(spark, tmp_path):
     (tmp_path / "places").write_text("48149\n01067 \n\n")
     places = files.read_places(spark, str(tmp_path))
     assert rows_of(places) == [("01067",), ("48149",)]
-    assert files.place_list(places) == ["01067", "48149"]
-    with pytest.raises(ValueError):
-        files.place_list(places, limit=1)
 
 
 def test_sequence_file_chat(spark, tmp_path):
@@ -96,7 +93,7 @@ def stream(**changes):
 def test_stream_pages(spark, tmp_path):
     page = {"streams": [
         stream(), stream(game=None), stream(game="null"), stream(channel=None),
-        stream(_id=6, viewers="x", mature=True), {"_id": 7, "viewers": 1},
+        stream(_id=6, viewers="x", mature=True), {"_id": 7, "viewers": 1}, {"_id": 8, "channel": "text"}, 5,
     ]}
     (tmp_path / "good.json").write_text(json.dumps(page, indent=1))
     (tmp_path / "cut.json").write_text(json.dumps(page)[:50])
@@ -105,7 +102,9 @@ def test_stream_pages(spark, tmp_path):
     assert rows_of(rows, "channel_id", "viewers", "game", "status", "mature", "fps") == [
         (5, 10, "g", "st", False, 59.9), (6, None, "g", "st", True, 59.9)
     ]
-    assert [r.path.rsplit("/", 1)[1] for r in bad.collect()] == ["cut.json"]
+    assert rows_of(bad.selectExpr("regexp_extract(path, '[^/]*$', 0) file", "body is null part", "element")) == [
+        ("cut.json", False, None), ("good.json", True, "5"), ("good.json", True, '{"_id":8,"channel":"text"}'),
+    ]
     assert rows.where("created is null").count() == 0
 
 
@@ -125,8 +124,11 @@ def test_weather_documents(spark, tmp_path):
     (folder / "a.json").write_text(json.dumps(good))
     (folder / "b.json").write_text(json.dumps({**good, "weather": []}))
     (folder / "c.json").write_text("{oops")
-    rows = ingest.ingest_weather(documents.read_documents(spark, str(tmp_path)))
-    assert rows_of(rows, "place", "main", "wind", "temp") == [("01067", "Rain", "3.6", 12.44)]
+    pages = documents.read_documents(spark, str(tmp_path))
+    bad = documents.weather_quarantine(documents.weather_parts(pages))
+    assert sorted(r.body[:5] for r in bad.collect()) == ['{"wea', "{oops"]
+    rows = ingest.ingest_weather(pages)
+    assert rows_of(rows, "place", "main", "wind", "temp") == [("01067", "Rain", 3.6, 12.44)]
     assert len(rows.first().hour_key) == 10
 
 
@@ -136,18 +138,21 @@ def test_forecast_documents(spark):
         {"dt_txt": "2024-01-01 09:00:00", "wind": {}, "main": {"temp": 274}, "weather": []},
     ]}
     docs = spark.createDataFrame([(json.dumps(body), "p"), ("{", "p")], "body string, place string")
-    assert rows_of(documents.forecast_rows(docs), "pos", "dt_txt", "main", "wind", "temp") == [
+    parts = documents.forecast_parts(docs)
+    assert rows_of(documents.forecast_rows(parts), "pos", "dt_txt", "main", "wind", "temp") == [
         (0, "2024-01-01 06:00:00", "Clear", 1.5, 0.0),
         (1, "2024-01-01 09:00:00", None, None, 1.0),
     ]
-    assert documents.corrupt_documents(docs, schemas.FORECAST_RESPONSE).count() == 1
+    assert rows_of(documents.forecast_quarantine(parts)) == [("p", "{")]
 
 
 def test_each_document_is_parsed_once(spark, tmp_path):
     (tmp_path / "page.json").write_text(json.dumps({"streams": [stream()]}))
+    elements = documents.page_elements(documents.read_documents(spark, str(tmp_path)))
+    plan = elements._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # the page, and each element
     rows, _ = ingest.ingest_metadata(documents.read_documents(spark, str(tmp_path)))
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    assert "from_json" not in rows._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_filters(spark):

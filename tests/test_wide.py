@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from streamtide.functions import times
 from streamtide.operators import rollups, wide
 from streamtide.plans import dashboard
-from streamtide.session import stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import tables
 
@@ -45,24 +44,35 @@ def build(spark, run="2024-01-03 11:53:00", **options):
     )
 
 
+def whole(table):
+    """The parts of each stream and day put together."""
+    rows = {}
+    for r in table.collect():
+        lists = rows.setdefault((r.name, r.day.day), {bag: [] for bag in wide.BAGS})
+        for bag in wide.BAGS:
+            lists[bag] = sorted(lists[bag] + r[bag])
+    return rows
+
+
 def test_stream_day_keeps_streams_with_metadata(spark):
-    rows = {(r.name, r.day.day): r for r in build(spark).collect()}
+    table = build(spark)
+    assert {r.run_ts for r in table.collect()} == {datetime(2024, 1, 3, 11, 53)}
+    rows = whole(table)
     assert set(rows) == {("a", 1), ("a", 2), ("silent", 1)}
     row = rows["a", 1]
-    assert row.run_ts == datetime(2024, 1, 3, 11, 53) and row.part == 0
-    assert [(m.created, m.game, m.polls) for m in row.metadata] == [
+    assert [(m.created, m.game, m.polls) for m in row["metadata"]] == [
         (at(10, 0, 0), "g", 1), (at(10, 0, 30), "g", 1), (at(10, 1), "h", 1)
     ]
-    assert [(v.minute, v.viewers_sum, v.viewers_cnt, v.viewers) for v in row.viewerspermin] == [
+    assert [(v.minute, v.viewers_sum, v.viewers_cnt, v.viewers) for v in row["viewerspermin"]] == [
         (at(10, 0), 400, 2, 200.0), (at(10, 1), 50, 1, 50.0)
     ]
-    assert [tuple(c)[1:] for c in row.chatspermin] == [(1, 1, 0), (0, 0, 1)]
-    assert rows["silent", 1].chatspermin == []
+    assert [tuple(c)[1:] for c in row["chatspermin"]] == [(1, 1, 0), (0, 0, 1)]
+    assert rows["silent", 1]["chatspermin"] == []
 
 
 def test_full_form_keeps_chat_without_metadata(spark):
-    rows = build(spark, how="full")
-    assert rows_of(rows.where("size(metadata) = 0"), "name") == [("ghost",)]
+    rows = whole(build(spark, how="full"))
+    assert [name for (name, _), lists in rows.items() if not lists["metadata"]] == ["ghost"]
     with pytest.raises(ValueError):
         build(spark, how="inner")
 
@@ -95,20 +105,20 @@ def large(spark, copies=1):
     return different.unionAll(equal).unionAll(small)
 
 
-@pytest.mark.parametrize("limit", [50, 10_000])
-def test_large_groups_are_split_and_stay_whole(spark, limit):
-    rows = large(spark)
-    table = wide.stream_day(
+def table_of(spark, rows):
+    return wide.stream_day(
         rows, rollups.viewers_per_bucket(rows),
-        rollups.chat_per_bucket(spark.createDataFrame([], CHAT)),
-        times.run_time("2024-01-03 11:53:00"), bag_limit=limit,
+        rollups.chat_per_bucket(spark.createDataFrame([], CHAT)), times.run_time("2024-01-03 11:53:00"),
     )
-    hot = table.where("name = 'hot'").selectExpr("part", "size(metadata) n").collect()
-    if limit == 50:
-        assert 20 < len(hot) <= 30 and max(r.n for r in hot) < 2 * limit
-        assert 0 in {r.part for r in hot}
-    else:
-        assert [(r.part, r.n) for r in hot] == [(0, 901)]
+
+
+def test_parts_follow_from_the_entries_and_stay_whole(spark):
+    rows = large(spark)
+    table = table_of(spark, rows)
+    parts = {r[0] for r in table.where("name = 'hot'").select("part").collect()}
+    assert 60 < len(parts) <= 24 * wide.SLICES and parts <= set(range(24 * wide.SLICES))
+    hours = table.select("part", F.inline("metadata")).selectExpr(f"part div {wide.SLICES} = hour(created)")
+    assert {r[0] for r in hours.collect()} == {True}
     back = wide.repeat_polls(wide.flatten(table, "metadata"), block=100)
     columns = ["name", "created", "game", "status", "mature", "fps"]
     assert rows_of(back, *columns) == rows_of(rows, *columns)
@@ -116,29 +126,22 @@ def test_large_groups_are_split_and_stay_whole(spark, limit):
     assert rows_of(wide.merged_viewers(table), *minutes.columns) == rows_of(minutes)
 
 
-def test_copies_do_not_hide_the_minutes_of_a_large_group(spark):
-    """All polls equal: one entry in one of many parts, the minutes still in part 0."""
-    rows = spark.range(300).selectExpr(
-        "'hot' name", "'g' game", "'s' status", "true mature", "1D fps", "2L viewers",
-        "timestamp'2024-01-01 12:00:00' created",
-    )
+def test_the_number_of_rows_does_not_depend_on_a_count(spark):
+    rows = large(spark)
+    once, often = (table_of(spark, r) for r in (rows, rows.unionAll(rows).unionAll(rows)))
+    assert rows_of(once, "name", "day", "part") == rows_of(often, "name", "day", "part")
+
+
+def test_plan_has_no_join_and_reads_each_input_once_per_list(spark, tmp_path):
+    polls(spark).write.parquet(str(tmp_path / "polls"))
+    chat(spark).write.parquet(str(tmp_path / "chat"))
+    rows = spark.read.parquet(str(tmp_path / "polls"))
     table = wide.stream_day(
         rows, rollups.viewers_per_bucket(rows),
-        rollups.chat_per_bucket(spark.createDataFrame([], CHAT)),
-        times.run_time("2024-01-03 11:53:00"), bag_limit=3,
+        rollups.chat_per_bucket(spark.read.parquet(str(tmp_path / "chat"))), times.run_time("2024-01-03 11:53:00"),
     )
-    assert rows_of(wide.flatten(table, "metadata"), "polls") == [(300,)]
-    assert rows_of(wide.flatten(table, "viewerspermin"), "viewers_sum") == [(600,)]
-    assert table.count() <= 2
-
-
-def test_stored_large_groups_spare_the_entries_a_shuffle(spark):
-    rows = large(spark)
-    groups = stored(wide.large_groups(rows, 50), "large")
-    assert rows_of(groups) == [("hot", date(2024, 1, 1), 30)]
-    plan = wide.number_parts(wide.metadata_entries(rows), groups)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") == 1
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("Exchange hashpartitioning") <= 5 and "Join" not in plan
 
 
 def test_day_rollup(spark):
@@ -152,8 +155,8 @@ def test_day_rollup(spark):
 
 def test_two_runs_of_one_day(spark, tmp_path):
     path = str(tmp_path / "wide")
-    sinks.write_stream_day(build(spark), path)
-    sinks.write_stream_day(build(spark, "2024-01-03 12:03:00"), path)
+    sinks.write_stream_day(build(spark), path, "one")
+    sinks.write_stream_day(build(spark, "2024-01-03 12:03:00"), path, "two")
     table = tables.read_stream_day(spark, path)
     assert {r.day for r in table.select("day").distinct().collect()} == {
         date(2024, 1, 1), date(2024, 1, 2)
@@ -176,7 +179,7 @@ def test_dashboard_details(spark):
 
 def test_reading_one_bag_reads_one_column(spark, tmp_path):
     path = str(tmp_path / "wide")
-    sinks.write_stream_day(build(spark), path)
+    sinks.write_stream_day(build(spark), path, "one")
     rows = wide.flatten(tables.read_stream_day(spark, path, "viewerspermin"), "viewerspermin")
     plan = rows.select("name", "viewers")._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema"):]

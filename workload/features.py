@@ -126,9 +126,9 @@ def time_keys(spark, sf_dir):
 SELECT hour_key, strict_text, loose_text FROM weather""")
 def weather_text(spark, sf_dir):
     obs = ingest.latest_weather(roles.observations(spark, sf_dir), "event_id")
-    hours = joins.weather_by_hour(obs, roles.TRAINING_PLACES)
+    hours = joins.weather_by_hour(obs, roles.PLACES)
     every = obs.select("hour_key").distinct().join(hours, "hour_key", "left")
-    cells, places = F.col("weather"), roles.TRAINING_PLACES
+    cells, places = F.col("weather"), roles.PLACES
     return every.select(
         "hour_key",
         joins.place_text(cells, places).alias("strict_text"),
@@ -165,7 +165,7 @@ TRAINING_ROWS = f"""{MERGED_SESSIONS}, {roles.WEATHER_TEXT}, training AS (
 def training_set(spark, sf_dir, strict=True):
     obs = ingest.latest_weather(roles.observations(spark, sf_dir), "event_id")
     return training.build_training_set(
-        daily_sessions(spark, sf_dir), obs, roles.TRAINING_PLACES, strict=strict, digits=6
+        daily_sessions(spark, sf_dir), obs, roles.PLACES, strict=strict, digits=6
     )
 
 

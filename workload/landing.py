@@ -147,8 +147,8 @@ def weather_upsert_log(spark, sf_dir):
     late, early = quality.split_valid(
         roles.observations(spark, sf_dir), F.minute("obs_ts") >= 30
     )
-    sinks.append_weather(late, path)
-    sinks.append_weather(early, path)
+    sinks.append_weather(late, path, "late")
+    sinks.append_weather(early, path, "early")
     latest = ingest.latest_weather(spark.read.parquet(path), "event_id")
     return latest.select("hour_key", "place", "main", "wind", six_digits("temp"), "event_id")
 
@@ -163,7 +163,8 @@ def place_scan(spark, sf_dir):
 
 
 def stream_pages(spark, sf_dir):
-    """One listing page per event: the stream, one without a game, one without a channel.
+    """One listing page per event: the stream, one without a game, one without a channel, and
+    one whose channel is text.
 
     Pages of errors are cut off in the middle.
     """
@@ -185,6 +186,8 @@ def stream_pages(spark, sf_dir):
         "struct<game: string, name: string, status: string, mature: boolean, updated_at: string>"
     ))
     body = F.to_json(F.struct(F.array(real, nameless, no_channel).alias("streams")))
+    malformed = F.lit(',{"_id":"9","channel":"broken"}]}')
+    body = F.concat(F.substr(body, F.lit(1), F.length(body) - 2), malformed)
     cut = F.when(F.col("game") == "error", F.substring(body, 1, 60)).otherwise(body)
     return roles.samples(spark, sf_dir).select(
         cut.alias("body"), F.col("created").alias("landed_at"), "channel_id"
@@ -207,19 +210,34 @@ def stream_page_rows(spark, sf_dir):
 
 
 @query("stream_page_quarantine", f"""WITH {roles.SAMPLES}
-SELECT channel_id FROM samples WHERE game = 'error'""")
+SELECT channel_id, game = 'error' AS whole_page,
+       CASE WHEN game <> 'error' THEN '{{"_id":"9","channel":"broken"}}' END AS element FROM samples""")
 def stream_page_quarantine(spark, sf_dir):
+    """Pages that are cut off, and the one malformed element of each other page."""
     _, bad = ingest.ingest_metadata(stream_pages(spark, sf_dir))
-    return bad.select("channel_id")
+    return bad.select("channel_id", F.col("body").isNotNull().alias("whole_page"), "element")
 
 
 @query("weather_from_json", """
 SELECT strftime(ts, '%Y%m%d%H') AS hour_key, 'p' || CAST(user_id % 5 AS VARCHAR) AS place,
-       event_type AS main, json_extract_string(props, '$.k') AS wind,
+       event_type AS main, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind,
        floor((value + 250 - 273.0::DOUBLE) * 100 + 0.5) / 100 AS temp
 FROM events WHERE event_type <> 'click'""")
 def weather_from_json(spark, sf_dir):
     """Weather documents; those of clicks hold no weather element."""
+    return ingest.ingest_weather(weather_pages(spark, sf_dir)).drop("obs_ts")
+
+
+@query("weather_quarantine", """
+SELECT 'p' || CAST(user_id % 5 AS VARCHAR) AS place, count(*) AS pages
+FROM events WHERE event_type = 'click' GROUP BY 1""")
+def weather_quarantine(spark, sf_dir):
+    """Weather documents without a value."""
+    bad = documents.weather_quarantine(documents.weather_parts(weather_pages(spark, sf_dir)))
+    return bad.groupBy("place").agg(F.count("*").alias("pages"))
+
+
+def weather_pages(spark, sf_dir):
     kind = F.col("event_type")
     body = F.to_json(F.struct(
         F.when(kind != "click", F.array(F.struct(kind.alias("main")))).otherwise(
@@ -227,10 +245,9 @@ def weather_from_json(spark, sf_dir):
         F.struct((F.col("value") + 250).alias("temp")).alias("main"),
         F.struct(roles.detail().cast("int").alias("speed")).alias("wind"),
     ))
-    docs = roles.events(spark, sf_dir).select(
+    return roles.events(spark, sf_dir).select(
         body.alias("body"), roles.place().alias("place"), F.col("ts").alias("landed_at")
     )
-    return ingest.ingest_weather(docs).drop("obs_ts")
 
 
 @query("forecast_from_json", f"""WITH {roles.FORECAST}
@@ -247,15 +264,25 @@ def forecast_from_json(spark, sf_dir):
             F.array(F.struct(main.alias("main"))).alias("weather"),
         )
 
-    events = roles.events(spark, sf_dir)
-    keyed = roles.as_forecast(events).withColumnRenamed("pos", "event_id").drop("temp").join(
-        events.select("event_id", "value"), "event_id"
-    )
+    keyed = roles.as_forecast(roles.events(spark, sf_dir), "value")
     body = F.to_json(F.struct(F.array(slot(F.col("main")), slot(F.lit("later"))).alias("list")))
-    rows = documents.forecast_rows(keyed.select(body.alias("body"), "place"))
+    rows = documents.forecast_rows(documents.forecast_parts(keyed.select(body.alias("body"), "place")))
     return rows.withColumn("slot", F.col("pos").cast("long")).drop("pos")
 
 
+@query("forecast_quarantine", """
+SELECT event_id % 3 = 0 AS unreadable, count(*) AS pages FROM events WHERE event_id % 3 < 2 GROUP BY 1""")
+def forecast_quarantine(spark, sf_dir):
+    """Every third document is cut, every third has no slots."""
+    kind = F.col("event_id") % 3
+    body = F.when(kind == 0, '{"list": [').when(kind == 1, '{"city": "x"}').otherwise(
+        '{"list": [{"dt_txt": "2024-01-01 06:00:00"}]}')
+    docs = roles.events(spark, sf_dir).select(body.alias("body"), roles.place().alias("place"))
+    bad = documents.forecast_quarantine(documents.forecast_parts(docs))
+    cut = F.col("body").startswith('{"list"')
+    return bad.groupBy(cut.alias("unreadable")).agg(F.count("*").alias("pages"))
+
+
 @query("json_props", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
        try_cast(event_type AS BIGINT) IS NULL AS no_number, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value,
@@ -310,9 +337,9 @@ SELECT 's' || d.source AS channel, count(*) AS messages,
        CAST(sum(length(d.text)) AS BIGINT) AS chars,
        CAST(sum(CASE WHEN l.toxic = 1 THEN 2 WHEN l.quality = 1 THEN 1 ELSE 0 END) AS BIGINT) AS codes
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-WHERE d.lang <> 'de' AND (l.doc_id IS NULL OR l.quality = 1 OR l.toxic = 1) GROUP BY 1""")
+WHERE l.doc_id IS NULL OR l.quality = 1 OR l.toxic = 1 GROUP BY 1""")
 def chat_ingest(spark, sf_dir):
-    """Messages without text and those with an unlabelled score are dropped."""
+    """Messages with an unlabelled score are dropped."""
     label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
     scores = roles.table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("msg_id"), label.alias("label")
@@ -321,7 +348,7 @@ def chat_ingest(spark, sf_dir):
         F.col("doc_id").alias("msg_id"),
         F.lit("2024-01-01").cast("timestamp").alias("ts"),
         F.concat(F.lit("#s"), "source").alias("channel"),
-        F.when(F.col("lang") != "de", F.col("text")).alias("msg"),
+        F.col("text").alias("msg"),
     )
     chat = ingest.ingest_chat(messages, scores)
     return chat.groupBy("channel").agg(

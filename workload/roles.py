@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from streamtide.functions import classes, times
 
 PLACES = ["p0", "p1", "p2", "p3", "p4"]
-TRAINING_PLACES = PLACES[:4]
 RUN_TS = "2024-02-01 11:53:00"
 
 
@@ -113,7 +112,7 @@ def as_observations(rows: DataFrame) -> DataFrame:
         times.hour_key(F.col("ts")).alias("hour_key"),
         place().alias("place"),
         F.col("event_type").alias("main"),
-        detail().alias("wind"),
+        detail().cast("double").alias("wind"),
         classes.kelvin_to_celsius(F.col("value") + 250).alias("temp"),
         F.col("ts").alias("obs_ts"),
         "event_id",
@@ -130,7 +129,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OBSERVATIONS = """obs AS (
   SELECT strftime(ts, '%Y%m%d%H') AS hour_key, 'p' || CAST(user_id % 5 AS VARCHAR) AS place,
-         event_type AS main, json_extract_string(props, '$.k') AS wind,
+         event_type AS main, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind,
          floor(((value + 250) - 273.0::DOUBLE) * 100 + 0.5) / 100 AS temp,
          ts AS obs_ts, event_id
   FROM events),
@@ -143,17 +142,18 @@ latest_obs AS (
 WEATHER_TEXT = OBSERVATIONS + """,
 cells AS (
   SELECT hour_key,
-         max(CASE WHEN place = 'p0' THEN main || ' ' || wind || ' ' || CAST(temp AS VARCHAR) END) AS w0,
-         max(CASE WHEN place = 'p1' THEN main || ' ' || wind || ' ' || CAST(temp AS VARCHAR) END) AS w1,
-         max(CASE WHEN place = 'p2' THEN main || ' ' || wind || ' ' || CAST(temp AS VARCHAR) END) AS w2,
-         max(CASE WHEN place = 'p3' THEN main || ' ' || wind || ' ' || CAST(temp AS VARCHAR) END) AS w3
+         max(CASE WHEN place = 'p0' THEN main || ' ' || CAST(wind AS VARCHAR) || ' ' || CAST(temp AS VARCHAR) END) AS w0,
+         max(CASE WHEN place = 'p1' THEN main || ' ' || CAST(wind AS VARCHAR) || ' ' || CAST(temp AS VARCHAR) END) AS w1,
+         max(CASE WHEN place = 'p2' THEN main || ' ' || CAST(wind AS VARCHAR) || ' ' || CAST(temp AS VARCHAR) END) AS w2,
+         max(CASE WHEN place = 'p3' THEN main || ' ' || CAST(wind AS VARCHAR) || ' ' || CAST(temp AS VARCHAR) END) AS w3,
+         max(CASE WHEN place = 'p4' THEN main || ' ' || CAST(wind AS VARCHAR) || ' ' || CAST(temp AS VARCHAR) END) AS w4
   FROM latest_obs GROUP BY 1),
 weather AS (
-  SELECT hour_key, w0 || ' ' || w1 || ' ' || w2 || ' ' || w3 AS strict_text,
-         concat_ws(' ', w0, w1, w2, w3) AS loose_text FROM cells)"""
+  SELECT hour_key, w0 || ' ' || w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 AS strict_text,
+         concat_ws(' ', w0, w1, w2, w3, w4) AS loose_text FROM cells)"""
 
 
-def as_forecast(rows: DataFrame) -> DataFrame:
+def as_forecast(rows: DataFrame, *more: str) -> DataFrame:
     """Three-hour slots; the event id is the position within the document."""
     hour = F.lpad((F.floor(F.hour("ts") / 3) * 3).cast("string"), 2, "0")
     return rows.select(
@@ -163,6 +163,7 @@ def as_forecast(rows: DataFrame) -> DataFrame:
         F.col("event_type").alias("main"),
         detail().cast("double").alias("wind"),
         classes.kelvin_to_celsius(F.col("value") + 250).alias("temp"),
+        *more,
     )
 
 
@@ -195,7 +196,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = classes.daytime_label(classes.daytime_class(ts))
     return events(spark, sf_dir).select(
         F.col("event_id").alias("id"),
-        F.concat(F.lit("u "), F.col("user_id").cast("string")).alias("name"),
+        stream_name().alias("name"),
         F.col("event_type").alias("game"),
         F.floor("value").cast("double").alias("duration"),
         F.when(F.col("event_type") != "view", known).otherwise("irgendwann").alias("daytime"),
@@ -205,7 +206,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REQUESTS = """requests AS (
-  SELECT event_id AS id, 'u_' || CAST(user_id AS VARCHAR) AS name, event_type AS game,
+  SELECT event_id AS id, 'u' || CAST(user_id AS VARCHAR) AS name, event_type AS game,
          floor(value) AS dur,
          CASE WHEN event_type = 'view' THEN 'irgendwann'
               WHEN hour(ts) < 6 OR hour(ts) >= 22 THEN 'Nachts' WHEN hour(ts) < 12 THEN 'Morgens'

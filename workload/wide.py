@@ -79,14 +79,14 @@ def stream_day_metadata(spark, sf_dir):
 
 
 @query("stream_day_all", f"""WITH {roles.SAMPLES}, {roles.CHAT_MINUTES}, m AS (
-  SELECT name, day, count(*) AS polls FROM samples WHERE viewers > 500 GROUP BY 1, 2), c AS (
+  SELECT name, day, count(*) AS polls FROM samples GROUP BY 1, 2), c AS (
   SELECT name, day, count(*) AS minutes FROM chat_minutes GROUP BY 1, 2)
 SELECT coalesce(m.name, c.name) AS name, coalesce(m.day, c.day) AS day,
        coalesce(polls, 0) AS polls, coalesce(minutes, 0) AS minutes
 FROM m FULL JOIN c ON m.name = c.name AND m.day = c.day""")
 def stream_day_all(spark, sf_dir):
-    """The full form: streams and days with chat but no rated poll stay."""
-    polls = roles.samples(spark, sf_dir).where("viewers > 500")
+    """The full form: streams and days with chat but no poll stay."""
+    polls = roles.samples(spark, sf_dir)
     rows = wide.stream_day(
         polls,
         rollups.viewers_per_bucket(polls),
@@ -121,7 +121,7 @@ SELECT name, day, minute, positive, negative, neutral FROM chat_minutes""")
 def wide_table_round_trip(spark, sf_dir):
     """Written by day, read back with one nested column."""
     path = scratch_folder(spark, "stream-day")
-    sinks.write_stream_day(nested(spark, sf_dir), path)
+    sinks.write_stream_day(nested(spark, sf_dir), path, "one")
     rows = sources.read_stream_day(spark, path, "chatspermin")
     return keyed_minutes(
         wide.flatten(rows, "chatspermin"), "positive", "negative", "neutral"
@@ -137,8 +137,9 @@ def multi_run_union(spark, sf_dir):
     path = scratch_folder(spark, "runs")
     events = roles.events(spark, sf_dir)
     mature = roles.detail().cast("int") % 2 == 0
-    sinks.write_stream_day(nested(spark, sf_dir, events.where(mature)), path)
-    sinks.write_stream_day(nested(spark, sf_dir, events.where(~mature), "2024-02-01 12:03:00"), path)
+    sinks.write_stream_day(nested(spark, sf_dir, events.where(mature)), path, "one")
+    second = nested(spark, sf_dir, events.where(~mature), "2024-02-01 12:03:00")
+    sinks.write_stream_day(second, path, "two")
     rows = sources.read_stream_day(spark, path, "viewerspermin")
     minutes = rows.select("name", "day", "run_ts", F.inline("viewerspermin"))
     return keyed_minutes(
@@ -204,13 +205,13 @@ def metadata_bag_import(spark, sf_dir):
   SELECT name, minute, game, status, fps FROM (
     SELECT *, row_number() OVER (PARTITION BY name, minute
                                  ORDER BY created DESC, game DESC, status DESC, fps DESC) AS rn
-    FROM samples WHERE viewers > 500) WHERE rn = 1)
+    FROM samples) WHERE rn = 1)
 SELECT v.name, v.minute, round(v.viewers, 6) AS viewers, game, status, fps
 FROM viewer_minutes v LEFT JOIN last ON v.name = last.name AND v.minute = last.minute""")
 def minute_lookup(spark, sf_dir):
     polls = roles.samples(spark, sf_dir)
     minutes = rollups.viewers_per_bucket(polls).select("name", "minute", "viewers")
-    rows = joins.minute_lookup(minutes, polls.where("viewers > 500"))
+    rows = joins.minute_lookup(minutes, polls)
     return rows.select(
         "name", times.minute_key(F.col("minute")).alias("minute"), six_digits("viewers"),
         "game", "status", "fps",
