@@ -75,6 +75,18 @@ def write_partials(
     return writer.start()
 
 
+def complete(partials: DataFrame, windows: DataFrame) -> DataFrame:
+    """All minutes, with whether their window was ``closed``.
+
+    ``partials`` are the merged partial sums of the same stream and exact: they
+    have the minutes that a stopped run left open and the rows that came too
+    late for a closed window, so nothing a window drops is lost or uncounted.
+    """
+    emitted = windows.select("name", "minute", F.lit(True).alias("closed"))
+    rows = partials.join(emitted, ["name", "minute"], "left")
+    return rows.withColumn("closed", F.coalesce("closed", F.lit(False)))
+
+
 def read_chat_partials(spark: SparkSession, path: str) -> DataFrame:
     """Chat minutes merged over all micro-batches."""
     return rollups.merge_chat(spark.read.schema(schemas.CHAT_PARTIAL).parquet(path))

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from streamtide.functions import times
-from streamtide.operators import quality
-from streamtide.plans import archive, ingest
+from streamtide.operators import joins, quality, series, wide
+from streamtide.plans import archive, ingest, runs
 from streamtide.session import scratch_folder
 from streamtide.sinks import tables as sinks
 from streamtide.sources import documents, files
+from streamtide.sources import tables as sources
 from workload import roles
 from workload.features import TRAINING_ROWS, training_set
 from workload.registry import query
 from workload.roles import six_digits
-from workload.rollups import DAILY_SESSIONS, daily_sessions
+from workload.rollups import DAILY_SESSIONS, daily_sessions, keyed_minutes
 
 
 def _sample_text(rows):
@@ -46,6 +48,53 @@ def delimited_scan(spark, sf_dir):
     })
 
 
+@query("two_runs_one_landing", f"""WITH {roles.VIEWER_MINUTES}
+SELECT name, day, minute, viewers_sum, viewers_cnt, round(viewers, 6) AS viewers FROM viewer_minutes""")
+def two_runs_one_landing(spark, sf_dir):
+    """Two ten-minute runs over one folder, the second after more polls have landed: each poll
+    enters one run, so the merged minutes are those of all polls (C4, C5)."""
+    root = scratch_folder(spark, "runs")
+    layout = runs.Layout(f"{root}/tables")
+    roles.chat(spark, sf_dir).write.parquet(f"{root}/chat")
+    early, late = quality.split_valid(roles.samples(spark, sf_dir), F.col("channel_id") % 3 != 0)
+    for k, (polls, at) in enumerate(((early, "12:00:00"), (late, "12:10:00"))):
+        rows = polls.select(
+            "channel_id", "viewers", "game", "name", "status",
+            F.date_format("created", times.POLL_TIME).alias("created"),
+            "mature", F.lit("n/a").alias("updated_at"), "fps")
+        sinks.write_delimited(rows, f"{root}/polls/{k}")
+        runs.minute_run(spark, layout, f"{root}/polls", f"{root}/chat", f"2024-02-01 {at}")
+    table = sources.read_stream_day(spark, layout.folder("stream_day"), "viewerspermin")
+    return keyed_minutes(wide.merged_viewers(table), "viewers_sum", "viewers_cnt", six_digits("viewers"))
+
+
+@query("scored_messages", """
+SELECT CAST(CASE WHEN length(text) % 3 = 0 THEN 1 WHEN length(text) % 3 = 1 THEN 2 ELSE 0 END AS BIGINT) AS sentiment,
+       count(*) AS messages FROM documents GROUP BY 1""")
+def scored_messages(spark, sf_dir):
+    """A caller's scorer over all messages, in Arrow batches."""
+    def scorer(texts):
+        return (texts.str.len() % 3).map({0: "positive", 1: "negative", 2: "neutral"})
+
+    scored = joins.score_messages(roles.table(spark, sf_dir, "documents"), scorer, "text")
+    return scored.groupBy(F.col("sentiment").cast("long").alias("sentiment")).agg(F.count("*").alias("messages"))
+
+
+@query("sorted_files", """
+SELECT CAST(custkey AS VARCHAR) AS key, count(*) AS orders, TRUE AS in_order FROM (
+  SELECT o_custkey AS custkey FROM orders) GROUP BY 1""")
+def sorted_files(spark, sf_dir):
+    """Each file sorted by the key as text; read back, no row precedes a smaller one (O2)."""
+    path = scratch_folder(spark, "sorted")
+    series.sorted_files(roles.table(spark, sf_dir, "orders").select("o_custkey"), "o_custkey").write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        F.col("o_custkey").cast("string").alias("key"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+    checked = rows.withColumn("in_order", F.coalesce(before <= F.col("key"), F.lit(True)))
+    return checked.groupBy("key").agg(F.count("*").alias("orders"), F.min("in_order").alias("in_order"))
+
+
 @query("session_text_scan", f"""WITH {DAILY_SESSIONS}
 SELECT name, game, round(dur, 6) AS dur, CAST(daytime AS BIGINT) AS daytime, round(fps, 6) AS fps,
        round(viewers, 6) AS viewers, strftime(starttime, '%Y%m%d%H%M%S') AS starttime

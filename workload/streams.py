@@ -49,37 +49,67 @@ def stream_viewers(spark, sf_dir):
     return keyed_minutes(rows, "viewers_sum", "viewers_cnt", six_digits("viewers"))
 
 
+#: A window is closed when the watermark, 20 minutes behind the latest row, has passed its end.
 CLOSED = """closed AS (
   SELECT strftime(date_trunc('millisecond', max(ts)) - INTERVAL 21 MINUTE, '%Y%m%d%H%M') AS last_minute
   FROM events)"""
 
 
-@query("stream_sentiment_windows", f"""WITH {roles.CHAT_MINUTES}, {CLOSED}
-SELECT name, day, minute, positive, negative, neutral FROM chat_minutes, closed
-WHERE minute <= last_minute""")
-def stream_sentiment_windows(spark, sf_dir):
-    """The minutes the watermark has closed."""
+def closed_and_open(spark, rows, window, rollup, read):
+    """The windowed and the partial form of one stream, put together."""
     root = scratch_folder(spark, "windows")
-    windows = stream_rollups.chat_windows(roles.as_chat(event_stream(spark, sf_dir)))
+    windows = window(rows)
     chat_jobs.write_rolled(
         windows, f"{root}/table", f"{root}/checkpoint", until_done=True
     ).awaitTermination()
-    rows = spark.read.schema(windows.schema).parquet(f"{root}/table")
-    return keyed_minutes(rows, "positive", "negative", "neutral")
+    stream_rollups.write_partials(
+        rows, rollup, f"{root}/partials", f"{root}/partials_checkpoint"
+    ).awaitTermination()
+    emitted = spark.read.schema(windows.schema).parquet(f"{root}/table")
+    return stream_rollups.complete(read(spark, f"{root}/partials"), emitted)
+
+
+@query("stream_sentiment_windows", f"""WITH {roles.CHAT_MINUTES}, {CLOSED}
+SELECT name, day, minute, positive, negative, neutral, minute <= last_minute AS closed
+FROM chat_minutes, closed""")
+def stream_sentiment_windows(spark, sf_dir):
+    """All minutes, closed by the watermark or still open."""
+    rows = closed_and_open(
+        spark, roles.as_chat(event_stream(spark, sf_dir)), stream_rollups.chat_windows,
+        rollups.chat_per_bucket, stream_rollups.read_chat_partials,
+    )
+    return keyed_minutes(rows, "positive", "negative", "neutral", "closed")
 
 
 @query("stream_viewer_windows", f"""WITH {roles.VIEWER_MINUTES}, {CLOSED}
-SELECT name, day, minute, viewers_sum, viewers_cnt, round(viewers, 6) AS viewers
-FROM viewer_minutes, closed WHERE minute <= last_minute""")
+SELECT name, day, minute, viewers_sum, viewers_cnt, round(viewers, 6) AS viewers,
+       minute <= last_minute AS closed
+FROM viewer_minutes, closed""")
 def stream_viewer_windows(spark, sf_dir):
-    """The minutes the watermark has closed."""
-    root = scratch_folder(spark, "windows")
-    windows = stream_rollups.viewer_windows(roles.as_samples(event_stream(spark, sf_dir)))
-    chat_jobs.write_rolled(
-        windows, f"{root}/table", f"{root}/checkpoint", until_done=True
-    ).awaitTermination()
-    rows = spark.read.schema(windows.schema).parquet(f"{root}/table")
-    return keyed_minutes(rows, "viewers_sum", "viewers_cnt", six_digits("viewers"))
+    """All minutes, closed by the watermark or still open."""
+    rows = closed_and_open(
+        spark, roles.as_samples(event_stream(spark, sf_dir)), stream_rollups.viewer_windows,
+        rollups.viewers_per_bucket, stream_rollups.read_viewer_partials,
+    )
+    return keyed_minutes(rows, "viewers_sum", "viewers_cnt", six_digits("viewers"), "closed")
+
+
+@query("stream_archived_files", f"""WITH {roles.CHAT}
+SELECT name AS channel, count(*) AS messages FROM chat GROUP BY 1""")
+def stream_archived_files(spark, sf_dir):
+    """Four landed files, one per micro-batch, moved to the archive once done."""
+    root = scratch_folder(spark, "landing")
+    roles.chat(spark, sf_dir).repartition(4).write.parquet(f"{root}/landing")
+    rows = chat_jobs.file_stream(
+        spark, f"{root}/landing", "ts timestamp, channel string, msg string, sentiment int", fmt="parquet",
+        max_files=1, archive=f"{root}/archive",
+    )
+    for _ in range(2):  # the second run finds nothing new
+        chat_jobs.write_rolled(
+            rows, f"{root}/table", f"{root}/checkpoint", until_done=True
+        ).awaitTermination()
+    table = spark.read.schema(rows.schema).parquet(f"{root}/table")
+    return table.groupBy("channel").agg(F.count("*").alias("messages"))
 
 
 @query("stream_observations", f"""WITH {roles.OBSERVATIONS}

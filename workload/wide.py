@@ -221,8 +221,12 @@ def minute_lookup(spark, sf_dir):
 @query("prefix_scan", f"""WITH {roles.SAMPLES}
 SELECT channel_id, name, viewers FROM samples WHERE name = 'u7' AND day = '20240105'""")
 def prefix_scan(spark, sf_dir):
+    """On the table stored by day: one folder is read, and the name is pushed down."""
+    path = scratch_folder(spark, "polls")
     polls = roles.samples(spark, sf_dir).withColumn("day", F.to_date("created"))
-    return sources.prefix_scan(polls, "U7", "2024-01-05").select("channel_id", "name", "viewers")
+    sinks.replace_partitions(polls, path, "day")
+    table = spark.read.schema(polls.schema).parquet(path)
+    return sources.prefix_scan(table, "U7", "2024-01-05").select("channel_id", "name", "viewers")
 
 
 @query("key_prefix_scan", f"""WITH {roles.SAMPLES}
@@ -230,7 +234,15 @@ SELECT channel_id, name || day AS row_key FROM samples WHERE starts_with(name ||
 def key_prefix_scan(spark, sf_dir):
     day = F.date_format("created", "yyyyMMdd")
     polls = roles.samples(spark, sf_dir).withColumn("row_key", text.join_key(F.col("name"), day))
-    return sources.key_prefix_scan(polls, "row_key", "u1202401").select("channel_id", "row_key")
+    table = stored(polls.select("channel_id", "row_key"), "keyed")
+    return sources.key_prefix_scan(table, "row_key", "u1202401").select("channel_id", "row_key")
+
+
+def stored_days(spark, sf_dir):
+    """The wide table, written once by day; the dashboard reads one day's folder."""
+    path = scratch_folder(spark, "stream-day")
+    sinks.write_stream_day(nested(spark, sf_dir), path, "one")
+    return sources.read_stream_day(spark, path)
 
 
 @query("dashboard_series", f"""WITH {roles.VIEWER_MINUTES}, {roles.CHAT_MINUTES}
@@ -243,7 +255,7 @@ WHERE name = 'u7' AND day = '20240105'
 UNION ALL SELECT minute, 'negative', CAST(negative AS DOUBLE) FROM chat_minutes
 WHERE name = 'u7' AND day = '20240105'""")
 def dashboard_series(spark, sf_dir):
-    rows = dashboard.day_series(nested(spark, sf_dir), "U7", "2024-01-05")
+    rows = dashboard.day_series(stored_days(spark, sf_dir), "U7", "2024-01-05")
     return rows.select(
         times.minute_key(F.col("ts")).alias("ts"), "series", six_digits("value")
     )
@@ -258,7 +270,7 @@ SELECT v.name, v.minute, round(v.viewers, 6) AS viewers, game, fps
 FROM viewer_minutes v LEFT JOIN last ON v.name = last.name AND v.minute = last.minute
 WHERE v.name = 'u7' AND v.day = '20240105'""")
 def dashboard_details(spark, sf_dir):
-    rows = dashboard.minute_details(nested(spark, sf_dir), "U7", "2024-01-05")
+    rows = dashboard.minute_details(stored_days(spark, sf_dir), "U7", "2024-01-05")
     return rows.select(
         "name", times.minute_key(F.col("minute")).alias("minute"), six_digits("viewers"),
         "game", "fps",
