@@ -1,10 +1,11 @@
 """Repeated byte strings: which suffixes share their first WINDOW bytes with another one.
 
 The suffixes that matter are sorted in runs, the sorted runs are front-coded (each entry
-without the bytes it has in common with the one before) and exchanged by range, and where they
-are merged, entries with equal keys mark their suffixes. A suffix stands in its run by the
-64-bit fingerprint of its first WINDOW bytes, so a prefix that two suffixes share is settled by
-one comparison however long it is.
+without the bytes it has in common with the one before) and exchanged by range, and loser trees
+that never look at known common bytes merge them; entries with equal keys mark their suffixes.
+A suffix stands in its run by the 64-bit fingerprint of its first WINDOW bytes: the bytes
+themselves, however coded, would be some hundred bytes for each suffix that has no near
+neighbour in its own run.
 
 1. Texts with exact copies are found by their digest; one of them represents the rest.
 2. In each window of WINDOW bytes the least hash of its grams of GRAM bytes is the same
@@ -12,7 +13,8 @@ one comparison however long it is.
    documents, can be repeated; the others, by far the most, end here.
 3. The remaining stretches of text are written in packets. A packet's suffixes make one run.
 4. The runs are cut into ranges of the key; a range holds about RANGE entries of all runs, and
-   a key once for each packet, so a string that a third of the documents have is no load.
+   a key once for each packet, so a string that a third of the documents have is no load. In a
+   range, the trees of many narrower ranges (lanes) are played side by side.
 5. The marks, one bit for each entry, go back to the packet and become places in the texts.
 
 Two different windows have one fingerprint with probability 2**-64.
@@ -176,7 +178,8 @@ def front_coded(keys: np.ndarray) -> bytes:
     return same.tobytes() + signs[np.arange(8) >= same[:, None]].tobytes()
 
 
-def front_decoded(run: bytes, n: int) -> np.ndarray:
+def front_decoded(run: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, and how many leading bytes each shares with the one before."""
     same = np.frombuffer(run, np.uint8, n)
     own = np.arange(8) >= same[:, None]
     signs = np.zeros((n, 8), np.uint8)
@@ -184,24 +187,80 @@ def front_decoded(run: bytes, n: int) -> np.ndarray:
     for k in range(8):  # a shared byte is that of the last entry which has its own there
         last = np.maximum.accumulate(np.where(own[:, k], np.arange(n), 0))
         signs[:, k] = signs[last, k]
-    return signs.reshape(-1).view(">u8").astype(np.uint64)
+    return signs.reshape(-1).view(">u8").astype(np.uint64), same
 
 
-def merged(runs: list[np.ndarray]) -> list[np.ndarray]:
-    """For each sorted run, which of its keys another run has too.
+#: Bytes that two keys share, by the size of their difference.
+STEPS = np.array([1 << (8 * k) for k in range(8)], np.uint64)
 
-    The sort is a merge: it takes the runs as they are and skips along their stretches.
+
+class LoserTrees:
+    """Merges sorted runs, in many lanes (ranges of the key) at once.
+
+    Each lane has a tree over the runs; a node holds the run that lost there. Every run's head
+    knows how many bytes it shares with the key put out last in its lane. Of two heads the one
+    that shares more is the smaller, and no byte is looked at; if they share as many, the bytes
+    after these decide, and the loser then knows what it shares with the winner. A run's next
+    head shares with the key put out what its front coding says.
     """
-    keys = np.concatenate(runs)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    twice = np.zeros(len(keys), bool)
-    equal = keys[1:] == keys[:-1]
-    twice[1:] |= equal
-    twice[:-1] |= equal
-    marks = np.empty(len(keys), bool)
-    marks[order] = twice
-    return np.split(marks, np.cumsum([len(r) for r in runs])[:-1])
+
+    def __init__(self, runs: list[tuple[np.ndarray, np.ndarray]], first: int, bits: int):
+        """``runs``: keys and shared bytes; all keys begin with the ``bits`` bits ``first``."""
+        sizes = [len(k) for k, _ in runs]
+        self.keys = np.concatenate([*(k for k, _ in runs), np.zeros(1, np.uint64)])
+        self.same = np.concatenate([*(s for _, s in runs), np.zeros(1, np.uint8)]).astype(np.int8)
+        more = min(12, max(0, (sum(sizes) // 512).bit_length()))
+        self.n_lanes, self.width = 1 << more, max(2, 1 << (len(runs) - 1).bit_length())
+        shift = 64 - bits - more
+        borders = ((np.arange(self.n_lanes, dtype=np.uint64) + np.uint64(first << more)) << np.uint64(shift))
+        self.at = np.zeros((self.n_lanes, self.width), np.int64)
+        self.end = self.at.copy()
+        for r, (begin, (keys, _)) in enumerate(zip(np.cumsum(sizes) - sizes, runs)):
+            edges = begin + np.append(np.searchsorted(keys, borders), len(keys))
+            self.at[:, r], self.end[:, r] = edges[:-1], edges[1:]
+        self.at, self.end = self.at.ravel(), self.end.ravel()
+        self.shared = np.where(self.at < self.end, 0, -1).astype(np.int8)  # -1: the run is used up
+        self.head = self.keys[np.where(self.at < self.end, self.at, len(self.keys) - 1)]
+
+    def play(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The smaller and the larger of two heads in each lane; places are lane times width plus run."""
+        known_x, known_y = self.shared[x], self.shared[y]
+        key_x, key_y = self.head[x], self.head[y]
+        tied = known_x == known_y
+        x_wins = np.where(tied, key_x <= key_y, known_x > known_y)
+        winner, loser = np.where(x_wins, x, y), np.where(x_wins, y, x)
+        tied &= known_x >= 0
+        self.shared[loser[tied]] = 8 - np.searchsorted(STEPS, (key_x ^ key_y)[tied], side="right")
+        return winner, loser
+
+    def equal_keys(self) -> np.ndarray:
+        """For each entry of the runs, whether another run has its key."""
+        width, marks = self.width, np.zeros(len(self.keys), bool)
+        lanes = np.arange(self.n_lanes) * width
+        best = [None] * width + [lanes + r for r in range(width)]
+        losers = np.zeros((width, self.n_lanes), np.int64)
+        for node in range(width - 1, 0, -1):
+            best[node], losers[node] = self.play(best[2 * node], best[2 * node + 1])
+        champion, last = best[1], np.full(self.n_lanes, len(self.keys) - 1)
+        lane = np.arange(self.n_lanes)
+        while True:
+            alive = self.shared[champion] >= 0
+            if not alive.all():
+                champion, lane, last = champion[alive], lane[alive], last[alive]
+            if not len(lane):
+                return marks[:-1]
+            out = self.at[champion]
+            again = self.shared[champion] == 8
+            marks[out[again]] = marks[last[again]] = True
+            last = out
+            self.at[champion] = out + 1
+            left = out + 1 < self.end[champion]
+            self.head[champion] = self.keys[out + 1]
+            self.shared[champion] = np.where(left, self.same[out + 1], -1)
+            node = (champion % width + width) >> 1
+            while node[0]:
+                champion, losers[node, lane] = self.play(champion, losers[node, lane])
+                node >>= 1
 
 
 def marked(packets: DataFrame, ranges: int, window: int) -> DataFrame:
@@ -222,7 +281,8 @@ def marked(packets: DataFrame, ranges: int, window: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         runs = [front_decoded(r.as_py(), n.as_py()) for r, n in zip(table["run"], table["n"])]
-        marks = [np.packbits(m).tobytes() for m in merged(runs)]
+        twice = LoserTrees(runs, table["range"][0].as_py(), bits).equal_keys()
+        marks = [np.packbits(m).tobytes() for m in np.split(twice, np.cumsum([len(k) for k, _ in runs])[:-1])]
         return pa.table({"range": table["range"], "packet": table["packet"], "marks": pa.array(marks, pa.binary())})
 
     sent = packets.select("packet", "n", "data").mapInArrow(send, "range int, packet string, n int, run binary")

@@ -59,15 +59,29 @@ def test_front_coding_comes_back():
     rng = np.random.default_rng(4)
     for n in (1, 2, 500):
         keys = np.unique(rng.integers(0, 2 ** 63, n, dtype=np.uint64) >> np.uint64(rng.integers(0, 50)))
-        run = suffixes.front_coded(keys)
-        assert (suffixes.front_decoded(run, len(keys)) == keys).all()
+        back, same = suffixes.front_decoded(suffixes.front_coded(keys), len(keys))
+        assert (back == keys).all()
+        for k in range(1, len(keys)):
+            a, b = (int(x).to_bytes(8) for x in keys[k - 1:k + 1])
+            assert a[:same[k]] == b[:same[k]] and a[same[k]] != b[same[k]]
     dense = np.arange(1000, dtype=np.uint64)
     assert len(suffixes.front_coded(dense)) < 2.1 * len(dense) + 8
 
 
-def test_merge_marks_what_other_runs_have():
-    runs = [np.array(x, np.uint64) for x in ([1, 4, 9], [2, 4], [], [4, 9, 11])]
-    assert [m.tolist() for m in suffixes.merged(runs)] == [[False, True, True], [False, True], [], [True, True, False]]
+@pytest.mark.parametrize("n_runs, size, bits", [(1, 5, 0), (2, 40, 3), (7, 900, 5), (37, 4000, 5), (3, 0, 2)])
+def test_loser_trees_mark_what_other_runs_have(n_runs, size, bits):
+    rng = np.random.default_rng(n_runs)
+    pool = rng.integers(0, 2 ** (63 - bits), max(size, 1), dtype=np.uint64) >> np.uint64(rng.integers(0, 3)) if bits else np.arange(9, dtype=np.uint64)
+    pool[::3] &= np.uint64(0xFFFF)  # many that share leading bytes
+    first = 1 if bits else 0
+    runs = []
+    for _ in range(n_runs):
+        own = np.unique(rng.choice(pool, size)) + np.uint64(first << (64 - bits) if bits else 0) if size else np.zeros(0, np.uint64)
+        runs.append(suffixes.front_decoded(suffixes.front_coded(own), len(own)) if len(own) else (own, np.zeros(0, np.uint8)))
+    got = suffixes.LoserTrees(runs, first, bits).equal_keys()
+    every = np.concatenate([k for k, _ in runs])
+    kinds, counts = np.unique(every, return_counts=True)
+    assert (got == (counts[np.searchsorted(kinds, every)] > 1)).all()
 
 
 def test_no_rows(empty):
