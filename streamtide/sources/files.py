@@ -74,7 +74,7 @@ def read_sequence_chat(spark: SparkSession, path: str) -> DataFrame:
     needs a classic session. New data should land as JSON or Parquet.
     """
     rows = spark.sparkContext.sequenceFile(path)
-    return parse_chat_values(spark.createDataFrame(rows, "key long, value string"))
+    return parse_chat_values(spark.createDataFrame(rows, "key long, value string", verifySchema=False))
 
 
 def parse_chat_values(rows: DataFrame) -> DataFrame:
