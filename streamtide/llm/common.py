@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK = 1_000_000
+BATCH_ROWS = 1_000
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
@@ -28,7 +29,7 @@ def scratch(spark: SparkSession, purpose: str) -> str:
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared folder and read again: lineage ends there."""
     path = scratch(frame.sparkSession, purpose)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -40,6 +41,18 @@ def discard(frame: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def whole_texts(rows: DataFrame) -> DataFrame:
+    """The rows as they are; the session hands them to Python ``BATCH_ROWS`` at a time, as each
+    holds a whole text."""
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(ROWS_KEY)) <= BATCH_ROWS:
+        conf.set(ROWS_KEY, str(BATCH_ROWS))
+    return rows
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batch whose texts have ``limit`` bytes at most, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

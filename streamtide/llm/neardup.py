@@ -15,10 +15,10 @@ represented by its least id. A sketch has the ``k`` least hashes. The steps:
    left out, then those whose union sketch shares too few values (``least_overlap``); the full
    sets decide.
    Links make components, and lists within one component are closed.
-3. When a round has not closed a third of the open pairs, the last one meets all members of
-   the open lists whose components differ, each two of them once as a rule: not where both
-   have another list in common shortly before. No pair that could link two components is left
-   untested.
+3. When a round has not closed a third of the open pairs, the last one joins the whole sets of
+   the open lists' members: values in the order of their frequency, with prefix, size and
+   position filters, for members whose components differ. No pair that could link two
+   components is left untested.
 """
 
 from __future__ import annotations
@@ -31,15 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import DARK, LOWER, as_bytes, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
+from streamtide.llm.common import DARK, LOWER, as_bytes, mixed, shingle_hashes, slices, span_hashes, stored, whole_texts, word_spans
 from streamtide.llm.components import stars
 
 K = 96
 MISS = 1e-10
-#: So many lists back a member of the last round knows which ones it is in.
-RECENT = 6
 #: Sets to be compared are broadcast up to this size; beyond it pairs and sets are shuffled.
-BROADCAST_BYTES = 64_000_000
+BROADCAST_BYTES = 32_000_000
 #: Rows of ids and keys (24 bytes at most) up to this number are broadcast, 48 MB; beyond it
 #: they are shuffled.
 BROADCAST_IDS = 2_000_000
@@ -105,7 +103,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
                     [part.column("doc_id"), pa.array(counts), *keys, lists_of(hashes[rank < k], np.minimum(counts, k))],
                     ["doc_id", "n", "key_a", "key_b", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, sketch array<long>")
+    return whole_texts(docs).mapInArrow(run, "doc_id long, n long, key_a long, key_b long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -116,16 +114,25 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists_of(*shingle_sets(part, "text", width))], ["id", "hashes"])
 
-    return docs.mapInArrow(run, "id long, hashes array<long>")
+    return whole_texts(docs).mapInArrow(run, "id long, hashes array<long>")
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The stored pairs with set_a and set_b."""
     ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids")
     own = sets.join(few(ids), "id", "left_semi")
-    size = own.agg(F.coalesce(F.sum(F.size("hashes") * 8 + 32), F.lit(0))).first()[0]
-    one, two = (own.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
-    if size <= BROADCAST_BYTES:
+    return with_both(pairs, light(own, "hashes"), "hashes", "set")
+
+
+def light(rows: DataFrame, values: str) -> tuple[DataFrame, bool]:
+    """The table of ids and lists, and whether it is small enough to be broadcast."""
+    return rows, rows.agg(F.coalesce(F.sum(F.size(values) * 8 + 32), F.lit(0))).first()[0] <= BROADCAST_BYTES
+
+
+def with_both(pairs: DataFrame, rows: tuple[DataFrame, bool], values: str, name: str) -> DataFrame:
+    """The pairs a, b with the values of both, broadcast or shuffled."""
+    one, two = (rows[0].select(F.col("id").alias(x), F.col(values).alias(f"{name}_{x}")) for x in "ab")
+    if rows[1]:
         one, two = F.broadcast(one), F.broadcast(two)
     return pairs.join(one, "a").join(two, "b")
 
@@ -170,18 +177,24 @@ def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return ordered(met)
 
 
-def all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Of the open lists only: members whose components differ.
+def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the members of the open lists: all that may meet the threshold and have different parts.
 
-    Two members meet in the first list that they share, and in later ones only if that does
-    not show from the few lists before.
+    Each set is put in order, the values that the fewest members have first. The first value
+    that two sets share is the i-th of one and the j-th of the other, and no more can be shared
+    than what is left after these places: values that a set has for itself so count against it.
     """
-    before = Window.partitionBy("id").orderBy("value").rowsBetween(-RECENT, -1)
-    here = members.withColumn("recent", F.collect_list("value").over(before))
-    there = here.select("value", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "recent"))).withColumnRenamed("other_id", "other")
-    met = here.join(there, "value").where(
-        (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part")) & sizes_agree(F.col("n"), F.col("other_n"), percent)
-        & ~F.arrays_overlap("recent", "other_recent"))
+    own = stored(members.select("id", "n", "part").distinct(), "open-members")
+    values = sets.join(few(own), "id").select("id", "n", "part", F.explode("hashes").alias("hash"))
+    frequency = values.groupBy("hash").agg(F.count("*").alias("c"))
+    order = Window.partitionBy("id").orderBy("c", "hash")
+    ranked = values.join(frequency, "hash").withColumn("i", F.row_number().over(order))
+    prefix = stored(ranked.where((F.col("c") > 1) & ((F.col("n") - F.col("i") + 1) * 100 >= F.col("n") * percent)).drop("c"), "prefix")
+    other = prefix.select("hash", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "i"))).withColumnRenamed("other_id", "other")
+    at_most = F.least(F.col("n") - F.col("i"), F.col("other_n") - F.col("other_i")) + 1
+    met = prefix.join(other, "hash").where(
+        (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part"))
+        & (at_most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent))
     return ordered(met)
 
 
@@ -217,18 +230,21 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int)
     active = few(active)
     sets = stored(full_sets(docs.join(active, docs.doc_id == active.id, "left_semi").select("doc_id", "text"), width), "sets")
     kept = stored(classes.join(active, "id", "left_semi").select("id", "sketch"), "kept")
+    kept = light(kept, "sketch")
     parts, tested, edges, turn, before = None, None, None, 0, None
     while True:
         members, pairs = open_lists(lists, parts)
         if not pairs:
             return parts
         last = before is not None and 3 * pairs > 2 * before
-        met = all_pairs(members, percent) if last else star_pairs(members, turn, percent)
+        if last:
+            met = all_pairs(members, sets, percent)
+        else:
+            met = star_pairs(members, turn, percent)
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
-        one, two = (kept.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
-        near = met.join(one, "a").join(two, "b").where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b")
-        near = stored(near, "near")
+        both = with_both(met, kept, "sketch", "sketch")
+        near = stored(both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b"), "near")
         sure = stored(linked(with_sets(near, sets), percent), "links")
         if not sure.isEmpty():
             edges = sure if edges is None else edges.select("a", "b").union(sure)
