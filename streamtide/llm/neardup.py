@@ -15,9 +15,10 @@ represented by its least id. A sketch has the ``k`` least hashes. The steps:
    left out, then those whose union sketch shares too few values (``least_overlap``); the full
    sets decide.
    Links make components, and lists within one component are closed.
-3. When a round has not closed a third of the open pairs, the last one joins the whole sets of
-   the open lists' members: values in the order of their frequency, with prefix, size and
-   position filters, for members whose components differ. No pair that could link two
+3. When a round has not closed a tenth of the open pairs, the whole sets of the open lists'
+   members are joined: values in the order of their frequency, with prefix, size and position
+   filters, for members whose components differ. Of these pairs a few for each two components
+   are compared first, then all whose components still differ. No pair that could link two
    components is left untested.
 """
 
@@ -36,6 +37,8 @@ from streamtide.llm.components import stars
 
 K = 96
 MISS = 1e-10
+#: In the last round, so many pairs of two components are tried before all others.
+PICKS = 32
 #: Sets to be compared are broadcast up to this size; beyond it pairs and sets are shuffled.
 BROADCAST_BYTES = 32_000_000
 #: Rows of ids and keys (24 bytes at most) up to this number are broadcast, 48 MB; beyond it
@@ -124,9 +127,9 @@ def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return with_both(pairs, light(own, "hashes"), "hashes", "set")
 
 
-def light(rows: DataFrame, values: str) -> tuple[DataFrame, bool]:
+def light(rows: DataFrame, values: str, width: int = 8) -> tuple[DataFrame, bool]:
     """The table of ids and lists, and whether it is small enough to be broadcast."""
-    return rows, rows.agg(F.coalesce(F.sum(F.size(values) * 8 + 32), F.lit(0))).first()[0] <= BROADCAST_BYTES
+    return rows, rows.agg(F.coalesce(F.sum(F.size(values) * width + 32), F.lit(0))).first()[0] <= BROADCAST_BYTES
 
 
 def with_both(pairs: DataFrame, rows: tuple[DataFrame, bool], values: str, name: str) -> DataFrame:
@@ -178,7 +181,8 @@ def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the members of the open lists: all that may meet the threshold and have different parts.
+    """a, b, bound: of the members of the open lists all that may meet the threshold and have
+    different parts, with the overlap that they cannot exceed.
 
     Each set is put in order, the values that the fewest members have first. The first value
     that two sets share is the i-th of one and the j-th of the other, and no more can be shared
@@ -195,7 +199,19 @@ def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     met = prefix.join(other, "hash").where(
         (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part"))
         & (at_most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent))
-    return ordered(met)
+    return met.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max(at_most).alias("bound"))
+
+
+def best_pairs(pairs: DataFrame, parts: DataFrame | None, picks: int | None) -> DataFrame:
+    """The pairs whose parts still differ; with ``picks`` about that many for each two parts,
+    those with the highest bounds: one link spares the others."""
+    both = with_parts(with_parts(pairs, parts, "a").withColumnRenamed("part", "part_a"), parts, "b").where("part_a != part")
+    if picks is None:
+        return both.select("a", "b")
+    slot = F.pmod(F.xxhash64("a", "b"), F.lit(picks))
+    ends = F.least("part_a", "part").alias("low"), F.greatest("part_a", "part").alias("high")
+    best = both.groupBy(*ends, slot.alias("slot")).agg(F.max(F.struct("bound", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b")
 
 
 def with_parts(rows: DataFrame, parts: DataFrame | None, key: str) -> DataFrame:
@@ -229,30 +245,36 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int)
         return None
     active = few(active)
     sets = stored(full_sets(docs.join(active, docs.doc_id == active.id, "left_semi").select("doc_id", "text"), width), "sets")
-    kept = stored(classes.join(active, "id", "left_semi").select("id", "sketch"), "kept")
-    kept = light(kept, "sketch")
+    upper = F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int"))  # enough to estimate, in the same order
+    kept = light(stored(classes.join(active, "id", "left_semi").select("id", upper.alias("sketch")), "kept"), "sketch", 4)
     parts, tested, edges, turn, before = None, None, None, 0, None
+
+    def compared(near: DataFrame) -> None:
+        """Adds the links among the pairs to the components."""
+        nonlocal edges, parts
+        sure = stored(linked(with_sets(near, sets), percent), "links")
+        if not sure.isEmpty():
+            edges = sure if edges is None else edges.select("a", "b").union(sure)
+            edges = parts = stars(edges)
+
     while True:
         members, pairs = open_lists(lists, parts)
         if not pairs:
             return parts
-        last = before is not None and 3 * pairs > 2 * before
-        if last:
-            met = all_pairs(members, sets, percent)
-        else:
-            met = star_pairs(members, turn, percent)
+        if before is not None and 10 * pairs > 9 * before:
+            break
+        met = star_pairs(members, turn, percent)
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
         both = with_both(met, kept, "sketch", "sketch")
         near = stored(both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b"), "near")
-        sure = stored(linked(with_sets(near, sets), percent), "links")
-        if not sure.isEmpty():
-            edges = sure if edges is None else edges.select("a", "b").union(sure)
-            edges = parts = stars(edges)
-        if last:
-            return parts
+        compared(near)
         tested = near if tested is None else tested.union(near)
         turn, before = turn + 1, pairs
+    met = stored(all_pairs(members, sets, percent).join(tested, ["a", "b"], "left_anti"), "met")
+    for picks in (PICKS, None):
+        compared(stored(best_pairs(met, parts, picks), "near"))
+    return parts
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
