@@ -7,8 +7,9 @@ a slice of its own), so the memory of a task does not depend on the size of its
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +45,28 @@ def discard(frame: DataFrame) -> None:
 ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def whole_texts(rows: DataFrame) -> DataFrame:
-    """The rows as they are; the session hands them to Python ``BATCH_ROWS`` at a time, as each
-    holds a whole text."""
+def give_back() -> None:
+    """Returns freed memory to the system; a worker would keep that of its largest batch."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def in_tasks(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` for rows that hold whole texts: ``BATCH_ROWS`` at a time, as the session
+    is told, and with memory given back after each batch."""
     conf = rows.sparkSession.conf
     if not 0 < int(conf.get(ROWS_KEY)) <= BATCH_ROWS:
         conf.set(ROWS_KEY, str(BATCH_ROWS))
-    return rows
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            give_back()
+
+    return rows.mapInArrow(lambda batches: run(tidy(batches)), schema)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import CHUNK, DARK, LOWER, as_bytes, mixed, shingle_hashes, slices, span_hashes, stored, whole_texts, word_spans
+from streamtide.llm.common import CHUNK, DARK, LOWER, as_bytes, in_tasks, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
 
 BINS = 256
 BITS = 4
@@ -90,7 +90,7 @@ def fingerprint(docs: DataFrame, text: str = "text", keep: list[str] | None = No
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(prints, pa.string())], [*keep, "fingerprint"])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["fingerprint string"]
-    return whole_texts(docs.select(*keep, *([] if text in keep else [text]))).mapInArrow(run, ", ".join(fields))
+    return in_tasks(docs.select(*keep, *([] if text in keep else [text])), run, ", ".join(fields))
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
@@ -166,7 +166,7 @@ def edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = rows.withColumn("tie", F.xxhash64("text"))
     dealt = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     dealt = dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    found = stored(whole_texts(dealt).mapInArrow(in_order, f"{SCHEMA}, edge string, part int, text string"), "edits")
+    found = stored(in_tasks(dealt, in_order, f"{SCHEMA}, edge string, part int, text string"), "edits")
     first = found.where("edge = 'first'").select("part", F.col("text").alias("following"))
     last = found.where("edge = 'last'").select("part", "doc_id", "text")
     order = Window.orderBy("part")  # a row for each partition

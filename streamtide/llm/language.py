@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import LOWER, as_bytes, slices, whole_texts, word_spans
+from streamtide.llm.common import LOWER, as_bytes, in_tasks, slices, word_spans
 
 #: Trigrams are hashed into so many bins; a model has one row of bins for each language.
 BITS = 15
@@ -88,7 +88,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
             [pa.array(who.astype(np.int32)), pa.array(which.astype(np.int32)), pa.array(counts[who, which])], ["who", "bin", "n"])
 
     rows = (
-        whole_texts(picked.repartition(SAMPLE_TASKS)).mapInArrow(count, "who int, bin int, n long")
+        in_tasks(picked.repartition(SAMPLE_TASKS), count, "who int, bin int, n long")
         .groupBy("who", "bin").agg(F.sum("n").alias("n")).toPandas()
     )
     counts = np.full((len(languages), 1 << BITS), 0.5)
@@ -194,7 +194,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     needed = [*keep, *([] if text in keep else [text])]
-    return whole_texts(docs.select(*needed)).mapInArrow(run, ", ".join(fields + [f"{k} {v}" for k, v in added.items()]))
+    return in_tasks(docs.select(*needed), run, ", ".join(fields + [f"{k} {v}" for k, v in added.items()]))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import whole_texts
+from streamtide.llm.common import in_tasks
 
 # Phrases that name a license when their words stand consecutively.
 PHRASES = {
@@ -76,7 +76,7 @@ def counts_of(docs: DataFrame, vocabulary: frozenset[bytes], text: str) -> dict[
                 total.update(filter(vocabulary.__contains__, words_of(value.as_py())))
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
-    rows = whole_texts(docs.select(text)).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = in_tasks(docs.select(text), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r.word): r.n for r in rows.collect()}
 
 
@@ -175,7 +175,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     added = "n_words long, phrases array<struct<start:long,label:string>>, " \
             "notices array<struct<label:string,start:long,end:long,containment:double>>"
-    return whole_texts(docs.select(*keep, *([] if text in keep else [text]))).mapInArrow(run, ", ".join([*fields, added]))
+    return in_tasks(docs.select(*keep, *([] if text in keep else [text])), run, ", ".join([*fields, added]))
 
 
 EXACT = pa.list_(pa.struct([("start", pa.int64()), ("label", pa.string())]))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import DARK, as_bytes, slices, span_hashes, stored, whole_texts
+from streamtide.llm.common import DARK, as_bytes, in_tasks, slices, span_hashes, stored
 
 MIN_WORDS = 50
 #: Documents with deletions and their runs up to these numbers are broadcast, below 64 MB.
@@ -68,7 +68,7 @@ def line_names(docs: DataFrame, min_words: int) -> DataFrame:
             for part in slices(batch):
                 yield names(part)
 
-    return whole_texts(docs).mapInArrow(run, "doc struct<id:long,tie:long>, line int, name long, length int")
+    return in_tasks(docs, run, "doc struct<id:long,tie:long>, line int, name long, length int")
 
 
 def repeated(named: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import DARK, LOWER, as_bytes, mixed, shingle_hashes, slices, span_hashes, stored, whole_texts, word_spans
+from streamtide.llm.common import DARK, LOWER, as_bytes, in_tasks, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
 from streamtide.llm.components import stars
 
 K = 96
@@ -106,7 +106,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
                     [part.column("doc_id"), pa.array(counts), *keys, lists_of(hashes[rank < k], np.minimum(counts, k))],
                     ["doc_id", "n", "key_a", "key_b", "sketch"])
 
-    return whole_texts(docs).mapInArrow(run, "doc_id long, n long, key_a long, key_b long, sketch array<long>")
+    return in_tasks(docs, run, "doc_id long, n long, key_a long, key_b long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -117,7 +117,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists_of(*shingle_sets(part, "text", width))], ["id", "hashes"])
 
-    return whole_texts(docs).mapInArrow(run, "id long, hashes array<long>")
+    return in_tasks(docs, run, "id long, hashes array<long>")
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:

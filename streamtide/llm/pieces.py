@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from streamtide.llm.common import BASE, INVERSE, SYMBOLS, mixed, powers, slices, span_hashes, whole_texts
+from streamtide.llm.common import BASE, INVERSE, SYMBOLS, in_tasks, mixed, powers, slices, span_hashes
 
 #: Words of more bytes are solved one by one, so that a chunk's tables stay small.
 LONG = 48
@@ -36,7 +36,7 @@ PENALTY = 10.0
 PART = 2_000_000
 #: Words solved at once, and the ids that a process keeps of solved words.
 BLOCK = 8_192
-FULL = 4_000_000
+FULL = 2_000_000
 FILTER_BITS = 20
 LENGTHS = np.uint64(0xD6E8FEB86659FD93)
 
@@ -355,7 +355,7 @@ def encode(docs: DataFrame, machine: Machine, text: str = "text", keep: list[str
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists, pa.array(costs)], [*keep, "ids", "cost"])
 
     needed = [*keep, *([] if text in keep else [text])]
-    return whole_texts(docs.select(*needed)).mapInArrow(run, ", ".join([*fields_of(docs, keep), "ids array<int>", "cost double"]))
+    return in_tasks(docs.select(*needed), run, ", ".join([*fields_of(docs, keep), "ids array<int>", "cost double"]))
 
 
 def decode(rows: DataFrame, machine: Machine, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -373,7 +373,7 @@ def decode(rows: DataFrame, machine: Machine, ids: str = "ids", keep: list[str]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, "decoded"])
 
     needed = [*keep, *([] if ids in keep else [ids])]
-    return whole_texts(rows.select(*needed)).mapInArrow(run, ", ".join([*fields_of(rows, keep), "decoded string"]))
+    return in_tasks(rows.select(*needed), run, ", ".join([*fields_of(rows, keep), "decoded string"]))
 
 
 def digest(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -397,4 +397,4 @@ def digest(docs: DataFrame, machine: Machine) -> DataFrame:
                     ["doc_id", "n_ids", "ids", "cost", "decoded_sha256", "round_trip"])
 
     schema = "doc_id long, n_ids long, ids array<int>, cost double, decoded_sha256 string, round_trip boolean"
-    return whole_texts(docs.select("doc_id", "text")).mapInArrow(run, schema)
+    return in_tasks(docs.select("doc_id", "text"), run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import as_bytes, slices, stored, whole_texts
+from streamtide.llm.common import as_bytes, in_tasks, slices, stored
 
 #: About so many labelled documents are fitted, picked by a hash of the id; their features
 #: (below 50 numbers each) are what reaches the driver.
@@ -104,7 +104,7 @@ def fit(docs: DataFrame, good: DataFrame, sample: int = SAMPLE) -> Model:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("good"), pa.array(list(features(part.column("text"))), pa.list_(pa.float64()))], ["good", "x"])
 
-    rows = whole_texts(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("good", "text")).mapInArrow(run, "good double, x array<double>")
+    rows = in_tasks(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("good", "text"), run, "good double, x array<double>")
     found = rows.toArrow()
     y = np.array(found["good"].to_pylist()) >= 0.5
     return logistic(np.array(found["x"].to_pylist()).reshape(len(y), 2 + N_KINDS), y.astype(float))
@@ -119,7 +119,7 @@ def evidence(docs: DataFrame, model: Model) -> DataFrame:
                 found = model.evidence(features(part.column("text")))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "host", "path")), pa.array(found)], ["doc_id", "host", "path", "evidence"])
 
-    return whole_texts(docs).mapInArrow(run, "doc_id long, host string, path string, evidence double")
+    return in_tasks(docs, run, "doc_id long, host string, path string, evidence double")
 
 
 def logit(p: Column) -> Column:

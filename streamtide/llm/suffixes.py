@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import INVERSE, as_bytes, mixed, powers, prefix_sums, slices, stored, whole_texts
+from streamtide.llm.common import INVERSE, as_bytes, in_tasks, mixed, powers, prefix_sums, slices, stored
 
 WINDOW = 400
 GRAM = 200
@@ -105,7 +105,7 @@ def grams_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc").take(pa.array(owner)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], ["doc", "gram", "n"])
 
-    return whole_texts(docs).mapInArrow(run, "doc struct<id:long,tie:long>, gram long, n int")
+    return in_tasks(docs, run, "doc struct<id:long,tie:long>, gram long, n int")
 
 
 PACKET_FIELDS = pa.schema([
@@ -157,7 +157,7 @@ def packets_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
         if held:
             yield packet()
 
-    return whole_texts(docs).mapInArrow(run, "packet string, docs array<struct<id:long,tie:long>>, owner array<int>, start array<long>, n array<long>, data binary")
+    return in_tasks(docs, run, "packet string, docs array<struct<id:long,tie:long>>, owner array<int>, start array<long>, n array<long>, data binary")
 
 
 def run_of(data: bytes, n: np.ndarray, window: int):
@@ -285,7 +285,7 @@ def marked(packets: DataFrame, ranges: int, window: int) -> DataFrame:
         marks = [np.packbits(m).tobytes() for m in np.split(twice, np.cumsum([len(k) for k, _ in runs])[:-1])]
         return pa.table({"range": table["range"], "packet": table["packet"], "marks": pa.array(marks, pa.binary())})
 
-    sent = whole_texts(packets.select("packet", "n", "data")).mapInArrow(send, "range int, packet string, n int, run binary")
+    sent = in_tasks(packets.select("packet", "n", "data"), send, "range int, packet string, n int, run binary")
     found = sent.groupBy("range").applyInArrow(merge, "range int, packet string, marks binary")
     return found.groupBy("packet").agg(F.sort_array(F.collect_list(F.struct("range", "marks"))).alias("marks"))
 
@@ -322,7 +322,7 @@ def spans_in(packets: DataFrame, ranges: int, window: int) -> DataFrame:
                 rows = [{"doc": d, "removed": union_of(places[a:b], window)} for d, a, b in zip(docs, edges, edges[1:]) if b > a]
                 yield pa.RecordBatch.from_pylist(rows, SPANS)
 
-    return whole_texts(packets).mapInArrow(run, "doc struct<id:long,tie:long>, removed array<struct<from:long,to:long>>")
+    return in_tasks(packets, run, "doc struct<id:long,tie:long>, removed array<struct<from:long,to:long>>")
 
 
 SPANS = pa.schema([("doc", pa.struct([("id", pa.int64()), ("tie", pa.int64())])),
@@ -386,7 +386,7 @@ def cut(found: DataFrame) -> DataFrame:
                 kept = [outside(t.as_py(), r.as_py()) for t, r in zip(part.column("text"), part.column("removed"))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.binary())], ["doc_id", "kept"])
 
-    return whole_texts(found).mapInArrow(run, "doc_id long, kept binary")
+    return in_tasks(found, run, "doc_id long, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -401,5 +401,5 @@ def digest(docs: DataFrame) -> DataFrame:
                     pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())], ["doc_id", "n_bytes", "n_spans", "n_kept", "kept_sha256"])
 
     found = repeats(docs).withColumns({"n_bytes": F.octet_length("text").cast("long"), "n_spans": F.size("removed").cast("long")})
-    left = whole_texts(found).mapInArrow(run, "doc_id long, n_bytes long, n_spans long, n_kept long, kept_sha256 string")
+    left = in_tasks(found, run, "doc_id long, n_bytes long, n_spans long, n_kept long, kept_sha256 string")
     return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.col("n_kept")).alias("n_removed"), "n_spans", "kept_sha256")
