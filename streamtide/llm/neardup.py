@@ -189,11 +189,12 @@ def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     than what is left after these places: values that a set has for itself so count against it.
     """
     own = stored(members.select("id", "n", "part").distinct(), "open-members")
-    values = sets.join(few(own), "id").select("id", "n", "part", F.explode("hashes").alias("hash"))
+    values = sets.join(few(own.select("id")), "id", "left_semi").select("id", F.explode("hashes").alias("hash"))
     frequency = values.groupBy("hash").agg(F.count("*").alias("c"))
     order = Window.partitionBy("id").orderBy("c", "hash")
     ranked = values.join(frequency, "hash").withColumn("i", F.row_number().over(order))
-    prefix = stored(ranked.where((F.col("c") > 1) & ((F.col("n") - F.col("i") + 1) * 100 >= F.col("n") * percent)).drop("c"), "prefix")
+    shared = ranked.where("c > 1").drop("c").join(few(own), "id")
+    prefix = stored(shared.where((F.col("n") - F.col("i") + 1) * 100 >= F.col("n") * percent), "prefix")
     other = prefix.select("hash", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "i"))).withColumnRenamed("other_id", "other")
     at_most = F.least(F.col("n") - F.col("i"), F.col("other_n") - F.col("other_i")) + 1
     met = prefix.join(other, "hash").where(
