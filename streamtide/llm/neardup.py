@@ -200,18 +200,19 @@ def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     met = prefix.join(other, "hash").where(
         (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part"))
         & (at_most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent))
-    return met.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max(at_most).alias("bound"))
+    ends = F.col("id").alias("a"), F.col("other").alias("b"), F.col("part").alias("part_a"), F.col("other_part").alias("part")
+    return met.groupBy(*ends).agg(F.max(at_most).alias("bound"))
 
 
 def best_pairs(pairs: DataFrame, parts: DataFrame | None, picks: int | None) -> DataFrame:
     """The pairs whose parts still differ; with ``picks`` about that many for each two parts,
     those with the highest bounds: one link spares the others."""
-    both = with_parts(with_parts(pairs, parts, "a").withColumnRenamed("part", "part_a"), parts, "b").where("part_a != part")
     if picks is None:
-        return both.select("a", "b")
+        now = with_parts(pairs.select("a", "b"), parts, "a").withColumnRenamed("part", "part_a")
+        return with_parts(now, parts, "b").where("part_a != part").select("a", "b")
     slot = F.pmod(F.xxhash64("a", "b"), F.lit(picks))
     ends = F.least("part_a", "part").alias("low"), F.greatest("part_a", "part").alias("high")
-    best = both.groupBy(*ends, slot.alias("slot")).agg(F.max(F.struct("bound", "a", "b")).alias("best"))
+    best = pairs.groupBy(*ends, slot.alias("slot")).agg(F.max(F.struct("bound", "a", "b")).alias("best"))
     return best.select("best.a", "best.b")
 
 
