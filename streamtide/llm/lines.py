@@ -7,10 +7,13 @@ stay. Places with one name share a prefix of that many lines: they are an interv
 suffix array. A prefix of any other length is two overlapping runs of the largest power of two
 within it, so two names identify it.
 
-A repeated run counts from ``min_words`` words on. A run that long is a union of least windows
-(from a line, as many lines as reach ``min_words``), and each window of a repeated run is
-repeated itself; so the windows whose interval has an earlier place make up exactly the later
-copies of the maximal repeated runs.
+A repeated run counts from ``min_words`` words on. A run that long is a union of least windows,
+those that go forward from a line (as many lines as reach ``min_words``) and those that go back
+from one; the forward windows alone leave out the lines after the last of them that ends within
+the run. Each window of a repeated run is repeated itself; so the windows whose interval has an
+earlier place make up exactly the later copies of the maximal repeated runs. A window back to a
+line holds the forward window from it and ends before that of the next line, so the windows of
+a line have all lengths between two bounds, and a text has at most two windows a line.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def line_names(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc, line, name, length: every line, and the lines of the least window from it (0: none)."""
+    """doc, line, name, length, most: every line, and the fewest and most lines of the least windows that start with it (0: none)."""
 
     def names(part: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = as_bytes(part.column("text"))
@@ -58,17 +61,20 @@ def line_names(docs: DataFrame, min_words: int) -> DataFrame:
         before, after = words[starts], words[ends]
         to = np.searchsorted(after, before + min_words)
         last = np.repeat(np.cumsum(n), n)
-        length = np.where(to < last, to - np.arange(len(owner)) + 1, 0)
+        at = np.arange(len(owner))
+        length = np.where(to < last, to - at + 1, 0)
+        most = np.where(length > 0, np.maximum(length, np.minimum(np.append(to[1:], len(owner)), last) - at), 0)
         return pa.RecordBatch.from_arrays(
             [part.column("doc").take(pa.array(owner)), pa.array(line.astype(np.int32)),
-             pa.array(span_hashes(data, starts, ends).view(np.int64)), pa.array(length.astype(np.int32))], ["doc", "line", "name", "length"])
+             pa.array(span_hashes(data, starts, ends).view(np.int64)), pa.array(length.astype(np.int32)),
+             pa.array(most.astype(np.int32))], ["doc", "line", "name", "length", "most"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 yield names(part)
 
-    return in_tasks(docs, run, "doc struct<id:long,tie:long>, line int, name long, length int")
+    return in_tasks(docs, run, "doc struct<id:long,tie:long>, line int, name long, length int, most int")
 
 
 def repeated(named: DataFrame) -> DataFrame:
@@ -89,14 +95,16 @@ def windows(docs: DataFrame, min_words: int) -> DataFrame:
     size, found = 1, None
     while True:
         level = stored(level, "names")
-        whole = level.where((F.col("length") >= size) & (F.col("length") < 2 * size))
+        whole = level.where((F.col("length") > 0) & (F.col("most") >= size) & (F.col("length") < 2 * size))
+        lengths = F.sequence(F.greatest("length", F.lit(size)), F.least("most", F.lit(2 * size - 1)))
+        whole = whole.withColumn("length", F.explode(lengths))
         here = whole.withColumn("second", F.col("name")) if size == 1 else with_second(whole, level, F.col("length") - size)
         here = here.select("doc", "line", "length", "name", "second")
         found = here if found is None else found.union(here)
-        if level.where(F.col("length") >= 2 * size).isEmpty():
+        if level.where(F.col("most") >= 2 * size).isEmpty():
             return found
         doubled = with_second(level, level, F.lit(size))
-        level = repeated(doubled.select("doc", "line", F.xxhash64("name", "second").alias("name"), "length"))
+        level = repeated(doubled.select("doc", "line", F.xxhash64("name", "second").alias("name"), "length", "most"))
         size *= 2
 
 

@@ -61,6 +61,38 @@ def test_equals_brute_force(docs, monkeypatch, min_words, rows):
     assert sum(n for _, n in expected.values()) > 100
 
 
+def brute_runs(rows, min_words):
+    """As brute, by the maximal runs that stand at an earlier place: every pair of places."""
+    split = [None if t is None else t.split("\n") for _, t in rows]
+    gone = [set() for _ in rows]
+    for d, own in enumerate(split):
+        for p in range(len(own or [])):
+            for e in range(d + 1):
+                other = split[e]
+                for q in range(len(other or []) if e < d else p):
+                    n = 0
+                    while p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
+                        n += 1
+                    if sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in own[p:p + n]) >= min_words:
+                        gone[d].update(range(p, p + n))
+    return split, gone
+
+
+@pytest.mark.parametrize("min_words", [50, 7])
+def test_tails_of_runs_go(spark, min_words):
+    rng = random.Random(4)
+    pool = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (60, 5, 5, 1, 30, 3, 8, 2)] + [""]
+    texts = ["\n".join([*pool[:3], "x"]), "\n".join(pool[:3]), "\n".join(["y", *pool[:3]]), "\n".join([pool[0], *[""] * 9, "z"]), "\n".join([pool[0], *[""] * 9])]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 40))) for _ in range(40)]
+    rows = list(enumerate(texts))
+    split, gone = brute_runs(rows, min_words)
+    got = {r.doc_id: r for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words).collect()}
+    for d, _ in rows:
+        assert {i for x in got[d].removed_runs or [] for i in range(x["from"], x["to"])} == gone[d], texts[d]
+        assert got[d].text == "\n".join(x for i, x in enumerate(split[d]) if i not in gone[d])
+    assert gone[1] == {0, 1, 2} and gone[2] == {1, 2, 3}
+
+
 def test_digest(docs):
     for r in lines.digest(docs.where("doc_id between 70002 and 70003 or doc_id = 10000 or doc_id = 10001")).collect():
         expected = {70_002: (3, 2, 1), 70_003: (40, 0, 0), 10_000: (0, 0, 0), 10_001: (1, 0, 0)}[r.doc_id]
