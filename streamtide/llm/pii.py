@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 #: Base kinds, in the order in which spans with one start are listed. Matches are leftmost
 #: and do not overlap; \G lets a match start where the last one ended, else it starts at the
-#: beginning of a run. Possessive repeats give the same matches and need no stack.
+#: beginning of a run. Possessive repeats give the same matches and need no stack. For an IBAN
+#: only the first four characters are taken, and the group is the run from there: words and
+#: other numbers may follow, so ``account_number`` looks for its end.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: A text without this cannot hold the kind.
@@ -32,6 +34,13 @@ SUPPORT = {
     "iban": r"(?i)\b(?:iban|bank|account|transfer|konto)\b",
 }
 DOUBT = r"(?i)\b(?:example|sample|test|dummy|version|order|invoice|isbn)\b"
+#: Registered lengths of IBANs by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
 #: Characters on either side that count as near.
 NEAR = 40
 
@@ -77,6 +86,21 @@ def confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def account_number(run: Column) -> Column:
+    """The IBAN that a run of tokens begins with, or null: the tokens that make the registered
+    length of the country, else the whole run, or its longest part if the country has none."""
+    lengths = F.create_map(*(F.lit(x) for n, countries in IBAN_LENGTHS.items() for country in countries.split() for x in (country, n)))
+    tokens = F.split(run, " ")
+    parts = F.transform(F.sequence(F.lit(1), F.size(tokens)), lambda n: F.array_join(F.slice(tokens, 1, n), " "))
+    length = F.try_element_at(lengths, F.substring(run, 1, 2))
+
+    def registered(part: Column) -> Column:
+        return F.length(F.regexp_replace(part, " ", "")) == length
+
+    passed = F.filter(parts, lambda part: (length.isNull() | registered(part) | (part == run)) & confirmed("iban", part))
+    return F.element_at(F.concat(F.array(F.lit(None).cast("string")), passed, F.filter(passed, registered)), -1)
+
+
 def scored(kind: str, text: Column, start: Column, end: Column) -> Column:
     begin = F.greatest(start - NEAR, F.lit(0))
     near = F.concat_ws(" ", F.substr(text, begin + 1, start - begin), F.substr(text, end + 1, F.lit(NEAR)))
@@ -89,22 +113,26 @@ def spans_of(kind: str, text: Column) -> Column:
     """The confirmed spans of one kind: code points from 0, the end exclusive.
 
     The pieces between matches and the matches alternate, so adding up their lengths gives
-    the places.
+    the places. IBANs that begin within one that was found are part of it.
     """
     pattern = F.lit(PATTERNS[kind])
-    pieces = F.arrays_zip(
-        F.split(text, PATTERNS[kind], -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
-    nothing = F.struct(F.lit(0).alias("at"), F.lit([]).cast(
+    hits = F.regexp_extract_all(text, pattern, F.lit(1 if kind == "iban" else 0))
+    if kind == "iban":
+        hits = F.transform(hits, account_number)
+    pieces = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), hits.alias("hit"))
+    nothing = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.lit([]).cast(
         "array<struct<kind:string,start:int,end:int,value:string,score:double>>").alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         gap, hit = piece["gap"], piece["hit"]
         start = state["at"] + F.length(gap)
         end = start + F.coalesce(F.length(hit), F.lit(0))
+        at = start + 4 if kind == "iban" else end
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
                         hit.alias("value"), scored(kind, text, start, end).alias("score"))
-        found = F.when(hit.isNotNull() & confirmed(kind, hit), F.concat(state["found"], F.array(span)))
-        return F.struct(end.alias("at"), found.otherwise(state["found"]).alias("found"))
+        good = hit.isNotNull() & ((start >= state["free"]) if kind == "iban" else confirmed(kind, hit))
+        return F.struct(at.alias("at"), F.when(good, end).otherwise(state["free"]).alias("free"),
+                        F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"))
 
     found = F.aggregate(pieces, nothing, step, lambda state: state["found"])
     return F.when(text.rlike(NEEDS[kind]), found).otherwise(nothing["found"])

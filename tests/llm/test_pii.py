@@ -57,6 +57,22 @@ def test_added_kind_needs_its_checksum(rows):
     assert [s for s in row.spans.split(",") if s.startswith("iban")] == ["iban:5:32"]
 
 
+def test_added_kind_ends_before_other_tokens(spark):
+    texts = {
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": ["DE89 3704 0044 0532 0130 00"],
+        "DE89370400440532013000 EUR 50": ["DE89370400440532013000"],
+        "GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00": ["GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"],
+        "REF AB12 DE89 3704 0044 0532 0130 00 X": ["DE89 3704 0044 0532 0130 00"],
+        "\U0001F600 NO93 8601 1117 947 OK, BE68539007547034": ["NO93 8601 1117 947", "BE68539007547034"],
+        "DE88 3704 0044 0532 0130 00 EUR 50": [],
+    }
+    got = pii.find(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    for r in got:
+        found = [s for s in r.personal if s.kind == "iban"]
+        assert [s.value for s in found] == texts[r.text]
+        assert [r.text[s.start:s.end] for s in found] == texts[r.text]
+
+
 def test_context_moves_the_score(spark):
     texts = ["pay by card 4111111111111111", "x 4111111111111111", "test card number 4111111111111111", "test 4111111111111111"]
     got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
