@@ -26,8 +26,11 @@ def without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (null, or no letter) go."""
-    known = language.predict(docs, language.fit(docs), keep=docs.columns)
+    """Documents without a recognisable language (null, or no letter) go, also if none is labelled."""
+    model = language.fit(docs)
+    if not model.languages:
+        return language.lettered(docs)
+    known = language.predict(docs, model, keep=docs.columns)
     return known.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 

@@ -156,6 +156,17 @@ def has_letter(text: str | None) -> bool:
     return any(m.group().isalpha() for m in LETTER.finditer(text or ""))
 
 
+def lettered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter: those that ``predict`` judges if its model has languages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(pa.array([has_letter(x.as_py()) for x in part.column(text)], pa.bool_()))
+
+    return in_tasks(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) with lang_pred, lang_score, languages and shares.
 

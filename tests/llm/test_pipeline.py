@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import brute as brute_windows
 from test_lines import brute as brute_lines
 from test_neardup import brute as brute_groups
@@ -51,3 +52,11 @@ def test_null_ids_and_repeated_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = spark.createDataFrame(stage(spark, docs, "/root/testdata/sf0.001").collect(), docs.schema)
         assert sorted(str(r.doc_id) for r in docs.collect()) == ["7", "7", "None", "None"]
+
+
+def test_unlabelled_documents_stay(spark, documents):
+    docs = documents.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language_stage(spark, docs, "/root/testdata/sf0.001")
+    assert left.columns == docs.columns
+    got = sorted(r.doc_id for r in left.collect())
+    assert got == sorted(r.doc_id for r in docs.collect() if has_letter(r.text)) and 100 < len(got) < docs.count()
