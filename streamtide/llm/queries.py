@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamtide.llm import decontaminate, fingerprints, language, licenses, lines, neardup, pieces, pii, quality, suffixes
+from streamtide.llm import centroids, codes, decontaminate, fingerprints, language, licenses, lines, neardup, packing, pieces, pii, quality, suffixes
 
 #: Read by the driver only; its tables travel with the tasks.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER_FILE = "/opt/tokenizers/word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +63,19 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), tokenizer_file or TOKENIZER_FILE)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_licenses, op2_pieces, op3_suffixes, op4_decontamination, op5_quality, op6_fingerprints,
-    op7_language, op8_personal_data, op9_near_duplicates, op10_lines)}
-ORACLES: dict[str, str] = {}
+    op7_language, op8_personal_data, op9_near_duplicates, op10_lines, op11_packing, op12_centroids, op13_codes)}
+ORACLES: dict[str, str] = {"op12_centroids": centroids.oracle_sql(), "op13_codes": codes.oracle_sql()}

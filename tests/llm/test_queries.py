@@ -7,11 +7,17 @@ from streamtide.llm.queries import QUERIES
 DATA = "/root/testdata/sf0.001"
 
 
+#: Queries over vectors, and the one with several rows for a document.
+VECTORS, PIECES = ("op12_centroids", "op13_codes"), "op11_packing"
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_every_document_has_a_row(spark, name):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    ids = [r.doc_id for r in QUERIES[name](spark, DATA).select("doc_id").collect()]
-    assert sorted(ids) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+def test_every_row_has_an_answer(spark, name):
+    table, key = ("embeddings", "vec_id") if name in VECTORS else ("documents", "doc_id")
+    rows = spark.read.parquet(f"{DATA}/{table}.parquet")
+    got = QUERIES[name](spark, DATA).select(key)
+    ids = [r[0] for r in (got.distinct() if name == PIECES else got).collect()]
+    assert sorted(ids) == sorted(r[0] for r in rows.select(key).collect())
 
 
 def test_names_follow_the_operators():
