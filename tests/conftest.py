@@ -33,12 +33,3 @@ def values(spark):
         return [r[0] for r in frame.select(column.alias("result")).collect()]
 
     return run
-
-
-def rows_of(frame, *columns):
-    """Rows as a sorted list of tuples; nulls first."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted(
-        (tuple(r) for r in picked.collect()),
-        key=lambda t: tuple((x is not None, str(x)) for x in t),
-    )

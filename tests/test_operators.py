@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 import pandas as pd
 import pytest
-from conftest import rows_of
+from rows import rows_of
 from pyspark.sql import functions as F
 
 from streamtide.operators import joins, rollups, series

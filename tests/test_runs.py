@@ -4,7 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows_of
+from rows import rows_of
 from pyspark.sql import functions as F
 
 from streamtide import schemas

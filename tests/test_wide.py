@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows_of
+from rows import rows_of
 from pyspark.sql import functions as F
 
 from streamtide.functions import times
