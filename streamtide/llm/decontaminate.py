@@ -21,7 +21,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Item shingles (a hash of 8 bytes each) up to this number are broadcast, 16 MB; beyond it
 #: both sides are shuffled on the hash.
 BROADCAST_ROWS = 1_000_000
-#: Stands for "no shingle": the row that keeps a document without matches.
+#: Stands for "no shingle" where the shingles are broadcast: the row of a document without matches.
 NONE = 0
 
 
@@ -31,9 +31,8 @@ def words_of(text: Column) -> Column:
 
 
 def item_windows(items: DataFrame, window: int, item_id: str, text: str) -> DataFrame:
-    """item_id, words, phrase: every distinct window of every item that has an id and words."""
-    words = items.where(F.col(item_id).isNotNull()).select(
-        F.col(item_id).cast("string").alias("item_id"), words_of(F.col(text)).alias("all_words"))
+    """item_id, words, phrase: every distinct window of every item that has words."""
+    words = items.select(F.col(item_id).cast("string").alias("item_id"), words_of(F.col(text)).alias("all_words"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all_words") - window, F.lit(0)))
     return (
         words.where(F.size("all_words") > 0)
@@ -43,41 +42,68 @@ def item_windows(items: DataFrame, window: int, item_id: str, text: str) -> Data
     )
 
 
+def shingle_hash(hashes: Column, at: Column, k: int) -> Column:
+    """Of the ``k`` words from ``at``, out of the hashes of all words."""
+    return F.xxhash64(*(F.get(hashes, at + j) for j in range(k)))
+
+
 def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     """phrase, length, k, offset, h: the shingles of each distinct window, ``k`` words each."""
-    k = F.least(F.size("words"), F.lit(shingle))
-    return (
-        windows.select("phrase", "words").distinct()
-        .select("phrase", "words", F.size("words").alias("length"), k.alias("k"),
-                F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("offset"))
-        .select("phrase", "length", "k", "offset", F.xxhash64(F.slice("words", F.col("offset") + 1, F.col("k"))).alias("h"))
-    )
+    hashed = windows.select("phrase", "words").distinct().select(
+        "phrase", F.size("words").alias("length"), F.least(F.size("words"), F.lit(shingle)).alias("k"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    placed = hashed.select("*", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("k"))).alias("offset"))
+    by_width = [shingle_hash(F.col("hashes"), F.col("offset"), k) for k in range(1, shingle + 1)]
+    return placed.select("phrase", "length", "k", "offset", F.get(F.array(*by_width), F.col("k") - 1).alias("h"))
 
 
-def shingles_at(words: Column, k: int) -> Column:
-    last = F.size(words) - k
-    at = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(F.slice(words, i + 1, k)).alias("h")))
+def shingles_at(hashes: Column, k: int) -> Column:
+    last = F.size(hashes) - k
+    at = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("pos"), shingle_hash(hashes, i, k).alias("h")))
     return F.when(last >= 0, at).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
 
 
+def around(words: Column, begin: Column, n: int) -> Column:
+    """``n`` words from ``begin``, null beyond the end; its cost does not grow with the text, as
+    that of a slice does, and it needs no function that would take a row out of generated code."""
+    return F.array(*(F.get(words, begin + j) for j in range(n)))
+
+
+def placed(texts: DataFrame, places: Column) -> DataFrame:
+    """A row for each place; one of nulls, which no join keeps, for a text without any.
+
+    The list is made first: a generator over a plain column runs in generated code, which refers
+    to the words of the text where it would else copy them. The outer form, as for the other one
+    Spark infers that the list is not empty, and works it all out once more below."""
+    return texts.select("row", "doc_id", "words", places.alias("places")).select("row", "doc_id", "words", F.inline_outer("places"))
+
+
 def matches(docs: DataFrame, shingles: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
     """Every place where an item shingle may stand, with the words around it, and for each
-    document one row at place -1."""
+    document one row at place -1.
+
+    Few shingles are broadcast, and one scan yields both. Many are joined by a shuffle that takes
+    the words around each place along, never a whole text; the rows at place -1 stay out of it.
+    """
     widths = sorted(r.k for r in shingles.select("k").distinct().collect())  # at most `shingle` values
-    keys = shingles.select("h").distinct().union(docs.sparkSession.range(1).select(F.lit(NONE).cast("long")))
-    keys = keys.distinct()
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
+    keys = shingles.select("h").distinct()
+    few = keys.count() <= BROADCAST_ROWS
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if not few:
+        rows = stored(rows, "numbered")  # read twice, and the numbers must stay
+    texts = rows.select("row", "doc_id", words_of(F.col("text")).alias("words"))
+    hashed = texts.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     start = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(NONE).cast("long").alias("h")))
-    places = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words"))
-    places = places.select("row", "doc_id", "words", F.inline(
-        F.concat(start, *(shingles_at(F.col("words"), k) for k in widths))))
+    at = [shingles_at(F.col("hashes"), k) for k in widths]
     near_at = F.greatest(F.col("pos") - window, F.lit(0))
-    near = F.when(F.col("pos") >= 0, F.slice("words", near_at + 1, 2 * window))
-    return places.join(keys, "h").select(
-        "row", "doc_id", F.size("words").cast("long").alias("n_words"), "pos", "h", near_at.alias("near_at"), near.alias("near"))
+    near = F.when(F.col("pos") >= 0, around(F.col("words"), near_at, 2 * window))
+    columns = "row", "doc_id", F.size("words").cast("long").alias("n_words"), "pos", "h", near_at.alias("near_at"), near.alias("near")
+    if few:
+        none = docs.sparkSession.range(1).select(F.lit(NONE).cast("long").alias("h"))
+        places = placed(hashed, F.concat(start, *at))
+        return places.join(F.broadcast(keys.union(none).distinct()), "h").select(*columns)
+    found = placed(hashed, F.concat(*at) if at else F.array().cast("array<struct<pos:int,h:bigint>>")).select(*columns).join(keys, "h")
+    return found.unionByName(placed(texts, start).select(*columns))
 
 
 def occurrences(found: DataFrame, shingles: DataFrame) -> DataFrame:
@@ -114,8 +140,9 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5,
          text: str = "text", item_id: str = "item_id") -> DataFrame:
     """doc_id, n_words, n_hit, item_ids (sorted), one row for each row of ``docs``.
 
-    Null or empty texts have no words and no hits; repeated rows are judged each for itself;
-    items without id or words count for nothing, repeated items once; without items or
+    Null or empty texts have no words and no hits; repeated rows are judged each for itself.
+    Items without words count for nothing, repeated items once; the windows of items without an
+    id count for ``n_hit``, but such an item has no name to be listed. Without items or
     documents the result has no hits or no rows. Columns other than the named ones are not read.
     """
     windows = stored(item_windows(items, window, item_id, text), "item-windows")

@@ -1,11 +1,15 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 Only DataFrame functions; one pass over the rows and no shuffle. A pattern is never tried
-twice over the same run of characters, so very long texts cost no more than their length.
+twice over the same run of characters. The spans of a text are gathered block by block, about as
+many blocks as a block has places, and their surroundings are cut from short stretches of the
+text, so very long texts with very many spans cost little more than their length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,8 @@ IBAN_LENGTHS = {
 }
 #: Characters on either side that count as near.
 NEAR = 40
+#: Code points of a stretch of text; at least NEAR.
+STRETCH = 256
 
 
 def digits(value: Column) -> Column:
@@ -101,15 +107,65 @@ def account_number(run: Column) -> Column:
     return F.element_at(F.concat(F.array(F.lit(None).cast("string")), passed, F.filter(passed, registered)), -1)
 
 
-def scored(kind: str, text: Column, start: Column, end: Column) -> Column:
+def stretches(text: Column) -> Column:
+    """The text in pieces of STRETCH code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))
+
+
+def cut(parts: Column, begin: Column, length: Column) -> Column:
+    """At most NEAR code points of the text from ``begin``, out of its stretches."""
+    at = F.floor(begin / STRETCH).cast("int")
+    both = F.concat(F.coalesce(F.get(parts, at), F.lit("")), F.coalesce(F.get(parts, at + 1), F.lit("")))
+    return F.substr(both, begin - at * STRETCH + 1, length)
+
+
+def scored(kind: str, parts: Column, start: Column, end: Column) -> Column:
     begin = F.greatest(start - NEAR, F.lit(0))
-    near = F.concat_ws(" ", F.substr(text, begin + 1, start - begin), F.substr(text, end + 1, F.lit(NEAR)))
-    raised = F.when(near.rlike(SUPPORT[kind]), 0.2).otherwise(0.0)
-    lowered = F.when(near.rlike(DOUBT), 0.3).otherwise(0.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(CONFIDENCE[kind]) + raised - lowered))
+    near = F.concat_ws(" ", cut(parts, begin, start - begin), cut(parts, end, F.lit(NEAR)))
+
+    def moved(near: Column) -> Column:
+        raised = F.when(near.rlike(SUPPORT[kind]), 0.2).otherwise(0.0)
+        lowered = F.when(near.rlike(DOUBT), 0.3).otherwise(0.0)
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(CONFIDENCE[kind]) + raised - lowered))
+
+    return bound(near, moved)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once: within a list, an expression is worked out
+    wherever it stands."""
+    return F.transform(F.array(value), use)[0]
+
 
+def gathered(items: Column, state: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What ``step`` finds in each item, as a list of ``kind``; nulls are left out.
 
-def spans_of(kind: str, text: Column) -> Column:
+    There is an item at least. ``step`` takes the state and an item; of its result, ``state`` goes on to the next. A list
+    that grows by one is copied each time, so items are taken in blocks of their number's square
+    root: only the list of a block grows by one, and the whole one by a block.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def in_blocks(own: Column) -> Column:
+        size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(own)))).cast("int")
+        numbers = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / size).cast("int"))
+        return F.transform(numbers, lambda k: F.slice(own, k * size + 1, size))
+
+    def one(so_far: Column, item: Column) -> Column:
+        return bound(step(so_far["state"], item), lambda x: F.struct(x["state"].alias("state"), F.when(
+            x["found"].isNotNull(), F.concat(so_far["found"], F.array(x["found"]))).otherwise(so_far["found"]).alias("found")))
+
+    def block(so_far: Column, own: Column) -> Column:
+        inner = F.aggregate(own, F.struct(so_far["state"].alias("state"), none.alias("found")), one)
+        return bound(inner, lambda x: F.struct(x["state"].alias("state"), F.concat(so_far["found"], x["found"]).alias("found")))
+
+    return F.aggregate(bound(items, in_blocks), F.struct(state.alias("state"), none.alias("found")), block, lambda x: x["found"])
+
+
+SPAN = "struct<kind:string,start:int,end:int,value:string>"
+
+
+def spans_of(kind: str, text: Column, parts: Column) -> Column:
     """The confirmed spans of one kind: code points from 0, the end exclusive.
 
     The pieces between matches and the matches alternate, so adding up their lengths gives
@@ -119,23 +175,25 @@ def spans_of(kind: str, text: Column) -> Column:
     hits = F.regexp_extract_all(text, pattern, F.lit(1 if kind == "iban" else 0))
     if kind == "iban":
         hits = F.transform(hits, account_number)
-    pieces = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), hits.alias("hit"))
-    nothing = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.lit([]).cast(
-        "array<struct<kind:string,start:int,end:int,value:string,score:double>>").alias("found"))
+    pieces = F.arrays_zip(F.transform(F.split(text, PATTERNS[kind], -1), F.length).alias("gap"), hits.alias("hit"))
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"))
 
     def step(state: Column, piece: Column) -> Column:
-        gap, hit = piece["gap"], piece["hit"]
-        start = state["at"] + F.length(gap)
-        end = start + F.coalesce(F.length(hit), F.lit(0))
-        at = start + 4 if kind == "iban" else end
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
-                        hit.alias("value"), scored(kind, text, start, end).alias("score"))
-        good = hit.isNotNull() & ((start >= state["free"]) if kind == "iban" else confirmed(kind, hit))
-        return F.struct(at.alias("at"), F.when(good, end).otherwise(state["free"]).alias("free"),
-                        F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"))
+        start = state["at"] + piece["gap"]
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.coalesce(F.length(piece["hit"]), F.lit(0))).alias("end"),
+                        piece["hit"].alias("value"))
+        return bound(span, lambda s: bound(good(state, s), lambda fine: F.struct(
+            F.struct((s["start"] + 4 if kind == "iban" else s["end"]).alias("at"), F.when(fine, s["end"]).otherwise(state["free"]).alias("free")).alias("state"),
+            F.when(fine, s).alias("found"))))
+
+    def good(state: Column, span: Column) -> Column:
+        return span["value"].isNotNull() & ((span["start"] >= state["free"]) if kind == "iban" else confirmed(kind, span["value"]))
 
-    found = F.aggregate(pieces, nothing, step, lambda state: state["found"])
-    return F.when(text.rlike(NEEDS[kind]), found).otherwise(nothing["found"])
+    found = F.transform(gathered(pieces, state, step, SPAN), lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
+        scored(kind, parts, s["start"], s["end"]).alias("score")))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string,score:double>>")
+    return F.when(text.rlike(NEEDS[kind]), found).otherwise(none)
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -145,13 +203,15 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     columns pass through, but one named ``personal`` is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    spans = F.concat(*(spans_of(kind, whole) for kind in PATTERNS))
+    own = "stretches of the text"  # a name that no table has; the column ends here
+    docs = docs.withColumn(own, F.when(whole.rlike("|".join(NEEDS.values())), stretches(whole)))
+    spans = F.concat(*(spans_of(kind, whole, F.col(own)) for kind in PATTERNS))
     order = F.create_map(*(F.lit(x) for k, kind in enumerate(PATTERNS) for x in (kind, k)))
 
     def compare(a: Column, b: Column) -> Column:
         return F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(order[a["kind"]] - order[b["kind"]])
 
-    return docs.withColumn("personal", F.array_sort(spans, compare))
+    return docs.withColumn("personal", F.array_sort(spans, compare)).drop(own)
 
 
 def listing(spans: Column) -> Column:

@@ -17,12 +17,12 @@ def brute(text, items):
     words, hit, names = words_of(text), set(), set()
     for item, body in items:
         own = words_of(body)
-        for at in range(max(len(own) - 9, 1) if own and item is not None else 0):
+        for at in range(max(len(own) - 9, 1) if own else 0):
             window = own[at:at + 10]
             for s in range(len(words) - len(window) + 1):
                 if words[s:s + len(window)] == window:
                     hit.update(range(s, s + len(window)))
-                    names.add(str(item))
+                    names.update([str(item)] if item is not None else [])
     return len(words), len(hit), sorted(names)
 
 
@@ -62,6 +62,25 @@ def test_large_item_tables_are_shuffled(docs, items, monkeypatch):
     check([tuple(r) for r in decontaminate.digest(some, items).collect()], some, items)
 
 
+N = 20_000
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_ROWS, 0])
+def test_long_text(spark, items, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    body = items.first().text
+    text = f"{'filler of many words here ' * N} {body} delta {'more ' * 5 * N}"
+    [row] = decontaminate.digest(spark.createDataFrame([(1, text)], "doc_id long, text string"), items).collect()
+    assert row.n_words == 10 * N + 1 + len(words_of(body)) and row.n_hit == 1 + len(words_of(body)) and row.contaminated
+
+
+def test_items_without_an_id_count_as_hits(spark):
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (None, "alpha beta gamma"), ("x", "delta")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "so alpha beta gamma it is"), (2, "delta alpha beta gamma"), (3, "alpha beta")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontaminate.scan(docs, items).collect()}
+    assert got == {1: (3, []), 2: (4, ["x"]), 3: (0, [])}
+
+
 def test_empty_tables(docs, items, empty):
     assert decontaminate.digest(empty, items).count() == 0
     none = decontaminate.digest(docs, items.limit(0)).collect()

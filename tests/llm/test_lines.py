@@ -8,22 +8,19 @@ from streamtide.llm import lines
 
 
 def brute(rows, min_words):
-    """rows: distinct (doc, text) in order. Lines of each that lie in a later copy of a long enough run."""
+    """rows: distinct (doc, text) in order. Lines of each that lie in a maximal run of enough words
+    that also stands at an earlier place: every two places with one line are compared."""
     split = [None if t is None else t.split("\n") for _, t in rows]
-    first, gone = {}, [set() for _ in rows]
+    gone, before = [set() for _ in rows], {}
     for d, own in enumerate(split):
         for p in range(len(own or [])):
-            words, e = 0, p
-            while e < len(own) and words < min_words:
-                words += len(re.findall(r"[^\x20\x09-\x0D]+", own[e]))
-                e += 1
-            if words < min_words:
-                continue
-            window = tuple(own[p:e])
-            if window in first:
-                gone[d].update(range(p, e))
-            else:
-                first[window] = (d, p)
+            for e, q in before.get(own[p], []):
+                n, other = 0, split[e]
+                while p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
+                    n += 1
+                if sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in own[p:p + n]) >= min_words:
+                    gone[d].update(range(p, p + n))
+            before.setdefault(own[p], []).append((d, p))
     return split, gone
 
 
@@ -61,23 +58,6 @@ def test_equals_brute_force(docs, monkeypatch, min_words, rows):
     assert sum(n for _, n in expected.values()) > 100
 
 
-def brute_runs(rows, min_words):
-    """As brute, by the maximal runs that stand at an earlier place: every pair of places."""
-    split = [None if t is None else t.split("\n") for _, t in rows]
-    gone = [set() for _ in rows]
-    for d, own in enumerate(split):
-        for p in range(len(own or [])):
-            for e in range(d + 1):
-                other = split[e]
-                for q in range(len(other or []) if e < d else p):
-                    n = 0
-                    while p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
-                        n += 1
-                    if sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in own[p:p + n]) >= min_words:
-                        gone[d].update(range(p, p + n))
-    return split, gone
-
-
 @pytest.mark.parametrize("min_words", [50, 7])
 def test_tails_of_runs_go(spark, min_words):
     rng = random.Random(4)
@@ -85,7 +65,7 @@ def test_tails_of_runs_go(spark, min_words):
     texts = ["\n".join([*pool[:3], "x"]), "\n".join(pool[:3]), "\n".join(["y", *pool[:3]]), "\n".join([pool[0], *[""] * 9, "z"]), "\n".join([pool[0], *[""] * 9])]
     texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 40))) for _ in range(40)]
     rows = list(enumerate(texts))
-    split, gone = brute_runs(rows, min_words)
+    split, gone = brute(rows, min_words)
     got = {r.doc_id: r for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words).collect()}
     for d, _ in rows:
         assert {i for x in got[d].removed_runs or [] for i in range(x["from"], x["to"])} == gone[d], texts[d]

@@ -79,6 +79,19 @@ def test_context_moves_the_score(spark):
     assert [round(r.personal[0].score, 2) for r in got] == [0.9, 0.7, 0.6, 0.4]
 
 
+def test_many_spans_in_one_text(spark):
+    text = "".join(f"mail a{k % 7}@b.org, " if k % 3 else "x 10.0.0.1 " for k in range(100_000))
+    [row] = pii.digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.base_sha256 == hashlib.sha256(",".join(brute(text)).encode()).hexdigest()
+    assert row.n_email + row.n_ip == 100_000
+
+
+def test_context_at_the_ends_of_stretches(spark):
+    texts = [f"{'x ' * k}card 4111111111111111 {'y ' * 9}test" for k in range(100, 160)]
+    got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {round(r.personal[0].score, 2) for r in got} == {0.6} and all(r.personal[0].start == 2 * (r.doc_id + 100) + 5 for r in got)
+
+
 def test_no_rows_and_no_shuffle(spark, empty):
     assert pii.digest(empty).count() == 0
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
