@@ -130,11 +130,13 @@ def distinct_names(rows: DataFrame, column: str = "name") -> DataFrame:
     return rows.select(column).distinct()
 
 
-def newest_batch(rows: DataFrame, batch: str) -> DataFrame:
+def newest_batch(rows: DataFrame, batch: str, newest: str | None = None) -> DataFrame:
     """The rows of the highest ``batch`` value (O3).
 
-    The maximum is a scalar subquery: Spark evaluates it first and filters the
-    scan with the result.
+    ``newest`` is that value where a catalogue has it (``plans.catalogue``): the data is then
+    scanned once, and only that batch. Else the maximum is a scalar subquery, which reads the
+    column of all rows first and filters the scan with the result.
     """
-    newest = rows.agg(F.max(batch)).scalar()
-    return rows.where(F.col(batch) == newest)
+    if newest is not None:
+        return rows.where(F.col(batch) == F.lit(newest))
+    return rows.where(F.col(batch) == rows.agg(F.max(batch)).scalar())

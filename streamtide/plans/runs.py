@@ -2,7 +2,7 @@
 
 Landed files are read as streams with a checkpoint: each enters exactly one run,
 whatever is still in its folder. A micro-batch writes its rows and then a line of
-the manifest that says which run has it; a batch that is done again after a
+the catalogue that says which run has it; a batch that is done again after a
 failure replaces both, so it still belongs to one run only.
 """
 
@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from streamtide import schemas
 from streamtide.functions import times
 from streamtide.operators import joins, quality, rollups, wide
-from streamtide.plans import ingest, training
-from streamtide.session import has_folder, stored
+from streamtide.plans import discovery, ingest, training
+from streamtide.plans.catalogue import Catalogue
+from streamtide.session import stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import documents, files
 from streamtide.sources import tables as sources
@@ -41,6 +42,9 @@ class Layout:
     def folder(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def catalogue(self) -> Catalogue:
+        return Catalogue(self.folder("manifest"))
+
     def options(self) -> dict:
         return {"cleanSource": "archive", "sourceArchiveDir": self.archive} if self.archive else {}
 
@@ -59,9 +63,7 @@ def take(
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"{layout.folder(source)}/query={query}/batch={batch_id}"
         write(batch, folder, f"{query}-{batch_id}")
-        line = batch.sparkSession.createDataFrame([(stamp, folder)], "run string, path string")
-        place = f"{layout.folder('manifest')}/source={source}/query={query}/batch={batch_id}"
-        line.coalesce(1).write.mode("overwrite").parquet(place)
+        layout.catalogue().record(batch.sparkSession, source, stamp, folder, f"{query}-{batch_id}")
 
     writer = stream.writeStream.foreachBatch(done).trigger(availableNow=True)
     writer.option("checkpointLocation", layout.folder(f"checkpoints/{source}")).start().awaitTermination()
@@ -69,12 +71,8 @@ def take(
 
 def taken(spark: SparkSession, layout: Layout, source: str, stamp: str, schema: str) -> DataFrame:
     """The rows of the batches that belong to the run; none is an empty table."""
-    empty = spark.createDataFrame([], schema)
-    if not has_folder(spark, layout.folder("manifest")):
-        return empty
-    lines = spark.read.schema(schemas.MANIFEST).parquet(layout.folder("manifest"))
-    own = lines.where((F.col("source") == source) & (F.col("run") == stamp)).select("path").collect()
-    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(r.path) for r in own], empty)
+    paths = layout.catalogue().paths(spark, source, stamp)
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(p) for p in paths], spark.createDataFrame([], schema))
 
 
 def _write_rows(clean: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, str, str], None]:
@@ -108,8 +106,9 @@ def minute_run(
     if pages is not None:
         take(layout, "pages", documents.stream_documents(spark, pages, **layout.options()), stamp, _write_pages(layout))
         landed = landed.unionByName(taken(spark, layout, "pages", stamp, schemas.CLEAN_SAMPLE))
-    sinks.write_run(landed, layout.folder("samples"), stamp)
-    samples = sources.read_run(spark, layout.folder("samples"), stamp, schemas.CLEAN_SAMPLE)
+    sinks.write_run(landed.withColumn("day", F.to_date("created")), layout.folder("samples"), stamp, "day")
+    samples = sources.read_run(spark, layout.folder("samples"), stamp, f"{schemas.CLEAN_SAMPLE}, day date").drop("day")
+    layout.catalogue().record(spark, "samples", stamp, f"{layout.folder('samples')}/run={stamp}", stamp)
     messages = taken(spark, layout, "chat", stamp, schemas.CHAT_MESSAGE)
 
     sinks.write_run(
@@ -147,9 +146,16 @@ def weather_run(spark: SparkSession, layout: Layout, pages: str, run_ts: str) ->
 
 
 def night_samples(spark: SparkSession, layout: Layout, day: str) -> DataFrame:
-    """The polls of one day. Runs that began before it hold none and are not read."""
+    """The polls of one day, whichever runs took them: a run that began before midnight may hold
+    polls of the next day. Of each run only the folder of the day is read."""
+    samples = sources.read_runs(spark, layout.folder("samples"), f"{schemas.CLEAN_SAMPLE}, day date")
+    return samples.where(F.col("day") == F.lit(day).cast("date")).drop("run", "day")
+
+
+def newest_channels(spark: SparkSession, layout: Layout, active: DataFrame) -> DataFrame:
+    """Streams of the newest run that are not tracked yet (C11); the catalogue names the run."""
     samples = sources.read_runs(spark, layout.folder("samples"), schemas.CLEAN_SAMPLE)
-    return samples.where((F.col("run") >= day) & (F.to_date("created") == F.lit(day).cast("date"))).drop("run")
+    return discovery.new_channels(samples, active, newest=layout.catalogue().newest(spark, "samples"))
 
 
 def training_run(

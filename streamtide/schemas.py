@@ -75,4 +75,3 @@ VIEWER_PARTIAL = (
 CHAT_PARTIAL = (
     "name string, day date, minute timestamp, positive long, negative long, neutral long"
 )
-MANIFEST = "run string, path string, source string, query string, batch long"

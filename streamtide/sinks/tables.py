@@ -6,13 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_stream_day(rows: DataFrame, path: str, run: str) -> None:
-    """A run of the wide table, below ``run=<stamp>`` by day (K1).
+#: Rows that one group of a Parquet file holds are skipped or read together.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
-    Writing the run again replaces all of it, days that it no longer has
-    included; other runs stay. A scan of one day reads that day's folders only.
+
+def write_stream_day(rows: DataFrame, path: str, run: str, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """A run of the wide table, below ``run=<stamp>`` by day, clustered by stream.
+
+    Rows are dealt by ranges of day, name and part and sorted, so a stream's rows of a day lie
+    together: in one file, or in neighbours if they are many. Footers have the least and the
+    greatest name of each row group and a Bloom filter over its names; a read of one stream
+    opens the groups that have it and skips the others. Writing the run again replaces all of it,
+    days that it no longer has included; other runs stay.
     """
-    rows.hint("rebalance").write.partitionBy("day").mode("overwrite").parquet(f"{path}/run={run}")
+    order = [c for c in ("day", "name", "part") if c in rows.columns]
+    (
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("day")
+        .option("parquet.block.size", row_group_bytes)
+        .option("parquet.bloom.filter.enabled#name", "true")
+        .mode("overwrite")
+        .parquet(f"{path}/run={run}")
+    )
 
 
 def append_weather(obs: DataFrame, path: str, batch: str) -> None:
@@ -25,9 +39,10 @@ def append_weather(obs: DataFrame, path: str, batch: str) -> None:
     replace_partitions(obs.withColumns({"day": day, "batch": F.lit(batch)}), path, "day", "batch")
 
 
-def write_run(rows: DataFrame, path: str, run: str) -> None:
-    """The rows of one run below ``run=<stamp>``, in place of what it wrote before (K3)."""
-    rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/run={run}")
+def write_run(rows: DataFrame, path: str, run: str, *keys: str) -> None:
+    """The rows of one run below ``run=<stamp>``, in folders by ``keys`` if any, in place of what
+    it wrote before (K3)."""
+    rows.hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def replace_partitions(rows: DataFrame, path: str, *keys: str) -> None:

@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamtide import schemas
 
-# fixed values: file roll interval and default lateness, two polls
+# fixed values: file roll interval, default lateness (two polls), records of a transaction
 ROLL_EVERY = "10 minutes"
 LATENESS = "20 minutes"
+MAX_RECORDS = 1100
 
 
 def file_stream(
@@ -40,14 +41,33 @@ def chat_messages(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def write_rolled(
-    rows: DataFrame, path: str, checkpoint: str, every: str = ROLL_EVERY, until_done: bool = False
+    rows: DataFrame, path: str, checkpoint: str, every: str = ROLL_EVERY, until_done: bool = False,
+    max_records: int | None = None,
 ) -> StreamingQuery:
     """Append to Parquet, one set of files per interval, exactly once.
 
     ``until_done`` works off what has landed and stops: one scheduled run.
+    ``max_records`` bounds the rows of a file.
     """
     writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    if max_records is not None:
+        writer = writer.option("maxRecordsPerFile", max_records)
     writer = writer.trigger(availableNow=True) if until_done else writer.trigger(
         processingTime=every
     )
     return writer.outputMode("append").start(path)
+
+
+def buffered(
+    spark: SparkSession, rows: DataFrame, buffer: str, checkpoint: str, max_records: int = MAX_RECORDS, max_files: int = 1
+) -> DataFrame:
+    """The stream again, in micro-batches of at most ``max_records * max_files`` records.
+
+    A file source can only bound the files of a batch, and landed files have any length. So the
+    rows go through a buffer of files of at most ``max_records`` records each: written exactly
+    once, as the buffer's own log says, and read by that log, so neither a restart of the one
+    query nor of the other repeats or loses a row. Works off what has landed now; the caller
+    starts a query on the result, which goes on where it stopped.
+    """
+    write_rolled(rows, buffer, checkpoint, until_done=True, max_records=max_records).awaitTermination()
+    return file_stream(spark, buffer, rows.schema, fmt="parquet", max_files=max_files)

@@ -180,4 +180,18 @@ def test_each_night_is_a_row(spark, tmp_path):
     assert rows_of(table, "run", "text") == [
         (f"2024-01-0{d}", f"{n} {text}") for d in (1, 2, 3) for n in ("big_one", "small")]
     plan = runs.night_samples(spark, layout, "2024-01-02")._jdf.queryExecution().executedPlan().toString()
-    assert "run" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "day" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+
+
+def test_a_run_of_the_evening_before_counts_for_the_night(spark, tmp_path):
+    (tmp_path / "chat").mkdir()
+    layout = runs.Layout(str(tmp_path / "tables"))
+    land(tmp_path / "polls", "1", polls_of(23, 1) + polls_of("00", 2))
+    runs.minute_run(spark, layout, str(tmp_path / "polls"), str(tmp_path / "chat"), "2024-01-01 23:50:00")
+    for day in (1, 2):
+        assert runs.night_samples(spark, layout, f"2024-01-0{day}").count() == 18
+    assert "day" not in runs.night_samples(spark, layout, "2024-01-01").columns
+    active = spark.createDataFrame([("tiny",)], "name string")
+    land(tmp_path / "polls", "2", [("new", 9, "2024-01-02 01:00:00")])
+    runs.minute_run(spark, layout, str(tmp_path / "polls"), str(tmp_path / "chat"), "2024-01-02 01:10:00")
+    assert rows_of(runs.newest_channels(spark, layout, active)) == [("new",)]

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from rows import rows_of
 from pyspark.sql import functions as F
 
@@ -228,3 +229,36 @@ def test_requests_are_scored_as_a_stream(spark, tmp_path):
     assert rows_of(rows, "id", "viewer_class", "range_text") == [
         (0, 7.0, "6500 bis 7500"), (1, 2.0, "1500 bis 2500")
     ]
+
+
+def test_buffered_batches_are_bounded_and_exact_after_a_restart(spark, tmp_path):
+    schema = "ts timestamp, channel string, msg string, sentiment int"
+    folder, sizes, seen = str(tmp_path / "landing"), [], []
+
+    def land(first, n):
+        rows = spark.range(first, first + n).selectExpr(
+            "timestamp '2024-01-01' as ts", "'c' as channel", "cast(id as string) as msg", "cast(id % 3 as int) as sentiment")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+
+    def write(batch, batch_id):
+        own = [r.msg for r in batch.collect()]
+        if len(seen) == 2 and not sizes[-1] < 0:
+            sizes.append(-1)
+            raise RuntimeError("lost")
+        sizes.append(len(own))
+        seen.append(own)
+
+    def run():
+        rows = chat_jobs.buffered(
+            spark, chat_jobs.file_stream(spark, folder, schema, "parquet"), str(tmp_path / "buffer"), str(tmp_path / "c1"), max_records=70)
+        query = rows.writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    land(0, 1000)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    land(1000, 33)
+    run()
+    run()
+    assert max(sizes) <= 70 and len(sizes) > 15
+    assert sorted(int(m) for own in seen for m in own) == list(range(1033))

@@ -189,3 +189,21 @@ def test_reading_one_bag_reads_one_column(spark, tmp_path):
 def test_project_entries(spark):
     slim = build(spark).select(wide.project_entries(F.col("viewerspermin"), "viewers").alias("v"))
     assert slim.schema["v"].dataType.simpleString() == "array<struct<viewers:double>>"
+
+
+def test_one_stream_opens_few_row_groups(spark, tmp_path):
+    """Clustered by name: the scan hands on the rows of a few row groups, not those of the day."""
+    rows = spark.range(0, 60_000).selectExpr(
+        "concat('s', id % 600) as name", "date'2024-01-01' + cast(id % 2 as int) as day", "timestamp'2024-01-01' as run_ts", "cast(id % 96 as int) as part",
+        "array(named_struct('created', timestamp'2024-01-01', 'game', cast(id as string), 'status', 's', 'mature', true, 'fps', 1.0D, 'polls', 1L)) as metadata",
+        "cast(null as array<struct<minute: timestamp, viewers_sum: bigint, viewers_cnt: bigint, viewers: double>>) as viewerspermin",
+        "cast(null as array<struct<minute: timestamp, positive: bigint, negative: bigint, neutral: bigint>>) as chatspermin")
+    path = str(tmp_path / "wide")
+    sinks.write_stream_day(rows, path, "one", row_group_bytes=64 * 1024)
+    own = tables.prefix_scan(tables.read_stream_day(spark, path), "S7", "2024-01-01")
+    assert own.count() == 0
+    own = tables.prefix_scan(tables.read_stream_day(spark, path), "S8", "2024-01-01")
+    assert len(own.collect()) == 100
+    plan = own._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().apply(0)
+    assert 100 <= leaf.metrics().apply("numOutputRows").value() < 6_000  # of 30,000 of the day

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamtide import schemas
 from streamtide.functions import times
 from streamtide.operators import joins, quality, series, wide
-from streamtide.plans import archive, ingest, runs
+from streamtide.plans import archive, ingest, runs, upsert
 from streamtide.session import scratch_folder
 from streamtide.sinks import tables as sinks
 from streamtide.sources import documents, files
@@ -202,6 +205,38 @@ def weather_upsert_log(spark, sf_dir):
     return latest.select("hour_key", "place", "main", "wind", six_digits("temp"), "event_id")
 
 
+@query("weather_compacted", f"""WITH {roles.OBSERVATIONS}
+SELECT hour_key, place, main, wind, round(temp, 6) AS temp, event_id FROM latest_obs""")
+def weather_compacted(spark, sf_dir):
+    """The log folded twice, with rows that come late for days already folded and days still open."""
+    root = scratch_folder(spark, "weather")
+    schema = f"{schemas.WEATHER_OBS}, event_id long"
+    late, early = quality.split_valid(roles.observations(spark, sf_dir), F.minute("obs_ts") >= 30)
+    upsert.append(late, root, "first")
+    upsert.fold(spark, root, "2024-01-10", "event_id", schema=schema)
+    upsert.append(early, root, "second")
+    upsert.fold(spark, root, "2024-01-05", "event_id", schema=schema)
+    rows = upsert.latest(spark, root, "event_id", schema=schema)
+    return rows.select("hour_key", "place", "main", "wind", six_digits("temp"), "event_id")
+
+
+@query("training_nights", f"""WITH {DAILY_SESSIONS}
+SELECT strftime(starttime, '%Y-%m-%d') AS night, name, game, round(viewers, 6) AS viewers, round(dur, 6) AS dur, polls FROM sessions
+WHERE strftime(starttime, '%Y%m%d') BETWEEN '20240105' AND '20240107'""")
+def training_nights(spark, sf_dir):
+    """Three nights of sessions, out of a run that began the evening before the first of them and
+    one that ended after the last (C7)."""
+    layout = runs.Layout(scratch_folder(spark, "nights"))
+    polls = roles.samples(spark, sf_dir).withColumn("day", F.to_date("created"))
+    for rest, stamp in enumerate(("2024-01-04T23-50-00", "2024-01-08T00-10-00")):
+        sinks.write_run(polls.where(F.col("channel_id") % 2 == rest), layout.folder("samples"), stamp, "day")
+    nights = [
+        ingest.sessions_of(runs.night_samples(spark, layout, night)).withColumn("night", F.lit(night))
+        for night in ("2024-01-05", "2024-01-06", "2024-01-07")]
+    rows = reduce(DataFrame.unionByName, nights)
+    return rows.select("night", "name", "game", six_digits("viewers"), six_digits("dur"), "polls")
+
+
 @query("place_scan", "SELECT DISTINCT trim(c_mktsegment) AS place, count(*) AS customers FROM customer GROUP BY 1")
 def place_scan(spark, sf_dir):
     """A place list as text lines."""

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from streamtide.functions import classes, text, times
 from streamtide.operators import joins, quality, rollups, series
-from streamtide.plans import discovery, ingest
+from streamtide.plans import catalogue, discovery, ingest
+from streamtide.session import scratch_folder
+from streamtide.sinks import tables as sinks
 from workload import roles
 from workload.registry import query
 from workload.roles import day_text, six_digits
@@ -157,8 +159,15 @@ def latest_per_stream(spark, sf_dir):
 @query("newest_batch", f"""WITH {roles.SAMPLES}
 SELECT channel_id, name, viewers FROM samples WHERE day = (SELECT max(day) FROM samples)""")
 def newest_batch(spark, sf_dir):
-    polls = roles.samples(spark, sf_dir).withColumn("day", F.to_date("created"))
-    return rollups.newest_batch(polls, "day").select("channel_id", "name", "viewers")
+    """A run for each day; the catalogue names the newest, and only that is scanned (O3)."""
+    root = scratch_folder(spark, "polls")
+    polls = roles.samples(spark, sf_dir).withColumn("run", F.date_format("created", "yyyy-MM-dd'T'00-00-00"))
+    sinks.replace_partitions(polls, f"{root}/samples", "run")
+    runs = catalogue.Catalogue(f"{root}/manifest")
+    for r in polls.select("run").distinct().collect():  # a row for each run
+        runs.record(spark, "samples", r["run"], f"{root}/samples/run={r['run']}", r["run"])
+    table = spark.read.schema(polls.schema).parquet(f"{root}/samples")
+    return rollups.newest_batch(table, "run", runs.newest(spark, "samples")).select("channel_id", "name", "viewers")
 
 
 ACTIVE = """last_day AS (SELECT max(CAST(created AS DATE)) AS d FROM samples),
