@@ -32,6 +32,26 @@ def read_stream_samples(spark: SparkSession, path, recursive: bool = False) -> D
     return _delimited(spark, path, schemas.STREAM_SAMPLE, ";", recursive)
 
 
+def checked_samples(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
+    """The same lines with the file each is from and, if it is malformed, the line itself.
+
+    Malformed are lines with fewer or more fields than declared, or with a value that is not of
+    its column's type; ``read_stream_samples`` reads these as far as it can. One parse of a stored
+    result gives both ``good_lines`` and ``delimited_quarantine``.
+    """
+    rows = _delimited(spark, path, f"{schemas.STREAM_SAMPLE}, _corrupt_record string", ";", recursive)
+    return rows.withColumn("file", F.col("_metadata.file_path"))
+
+
+def good_lines(checked: DataFrame) -> DataFrame:
+    return checked.where("_corrupt_record is null").drop("_corrupt_record", "file")
+
+
+def delimited_quarantine(checked: DataFrame) -> DataFrame:
+    """file, line: every malformed line as it landed."""
+    return checked.where("_corrupt_record is not null").select("file", F.col("_corrupt_record").alias("line"))
+
+
 def read_sessions(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
     """Session rows as tab text, start time parsed."""
     rows = _delimited(spark, path, schemas.SESSION, "\t", recursive)

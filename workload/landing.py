@@ -11,7 +11,7 @@ from streamtide import schemas
 from streamtide.functions import times
 from streamtide.operators import joins, quality, series, wide
 from streamtide.plans import archive, ingest, runs, upsert
-from streamtide.session import scratch_folder
+from streamtide.session import scratch_folder, stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import documents, files
 from streamtide.sources import tables as sources
@@ -51,6 +51,29 @@ def delimited_scan(spark, sf_dir):
     })
 
 
+@query("delimited_quarantine", f"""WITH {roles.SAMPLES}
+SELECT channel_id, game IN ('click', 'view') AS malformed,
+       CASE game WHEN 'click' THEN 'many;' || channel_id WHEN 'view' THEN CAST(channel_id AS VARCHAR) || ';1;short' END AS line
+FROM samples""")
+def delimited_quarantine(spark, sf_dir):
+    """Lines of clicks have text for a number, those of views too few fields; rows and quarantine
+    make up all lines (S2, F7)."""
+    path = scratch_folder(spark, "lines")
+    full = F.concat_ws(
+        ";", "channel_id", "viewers", "game", "name", F.lit("s"), F.date_format("created", times.POLL_TIME),
+        F.col("mature").cast("string"), F.lit("u"), F.col("fps").cast("string"))
+    kind = F.col("game")
+    line = F.when(kind == "click", F.concat(F.lit("many;"), full)).when(
+        kind == "view", F.concat(F.col("channel_id").cast("string"), F.lit(";1;short"))).otherwise(full)
+    roles.samples(spark, sf_dir).select(line.alias("value")).write.text(path)
+    checked = stored(files.checked_samples(spark, path), "checked")
+    bad = files.delimited_quarantine(checked).select(
+        F.regexp_extract("line", "^(?:many;)?([0-9]+);", 1).cast("long").alias("channel_id"), F.lit(True).alias("malformed"),
+        F.regexp_extract("line", "^(many;[0-9]+|[0-9]+;1;short)", 1).alias("line"))
+    good = files.good_lines(checked).select("channel_id", F.lit(False).alias("malformed"), F.lit(None).cast("string").alias("line"))
+    return good.unionByName(bad)
+
+
 @query("two_runs_one_landing", f"""WITH {roles.VIEWER_MINUTES}
 SELECT name, day, minute, viewers_sum, viewers_cnt, round(viewers, 6) AS viewers FROM viewer_minutes""")
 def two_runs_one_landing(spark, sf_dir):

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from streamtide import schemas
 from streamtide.functions import classes
-from streamtide.plans import training
+from streamtide.plans import registry, training
 from streamtide.session import scratch_folder, stored
+from streamtide.streaming.chat import file_stream
 from workload import roles
 from workload.features import TRAINING_ROWS, forecast_slots, training_set
 from workload.registry import query
@@ -84,3 +86,24 @@ def predicted_classes(spark, sf_dir):
     )
     fits = F.col("range_text") == classes.range_text(F.col("viewer_class"), "round")
     return rows.select("id", "text", F.coalesce(fits, F.lit(False)).alias("range_of_class"))
+
+
+@query("stream_predictions", f"""WITH {roles.REQUESTS}, {roles.FORECAST}
+SELECT id, name || ' ' || game || ' ' || CAST(dur AS VARCHAR) || ' ' || daytime || ' '
+             || CAST(fps AS VARCHAR) || ' ' || coalesce(weather, '') AS text,
+       CASE WHEN id % 2 = 0 THEN '2024-02-01T01' ELSE '2024-02-02T01' END AS version
+FROM slotted s LEFT JOIN slots ON s.dt_txt = slots.dt_txt""")
+def stream_predictions(spark, sf_dir):
+    """A stream of requests, answered by the model that is current: a new version is published
+    between two landings (M6, M7, C9)."""
+    root = scratch_folder(spark, "registry")
+    model = training.train(stored_training_set(spark, sf_dir))
+    slots = stored(forecast_slots(spark, sf_dir), "slots")
+    asked = roles.requests(spark, sf_dir)
+    for rest, stamp in enumerate(("2024-02-01T01", "2024-02-02T01")):
+        registry.publish(spark, f"{root}/models", model, stamp)
+        asked.where(F.col("id") % 2 == rest).write.mode("append").parquet(f"{root}/requests")
+        stream = file_stream(spark, f"{root}/requests", schemas.PREDICTION_REQUEST, fmt="parquet")
+        registry.answer_stream(
+            stream, slots, roles.PLACES, f"{root}/models", f"{root}/answers", f"{root}/checkpoint", digits=6).awaitTermination()
+    return registry.answers(spark, f"{root}/answers").select("id", "text", "version")

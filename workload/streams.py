@@ -8,6 +8,7 @@ from streamtide.operators import rollups
 from streamtide.plans import ingest
 from streamtide.session import scratch_folder
 from streamtide.streaming import chat as chat_jobs
+from streamtide.streaming import corrections
 from streamtide.streaming import rollups as stream_rollups
 from workload import roles
 from workload.registry import query
@@ -160,3 +161,22 @@ def stream_bounded(spark, sf_dir):
     sizes = table.groupBy("batch").agg((F.count("*") > limit).alias("too_many"))
     return table.join(sizes, "batch").select(
         "channel", "msg", F.col("sentiment").cast("long").alias("sentiment"), F.unix_micros("ts").alias("ts_us"), "too_many")
+
+
+@query("stream_corrections", f"""WITH {roles.CHAT_MINUTES}
+SELECT name, day, minute, positive, negative, neutral FROM chat_minutes""")
+def stream_corrections(spark, sf_dir):
+    """Four landed files, one per micro-batch, so that most minutes are corrected by late rows;
+    the last version of each minute (T3, T4, T5)."""
+    root = scratch_folder(spark, "corrections")
+    roles.chat(spark, sf_dir).repartition(4).write.parquet(f"{root}/landing")
+    chat = chat_jobs.file_stream(
+        spark, f"{root}/landing", "ts timestamp, channel string, msg string, sentiment int", fmt="parquet", max_files=1)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/versions/batch={batch_id}")
+
+    writer = corrections.chat_corrections(chat).writeStream.outputMode("update").foreachBatch(write)
+    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    versions = spark.read.schema(corrections.OUT).parquet(f"{root}/versions")
+    return keyed_minutes(corrections.last_versions(versions), "positive", "negative", "neutral")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streamtide.functions import bags, text, times
 from streamtide.operators import joins, rollups, wide
-from streamtide.plans import dashboard
+from streamtide.plans import dashboard, day_totals
 from streamtide.session import scratch_folder, stored
 from streamtide.sinks import tables as sinks
 from streamtide.sources import tables as sources
@@ -116,6 +116,19 @@ def day_rollup(spark, sf_dir):
     )
 
 
+@query("day_rollup_incremental", DAY_ROLLUP)
+def day_rollup_incremental(spark, sf_dir):
+    """Three arrivals that split days and minutes between them; the last one came twice."""
+    root = scratch_folder(spark, "day-totals")
+    events = roles.events(spark, sf_dir)
+    for k in (0, 1, 2, 2):
+        own = events.where(F.col("event_id") % 3 == k)
+        day_totals.add(
+            spark, root, f"arrival-{k}", rollups.viewers_per_bucket(roles.as_samples(own)), rollups.chat_per_bucket(roles.as_chat(own)))
+    return day_totals.totals(spark, root).select(
+        "name", day_text().alias("day"), six_digits("viewers"), "positive", "negative", "neutral")
+
+
 @query("wide_table_round_trip", f"""WITH {roles.CHAT_MINUTES}
 SELECT name, day, minute, positive, negative, neutral FROM chat_minutes""")
 def wide_table_round_trip(spark, sf_dir):
