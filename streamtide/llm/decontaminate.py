@@ -161,3 +161,22 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return scan(docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def oracle_sql(window: int = 10) -> str:
+    """The rows of ``digest`` in DuckDB SQL: every window of the items at every place."""
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{WORD}')"
+    return f"""WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {words} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), {window}) AS n, array_to_string(w[i + 1 : i + {window}], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(greatest(len(w) - {window - 1}, 1))) AS i FROM items WHERE len(w) > 0)),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {words} AS w FROM documents),
+places AS (
+  SELECT row, i, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+  FROM (SELECT row, w, n, unnest(range(len(w) - n + 1)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS MATERIALIZED (SELECT row, i, places.n AS n, item_id FROM places JOIN windows ON places.phrase = windows.phrase AND places.n = windows.n),
+hits AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM found) GROUP BY row),
+named AS (SELECT row, list_sort(list(DISTINCT item_id) FILTER (item_id IS NOT NULL)) AS ids FROM found GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)"""

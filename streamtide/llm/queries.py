@@ -1,7 +1,8 @@
 """The registered queries of the corpus operators: each over its whole tables.
 
-SQL cannot express them in a useful time on whole tables (spans, fingerprints, components,
-models); ``tests/llm`` holds each against a brute-force version.
+Three have SQL that must give the same rows. SQL cannot express the others in a useful time on
+whole tables (scores, fingerprints, components, models, token ids); ``tests/llm`` holds each
+against a brute-force version.
 """
 
 from __future__ import annotations
@@ -78,4 +79,4 @@ def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_licenses, op2_pieces, op3_suffixes, op4_decontamination, op5_quality, op6_fingerprints,
     op7_language, op8_personal_data, op9_near_duplicates, op10_lines, op11_packing, op12_centroids, op13_codes)}
-ORACLES: dict[str, str] = {"op12_centroids": centroids.oracle_sql(), "op13_codes": codes.oracle_sql()}
+ORACLES: dict[str, str] = {"op4_decontamination": decontaminate.oracle_sql(), "op12_centroids": centroids.oracle_sql(), "op13_codes": codes.oracle_sql()}
