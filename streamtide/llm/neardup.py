@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import DARK, LOWER, as_bytes, in_tasks, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
+from streamtide.llm.common import DARK, LOWER, as_bytes, discard, in_tasks, mixed, shingle_hashes, slices, span_hashes, stored, word_spans
 from streamtide.llm.components import stars
 
 K = 96
@@ -121,10 +121,14 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The stored pairs with set_a and set_b."""
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids")
-    own = sets.join(few(ids), "id", "left_semi")
-    return with_both(pairs, light(own, "hashes"), "hashes", "set")
+    """The stored pairs hub, spoke with the sets of both. A hub has many pairs: few sets are read
+    for that end, often so few that they are broadcast and the other sets stay where they are."""
+    for end in ("spoke", "hub"):
+        ids = stored(pairs.select(F.col(end).alias("id")).distinct(), f"{end}s")
+        own, small = light(sets.join(few(ids), "id", "left_semi"), "hashes")
+        own = own.select(F.col("id").alias(end), F.col("hashes").alias(f"set_{end}"))
+        pairs = pairs.join(F.broadcast(own) if small else own, end)
+    return pairs
 
 
 def light(rows: DataFrame, values: str, width: int = 8) -> tuple[DataFrame, bool]:
@@ -142,17 +146,19 @@ def with_both(pairs: DataFrame, rows: tuple[DataFrame, bool], values: str, name:
 
 def linked(pairs: DataFrame, percent: int) -> DataFrame:
     """a, b of the pairs whose full sets meet the threshold."""
-    both = pairs.withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
-    union = F.size("set_a") + F.size("set_b") - F.col("shared")
-    return both.where(F.col("shared") * 100 >= union * percent).select("a", "b")
+    both = pairs.withColumn("shared", F.size(F.array_intersect("set_hub", "set_spoke")))
+    union = F.size("set_hub") + F.size("set_spoke") - F.col("shared")
+    linked = both.where(F.col("shared") * 100 >= union * percent)
+    return linked.select(F.least("hub", "spoke").alias("a"), F.greatest("hub", "spoke").alias("b"))
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """value, id, n: the lists in which each representative must stand; a value is two neighbours."""
     pairs = F.transform(F.sequence(F.lit(1), F.size("sketch") - 1), lambda i: F.xxhash64(F.get("sketch", i - 1), F.get("sketch", i)))
-    values = classes.where(F.size("sketch") > 1).select(F.explode(pairs).alias("value"), "id", "n")
+    values = classes.where(F.size("sketch") > 1).select(F.explode(pairs).alias("value"), "id")
     shared = values.groupBy("value").agg(F.count("*").alias("frequency")).where("frequency > 1")
-    own = values.join(shared, "value").groupBy("id", "n").agg(F.sort_array(F.collect_set(F.struct("frequency", "value"))).alias("own"))
+    own = values.join(shared, "value").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("frequency", "value"))).alias("own"))
+    own = own.join(classes.select("id", "n"), "id")
     need = F.get(F.array(*map(F.lit, shared_neighbours(k, percent))), F.least(F.col("n"), F.lit(k + 1)).cast("int"))
     places = F.size("own") - need + 1
     return own.where(places > 0).select("id", "n", F.explode(F.slice("own", F.lit(1), places)).alias("one")).select("one.value", "id", "n")
@@ -169,34 +175,31 @@ def sketches_agree(a: Column, b: Column, k: int, percent: int) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) >= need
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-
 def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """a, b, hub: the pairs of members and centres, a less than b; the hub is the centre."""
     drawn = F.min(F.struct(F.xxhash64("id", F.lit(turn)), F.col("id").alias("other"), F.col("n").alias("m"), F.col("part").alias("other_part")))
     centres = members.groupBy("value").agg(drawn.alias("centre")).select("value", "centre.other", "centre.m", "centre.other_part")
     met = members.join(centres, "value").where((F.col("part") != F.col("other_part")) & sizes_agree(F.col("n"), F.col("m"), percent))
-    return ordered(met)
+    ends = F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")
+    return met.groupBy(*ends).agg(F.min("other").alias("hub"))
 
 
 def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b, bound: of the members of the open lists all that may meet the threshold and have
     different parts, with the overlap that they cannot exceed.
 
-    Each set is put in order, the values that the fewest members have first. The first value
-    that two sets share is the i-th of one and the j-th of the other, and no more can be shared
-    than what is left after these places: values that a set has for itself so count against it.
+    Each set is put in order, the values that the fewest members have first. Two sets share no
+    more than what either has left from the first value on that they share: values that a set
+    has for itself stand before all others, so they count against it and are left out here.
     """
     own = stored(members.select("id", "n", "part").distinct(), "open-members")
     values = sets.join(few(own.select("id")), "id", "left_semi").select("id", F.explode("hashes").alias("hash"))
-    frequency = values.groupBy("hash").agg(F.count("*").alias("c"))
-    order = Window.partitionBy("id").orderBy("c", "hash")
-    ranked = values.join(frequency, "hash").withColumn("i", F.row_number().over(order))
-    shared = ranked.where("c > 1").drop("c").join(few(own), "id")
-    prefix = stored(shared.where((F.col("n") - F.col("i") + 1) * 100 >= F.col("n") * percent), "prefix")
-    other = prefix.select("hash", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "i"))).withColumnRenamed("other_id", "other")
-    at_most = F.least(F.col("n") - F.col("i"), F.col("other_n") - F.col("other_i")) + 1
+    frequency = values.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1")
+    backwards = Window.partitionBy("id").orderBy(F.desc("c"), F.desc("hash"))
+    shared = values.join(frequency, "hash").withColumn("left", F.row_number().over(backwards)).drop("c").join(few(own), "id")
+    prefix = stored(shared.where(F.col("left") * 100 >= F.col("n") * percent), "prefix")
+    other = prefix.select("hash", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "left"))).withColumnRenamed("other_id", "other")
+    at_most = F.least("left", "other_left")
     met = prefix.join(other, "hash").where(
         (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part"))
         & (at_most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent))
@@ -208,12 +211,12 @@ def best_pairs(pairs: DataFrame, parts: DataFrame | None, picks: int | None) ->
     """The pairs whose parts still differ; with ``picks`` about that many for each two parts,
     those with the highest bounds: one link spares the others."""
     if picks is None:
-        now = with_parts(pairs.select("a", "b"), parts, "a").withColumnRenamed("part", "part_a")
-        return with_parts(now, parts, "b").where("part_a != part").select("a", "b")
+        now = with_parts(pairs.select("a", "b", F.col("a").alias("hub")), parts, "a").withColumnRenamed("part", "part_a")
+        return with_parts(now, parts, "b").where("part_a != part").select("a", "b", "hub")
     slot = F.pmod(F.xxhash64("a", "b"), F.lit(picks))
     ends = F.least("part_a", "part").alias("low"), F.greatest("part_a", "part").alias("high")
     best = pairs.groupBy(*ends, slot.alias("slot")).agg(F.max(F.struct("bound", "a", "b")).alias("best"))
-    return best.select("best.a", "best.b")
+    return best.select("best.a", "best.b", F.col("best.a").alias("hub"))
 
 
 def with_parts(rows: DataFrame, parts: DataFrame | None, key: str) -> DataFrame:
@@ -239,25 +242,28 @@ def few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int) -> DataFrame | None:
-    """Parts (a the least, b any other id) of the representatives; None if there is no link."""
+def links(docs: DataFrame, classes: DataFrame, drawn: DataFrame, width: int, percent: int, k: int) -> DataFrame | None:
+    """Parts (a the least, b any other id) of the representatives; None if there is no link.
+    ``drawn``, the stored table behind ``classes``, is deleted when both have been read."""
     lists = stored(inverted_lists(classes, k, percent), "lists")
     active = stored(lists.select("id").distinct(), "active")
     if active.isEmpty():
+        discard(drawn)
         return None
     active = few(active)
-    sets = stored(full_sets(docs.join(active, docs.doc_id == active.id, "left_semi").select("doc_id", "text"), width), "sets")
     upper = F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int"))  # enough to estimate, in the same order
     kept = light(stored(classes.join(active, "id", "left_semi").select("id", upper.alias("sketch")), "kept"), "sketch", 4)
+    discard(drawn)
+    sets = stored(full_sets(docs.join(active, docs.doc_id == active.id, "left_semi").select("doc_id", "text"), width), "sets")
     parts, tested, edges, turn, before = None, None, None, 0, None
 
     def compared(near: DataFrame) -> None:
         """Adds the links among the pairs to the components."""
         nonlocal edges, parts
-        sure = stored(linked(with_sets(near, sets), percent), "links")
+        spoke = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+        sure = stored(linked(with_sets(near.select("hub", spoke.alias("spoke")), sets), percent), "links")
         if not sure.isEmpty():
-            edges = sure if edges is None else edges.select("a", "b").union(sure)
-            edges = parts = stars(edges)
+            edges = parts = stars(sure if edges is None else edges.union(sure))
 
     while True:
         members, pairs = open_lists(lists, parts)
@@ -269,9 +275,9 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int)
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
         both = with_both(met, kept, "sketch", "sketch")
-        near = stored(both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b"), "near")
+        near = stored(both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b", "hub"), "near")
         compared(near)
-        tested = near if tested is None else tested.union(near)
+        tested = near.select("a", "b") if tested is None else tested.union(near.select("a", "b"))
         turn, before = turn + 1, pairs
     met = stored(all_pairs(members, sets, percent).join(tested, ["a", "b"], "left_anti"), "met")
     for picks in (PICKS, None):
@@ -298,8 +304,9 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, doc_i
     keys = stored(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("id"), F.count("*").alias("c")).where("c > 1").drop("c"), "classes")
     copies = stored(usable.join(few(keys), ["key_a", "key_b"]).where("doc_id != id").select("doc_id").distinct(), "copies")
     classes = usable.join(few(copies), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "sketch")
-    parts = links(rows, classes, width, percent, k)
-    named = drawn.select("doc_id", "n", "key_a", "key_b").join(keys, ["key_a", "key_b"], "left").withColumn("id", F.coalesce("id", "doc_id"))
+    plain = stored(drawn.select("doc_id", "n", "key_a", "key_b"), "plain")
+    parts = links(rows, classes, drawn, width, percent, k)
+    named = plain.join(keys, ["key_a", "key_b"], "left").withColumn("id", F.coalesce("id", "doc_id"))
     part = with_parts(named, parts, "id").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("part")).otherwise(F.col("doc_id")).alias("component_id"))
