@@ -16,6 +16,8 @@ from streamtide.llm.queries import MODEL_FILE, table
 
 #: Ids up to this number (24 bytes each at most) are broadcast, 48 MB; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
+#: Words of a shingle in the near-duplicate stage.
+NEAR_WIDTH = 5
 
 
 def without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
@@ -42,8 +44,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document with the least id stays."""
-    gone = stored(neardup.groups(docs).where("not kept").select("doc_id").distinct(), "near-duplicates")
+    """Of each group of near duplicates (shingles of ``NEAR_WIDTH`` words, 0.8) the document with
+    the least id stays. Texts without words, null texts and rows without an id stay; of repeated
+    rows that share the least id all stay. An empty table stays empty."""
+    gone = stored(neardup.groups(docs, NEAR_WIDTH).where("not kept").select("doc_id").distinct(), "near-duplicates")
     return without(docs, gone, ["doc_id"]).select(*docs.columns)
 
 
