@@ -18,7 +18,7 @@ def plain(rows, items, encode):
     split, gone = brute_lines(rows, 50)
     rows = [(d, "\n".join(x for i, x in enumerate(s) if i not in g), bool(g)) for (d, _), s, g in zip(rows, split, gone)]
     rows = [(d, t) for d, t, cut in rows if not cut or t.strip(" \t\n\x0b\f\r")]
-    kept = {d for d, _, _, keep in brute_groups(rows, 5, 80) if keep}
+    kept = {d for d, _, _, keep in brute_groups(rows, corpus_pipeline.NEAR_WIDTH, 80) if keep}
     rows = [(d, t) for d, t in rows if d in kept]
     rows = [(d, t) for d, t in rows if not brute_windows(t, items)[1]]
     return {d: encode(t) for d, t in rows}
