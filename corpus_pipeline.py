@@ -16,8 +16,8 @@ from streamtide.llm.queries import MODEL_FILE, table
 
 #: Ids up to this number (24 bytes each at most) are broadcast, 48 MB; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
-#: Words of a shingle in the near-duplicate stage.
-NEAR_WIDTH = 5
+#: Words of a shingle in the near-duplicate stage, as in op9_near_duplicates.
+NEAR_WIDTH = 2
 
 
 def without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
