@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHUNK = 1_000_000
 BATCH_ROWS = 1_000
@@ -42,6 +43,14 @@ def discard(frame: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(name: str, frame: DataFrame) -> str:
+    """The name, with underscores until no column of the frame has it (in any case)."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -54,7 +63,7 @@ def give_back() -> None:
         pass
 
 
-def in_tasks(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_tasks(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` for rows that hold whole texts: ``BATCH_ROWS`` at a time, as the session
     is told, and with memory given back after each batch."""
     conf = rows.sparkSession.conf

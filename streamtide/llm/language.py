@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamtide.llm.common import LOWER, as_bytes, in_tasks, slices, word_spans
 
@@ -164,7 +165,7 @@ def lettered(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in slices(batch, text):
                 yield part.filter(pa.array([has_letter(x.as_py()) for x in part.column(text)], pa.bool_()))
 
-    return in_tasks(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return in_tasks(docs, run, docs.schema)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -175,7 +176,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     score 0 and no languages. Each row is judged for itself. A column with one of the four
     names is replaced.
     """
-    added = {"lang_pred": "string", "lang_score": "double", "languages": "array<string>", "shares": "array<double>"}
+    added = {"lang_pred": T.StringType(), "lang_score": T.DoubleType(), "languages": T.ArrayType(T.StringType()), "shares": T.ArrayType(T.DoubleType())}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     names = np.array([*model.languages, UNKNOWN])
 
@@ -203,9 +204,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             for part in slices(batch, text):
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + infer(part), [*keep, *added])
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    needed = [*keep, *([] if text in keep else [text])]
-    return in_tasks(docs.select(*needed), run, ", ".join(fields + [f"{k} {v}" for k, v in added.items()]))
+    fields = [docs.schema[c] for c in keep] + [T.StructField(k, v) for k, v in added.items()]
+    needed = [F.col(f"`{c}`") for c in [*keep, *([] if text in keep else [text])]]
+    return in_tasks(docs.select(*needed), run, T.StructType(fields))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Line dedup: repeated runs of lines, by prefix doubling over line names.
 
-The corpus is a sequence of line names (64-bit hashes), documents one after the other by id;
+The corpus is a sequence of line names (128-bit hashes), documents one after the other by id;
 no run crosses documents. Doubling names runs of 1, 2, 4, ... lines: the name of twice as many
 lines is made of two names of the last round, and only places whose name stands elsewhere too
 stay. Places with one name share a prefix of that many lines: they are an interval of the
@@ -18,6 +18,7 @@ a line have all lengths between two bounds, and a text has at most two windows a
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import DARK, as_bytes, in_tasks, slices, span_hashes, stored
+from streamtide.llm.common import DARK, as_bytes, free_name, in_tasks, slices, stored
 
 MIN_WORDS = 50
 #: Documents with deletions and their runs up to these numbers are broadcast, below 64 MB.
@@ -38,6 +39,19 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tie")).alias("doc"), F.col(text).alias("text"))
 
 
+def names_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A 128-bit hash of each byte range, as two longs."""
+    view = memoryview(data)
+    signs = b"".join(hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist()))
+    halves = np.frombuffer(signs, np.int64).reshape(-1, 2)
+    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)], ["a", "b"])
+
+
+def name_of_two(first: str, second: str) -> Column:
+    """The name of two runs put together: two hashes of both names, from different beginnings."""
+    return F.struct(*(F.xxhash64(F.lit(k), first, second).alias(half) for k, half in enumerate("ab")))
+
+
 def line_names(docs: DataFrame, min_words: int) -> DataFrame:
     """doc, line, name, length, most: every line, and the fewest and most lines of the least windows that start with it (0: none)."""
 
@@ -66,7 +80,7 @@ def line_names(docs: DataFrame, min_words: int) -> DataFrame:
         most = np.where(length > 0, np.maximum(length, np.minimum(np.append(to[1:], len(owner)), last) - at), 0)
         return pa.RecordBatch.from_arrays(
             [part.column("doc").take(pa.array(owner)), pa.array(line.astype(np.int32)),
-             pa.array(span_hashes(data, starts, ends).view(np.int64)), pa.array(length.astype(np.int32)),
+             names_of(data.tobytes(), starts, ends), pa.array(length.astype(np.int32)),
              pa.array(most.astype(np.int32))], ["doc", "line", "name", "length", "most"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +88,7 @@ def line_names(docs: DataFrame, min_words: int) -> DataFrame:
             for part in slices(batch):
                 yield names(part)
 
-    return in_tasks(docs, run, "doc struct<id:long,tie:long>, line int, name long, length int, most int")
+    return in_tasks(docs, run, "doc struct<id:long,tie:long>, line int, name struct<a:long,b:long>, length int, most int")
 
 
 def repeated(named: DataFrame) -> DataFrame:
@@ -104,7 +118,7 @@ def windows(docs: DataFrame, min_words: int) -> DataFrame:
         if level.where(F.col("most") >= 2 * size).isEmpty():
             return found
         doubled = with_second(level, level, F.lit(size))
-        level = repeated(doubled.select("doc", "line", F.xxhash64("name", "second").alias("name"), "length", "most"))
+        level = repeated(doubled.select("doc", "line", name_of_two("name", "second").alias("name"), "length", "most"))
         size *= 2
 
 
@@ -150,8 +164,9 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", t
     if rows <= BROADCAST_ROWS and runs <= BROADCAST_RUNS:
         goes = F.broadcast(goes)
     names = [c for c in docs.columns if c != "removed_runs"]
+    doc = free_name("doc", docs)
     key = F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("tie"))
-    joined = docs.select(*names, key.alias("doc__")).join(goes.select(F.col("doc").alias("doc__"), F.col("runs").alias("removed_runs")), "doc__", "left")
+    joined = docs.select(*names, key.alias(doc)).join(goes.select(F.col("doc").alias(doc), F.col("runs").alias("removed_runs")), doc, "left")
     return joined.select(*(kept_text(F.col(c), F.col("removed_runs")).alias(c) if c == text else c for c in names), "removed_runs")
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from streamtide.llm import lines
@@ -83,3 +84,11 @@ def test_digest(docs):
 
 def test_no_rows(empty):
     assert lines.digest(empty).count() == 0 and lines.dedup(empty).columns == [*empty.columns, "removed_runs"]
+
+
+def test_names_are_of_128_bits():
+    data = b"one line" + b"one line" + b"" + b"one lime"
+    got = lines.names_of(data, np.array([0, 8, 16, 16]), np.array([8, 16, 16, 24])).to_pylist()
+    assert got[0] == got[1] and len({tuple(x.values()) for x in got}) == 3
+    for half in "ab":
+        assert len({x[half] for x in got}) == 3

@@ -60,3 +60,16 @@ def test_unlabelled_documents_stay(spark, documents):
     assert left.columns == docs.columns
     got = sorted(r.doc_id for r in left.collect())
     assert got == sorted(r.doc_id for r in docs.collect() if has_letter(r.text)) and 100 < len(got) < docs.count()
+
+
+def test_columns_named_as_those_of_the_operators_stay(spark):
+    body = "\n".join(" ".join(f"line{i}word{k}" for k in range(20)) for i in range(4))
+    rows = [(1, body, "en", "a", 1), (2, f"{body}\nIts own words.", "en", "b", 2), (3, "plain english words", "en", "c", 3)]
+    docs = spark.createDataFrame([(*r, f"l{r[0]}", r[0], f"d{r[0]}", True) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, removed_runs int, doc string, `a.b` boolean")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        left = stage(spark, docs, "/root/testdata/sf0.001")
+        assert left.columns == docs.columns
+        got = {r.doc_id: r for r in left.collect()}
+        assert {d: (r.lang_pred, r.removed_runs, r.doc, r["a.b"]) for d, r in got.items()} == {d: (f"l{d}", d, f"d{d}", True) for d in (1, 2, 3)}
+    assert got[2].text == "Its own words." and got[2].n_chars == 14
