@@ -27,20 +27,33 @@ def without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
     return docs.join(gone, on, "left_anti")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the other columns in one, where no operator's column can take their place."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others, F.lit(None).cast("int").alias("end__")).alias("others__"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that ``packed`` put together, in their order."""
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("others__")[c].alias(c) for c in columns))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (null, or no letter) go, also if none is labelled."""
+    """Documents without a recognisable language (null, or no letter) go, also if none is labelled.
+    Each row is judged for itself, repeated ones alike; columns named as the operator's stay as they are."""
     model = language.fit(docs)
     if not model.languages:
         return language.lettered(docs)
-    known = language.predict(docs, model, keep=docs.columns)
-    return known.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    known = language.predict(packed(docs), model)
+    return unpacked(known.where(F.col("lang_pred") != language.UNKNOWN), docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs are cut out; a document of which only blanks are left goes."""
-    left = lines.dedup(docs)
-    left = left.where(F.col("removed_runs").isNull() | F.col("text").rlike(r"\S"))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Later copies of line runs are cut out; a document of which only blanks are left goes. Null and
+    empty texts stay; repeated rows (same id and text) are one document, so all are cut alike."""
+    left = lines.dedup(packed(docs))
+    left = unpacked(left.where(F.col("removed_runs").isNull() | F.col("text").rlike(r"\S")), docs.columns)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
