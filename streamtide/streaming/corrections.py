@@ -1,54 +1,43 @@
 """Minutes as an upsert stream: a late row corrects its minute.
 
 State holds the sums of a stream and minute while rows come in. Every micro-batch that has rows
-for a minute emits its sums as a new version. A minute without rows for some time leaves the
-state; a row that comes still later opens the minute again, under a new opening. Reading takes
-the last version of each opening and adds the openings up, so no row is lost or counted twice
-however late it is, and the state only holds minutes that have had rows of late.
+for a minute emits its sums as a new version. The state is kept by spans of arrival time: when
+one is over, its minutes leave the state; a row that comes still later opens the minute again,
+under a new opening. Reading takes the last version of each opening and adds the openings up, so
+no row is lost or counted twice however late it is, and the state only holds minutes that have
+had rows of late.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamtide.functions import classes, times
 
 OUT = "name string, minute timestamp, opening long, version long, positive long, negative long, neutral long"
-STATE = "opening long, version long, positive long, negative long, neutral long"
 SUMS = ("positive", "negative", "neutral")
 
 
 def chat_corrections(chat: DataFrame, keep_ms: int = 3_600_000) -> DataFrame:
     """Versions of each channel and minute (OUT), for an update sink.
 
-    ``keep_ms``: how long a minute without rows stays in the state. The watermark is on the time
-    at which rows come in, not on their own: none is ever too late, and the state is still closed
-    as time goes on.
+    ``keep_ms``: how long a span of arrival time is, and so how long a minute without rows stays
+    in the state at most; the first span begins now. An opening is named by the begin of its span,
+    a version by the rows that it has. The watermark is on the time at which rows come in, not on
+    their own: none is ever too late, and the state is still closed as time goes on.
     """
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        now = state.getCurrentProcessingTimeMs()
-        opening, version, *sums = state.get if state.exists else (now, 0, 0, 0, 0)
-        for part in parts:
-            sums = [have + int(part[name].sum()) for have, name in zip(sums, SUMS)]
-        state.update((opening, version + 1, *sums))
-        state.setTimeoutTimestamp(max(now, state.getCurrentWatermarkMs()) + keep_ms)
-        yield pd.DataFrame([(*key, opening, version + 1, *sums)], columns=["name", "minute", "opening", "version", *SUMS])
-
     codes = {"positive": 1, "negative": 2, "neutral": 0}  # those of ``rollups.sentiment_sums``
     rows = chat.select(
         F.col("channel").alias("name"), times.bucket_start(F.col("ts"), "1 minute").alias("minute"),
         F.current_timestamp().alias("seen"), *[classes.indicator(F.col("sentiment") == code).alias(c) for c, code in codes.items()])
-    return rows.withWatermark("seen", "0 seconds").groupBy("name", "minute").applyInPandasWithState(
-        update, OUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    now = int(time.time() * 1000)
+    span = F.window("seen", f"{keep_ms} milliseconds", startTime=f"{now % keep_ms} milliseconds")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS]
+    openings = rows.withWatermark("seen", "0 seconds").groupBy("name", "minute", span).agg(F.count("*").alias("version"), *sums)
+    return openings.select("name", "minute", F.unix_millis("window.start").alias("opening"), "version", *SUMS)
 
 
 def last_versions(versions: DataFrame) -> DataFrame:
