@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from streamtide import schemas
 
@@ -12,6 +13,8 @@ from streamtide import schemas
 ROLL_EVERY = "10 minutes"
 LATENESS = "20 minutes"
 MAX_RECORDS = 1100
+# queries that work off a buffer side by side
+LANES = 12
 
 
 def file_stream(
@@ -71,3 +74,40 @@ def buffered(
     """
     write_rolled(rows, buffer, checkpoint, until_done=True, max_records=max_records).awaitTermination()
     return file_stream(spark, buffer, rows.schema, fmt="parquet", max_files=max_files)
+
+
+def buffered_lanes(
+    spark: SparkSession, rows: DataFrame, buffer: str, checkpoint: str, max_records: int = MAX_RECORDS, max_files: int = 1,
+    lanes: int = LANES,
+) -> list[DataFrame]:
+    """The stream again as ``lanes`` streams, each in micro-batches as those of ``buffered``.
+
+    A bounded micro-batch takes its time however few records it has, so one query after another
+    is as slow as the number of batches; queries on the lanes run side by side, each with a
+    checkpoint of its own. Every ``max_records`` rows the next lane has its turn. A micro-batch
+    of the buffer that is run again replaces its own folder, before any lane is read.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        turn = F.floor(F.monotonically_increasing_id() / max_records) + F.spark_partition_id()
+        dealt = batch.withColumn("lane__", F.pmod(turn, F.lit(lanes)))
+        writer = dealt.write.option("maxRecordsPerFile", max_records).partitionBy("lane__").mode("overwrite")
+        writer.parquet(f"{buffer}/batch={batch_id}")
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return [
+        file_stream(spark, f"{buffer}/batch=*/lane__={k}", rows.schema, fmt="parquet", max_files=max_files) for k in range(lanes)]
+
+
+def work_off(writers: list[DataStreamWriter]) -> None:
+    """Runs the queries side by side until each has worked off what has landed. If one fails,
+    the others are stopped; every query goes on where it was when it is started again."""
+    queries = []
+    try:
+        for writer in writers:
+            queries.append(writer.trigger(availableNow=True).start())
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()

@@ -262,3 +262,39 @@ def test_buffered_batches_are_bounded_and_exact_after_a_restart(spark, tmp_path)
     run()
     assert max(sizes) <= 70 and len(sizes) > 15
     assert sorted(int(m) for own in seen for m in own) == list(range(1033))
+
+
+def test_lanes_run_side_by_side_in_bounded_batches_and_are_exact_after_a_restart(spark, tmp_path):
+    folder, seen, failed = str(tmp_path / "landing"), [], []
+
+    def land(first, n):
+        rows = spark.range(first, first + n).selectExpr(
+            "timestamp '2024-01-01' as ts", "'c' as channel", "cast(id as string) as msg", "cast(id % 3 as int) as sentiment")
+        rows.coalesce(1).write.mode("append").parquet(folder)
+
+    def writer(lane, rows):
+        def write(batch, batch_id):
+            own = [r.msg for r in batch.collect()]
+            if lane == 1 and len(failed) == 0:
+                failed.append(lane)
+                raise RuntimeError("lost")
+            seen.append((lane, batch_id, own))
+
+        return rows.writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / f"lane-{lane}"))
+
+    def run():
+        stream = chat_jobs.file_stream(spark, folder, "ts timestamp, channel string, msg string, sentiment int", "parquet")
+        rows = chat_jobs.buffered_lanes(
+            spark, stream, str(tmp_path / "buffer"), str(tmp_path / "c1"), max_records=70, max_files=2, lanes=3)
+        chat_jobs.work_off([writer(lane, r) for lane, r in enumerate(rows)])
+
+    land(0, 1000)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    land(1000, 33)
+    run()
+    run()
+    assert {lane for lane, _, _ in seen} == {0, 1, 2} and len(seen) > 3
+    assert max(len(own) for _, _, own in seen) <= 140
+    batches = {(lane, batch_id): own for lane, batch_id, own in seen}  # one that is run again replaces its own
+    assert sorted(int(m) for own in batches.values() for m in own) == list(range(1033))

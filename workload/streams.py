@@ -144,22 +144,25 @@ def stream_ingest(spark, sf_dir):
 @query("stream_bounded", f"""WITH {roles.CHAT}
 SELECT name AS channel, msg, CAST(sentiment AS BIGINT) AS sentiment, epoch_us(ts) AS ts_us, FALSE AS too_many FROM chat""")
 def stream_bounded(spark, sf_dir):
-    """Chat in micro-batches of a bounded number of records, in two runs (S13, T1, T7); with each
-    row whether its batch had more."""
+    """Chat in micro-batches of a bounded number of records, in lanes side by side and in two runs
+    (S13, T1, T7); with each row whether its batch had more."""
     root = scratch_folder(spark, "bounded")
     limit = 4 * chat_jobs.MAX_RECORDS
 
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{root}/table/batch={batch_id}")
+    def writer(lane, rows):
+        def write(batch, batch_id):
+            batch.coalesce(1).write.mode("overwrite").parquet(f"{root}/table/lane={lane}/batch={batch_id}")
+
+        return rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint-{lane}")
 
     for _ in range(2):  # the second run finds nothing new
-        rows = chat_jobs.buffered(
+        lanes = chat_jobs.buffered_lanes(
             spark, roles.as_chat(event_stream(spark, sf_dir)), f"{root}/buffer", f"{root}/buffer_checkpoint", max_files=4)
-        writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
-        writer.trigger(availableNow=True).start().awaitTermination()
-    table = spark.read.schema("ts timestamp, channel string, msg string, sentiment int, batch long").parquet(f"{root}/table")
-    sizes = table.groupBy("batch").agg((F.count("*") > limit).alias("too_many"))
-    return table.join(sizes, "batch").select(
+        chat_jobs.work_off([writer(lane, rows) for lane, rows in enumerate(lanes)])
+    schema = "ts timestamp, channel string, msg string, sentiment int, lane long, batch long"
+    table = spark.read.schema(schema).parquet(f"{root}/table")
+    sizes = table.groupBy("lane", "batch").agg((F.count("*") > limit).alias("too_many"))
+    return table.join(sizes, ["lane", "batch"]).select(
         "channel", "msg", F.col("sentiment").cast("long").alias("sentiment"), F.unix_micros("ts").alias("ts_us"), "too_many")
 
 
