@@ -38,6 +38,10 @@ CLASSES = 32
 BLOCK = 4_000_000
 #: Words that a worker remembers, some 200 bytes each; then it begins anew.
 WORDS = 400_000
+#: New words are encoded as one text, so many at a time, with this sign between them: a call and
+#: its result for each word cost as much as the encoding.
+TOGETHER = 256
+MARK = b"|"
 
 #: Kinds of bytes: blank, letter, digit, other sign; the rest (control characters, bytes outside
 #: ASCII) is never parted from its neighbours: it may join them, or a class that they have.
@@ -148,6 +152,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.marks = [str(t).encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[bytes, bytes] = {}
+        mark = self.ids(MARK.decode())
+        self.mark = mark[0] if len(mark) == 1 else None
 
     @classmethod
     def of(cls, definition: str) -> Encoder:
@@ -178,10 +184,26 @@ class Encoder:
         if len(self.words) > WORDS:
             self.words.clear()
         new = [w for w in words if w not in self.words]
+        plain = [w for w in new if MARK not in w] if self.mark is not None else []
+        for at in range(0, len(plain), TOGETHER):
+            self.words.update(self.together(plain[at:at + TOGETHER]))
+        new = [w for w in new if w not in self.words]
         for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
             self.words[word] = np.array(found.ids, np.uint32).tobytes()
         return [self.words[w] for w in words]
 
+    def together(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words encoded as one text, with marks between them; none if the ids do not
+        have just these marks."""
+        text = (b" " + MARK + b" ").join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) != len(words) - 1:
+            return {}
+        raw = ids.tobytes()
+        begins, ends = [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), len(raw)]
+        return {w: raw[a:b] for w, a, b in zip(words, begins, ends)}
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of each; null is empty."""
         data, offsets = as_bytes(texts)

@@ -119,3 +119,14 @@ def test_no_rows_and_no_shuffle(spark, empty):
     assert packing.digest(empty, TOKENIZER_FILE).count() == 0
     plan = packing.digest(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), TOKENIZER_FILE)
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_encoded_together_have_their_own_ids(tokenizer):
+    encoder = packing.Encoder(open(TOKENIZER_FILE, encoding="utf-8").read())
+    words = [w.encode() for t in TEXTS for w in t.split(" ") if w and "<|" not in w] + [f"w{k}".encode() for k in range(600)]
+    words = list(dict.fromkeys([*words, b"|", b"a||b", "x́|y".encode(), "｜".encode()]))
+    own = [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes() for w in words]
+    plain = [(w, x) for w, x in zip(words, own) if b"|" not in w and "｜".encode() not in w]
+    assert encoder.together([w for w, _ in plain]) == dict(plain)
+    assert encoder.together([b"a", b"b|c"]) == {}  # a mark too many
+    assert encoder.pieces_of(words) == own
