@@ -12,8 +12,10 @@ represented by its least id. A sketch has the ``k`` least hashes. The steps:
    meet.
 2. Rounds of stars: each member of a list meets one member drawn for the round, so a list of
    any length gives as many pairs as members. Pairs whose sizes cannot meet the threshold are
-   left out, then those whose union sketch shares too few values (``least_overlap``); the full
-   sets decide.
+   left out, then those whose union sketch shares too few values (``least_overlap``). Of what
+   is left a member is compared with two centres a round, on full sets: the one that most others
+   meet and the one most alike. So a group costs as many comparisons as it has members, however
+   many lists hold them; pairs that were left over come again while their lists are open.
    Links make components, and lists within one component are closed.
 3. When a round has not closed a tenth of the open pairs, the whole sets of the open lists'
    members are joined: values in the order of their frequency, with prefix, size and position
@@ -184,6 +186,20 @@ def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.groupBy(*ends).agg(F.min("other").alias("hub"))
 
 
+def spoke_of() -> Column:
+    return F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+
+
+def nearest_hubs(pairs: DataFrame, turn: int) -> DataFrame:
+    """Of the pairs a, b, hub, alike of a spoke two at most: that with the centre that was drawn
+    first, as for most members of a group, and that with the most values shared."""
+    ends = F.struct("a", "b", "hub")
+    first = F.min_by(ends, F.struct(F.xxhash64("hub", F.lit(turn)), "hub"))
+    best = F.max_by(ends, F.struct("alike", F.xxhash64("hub", F.lit(turn)), "hub"))
+    picked = pairs.groupBy(spoke_of().alias("spoke")).agg(F.array_distinct(F.array(first, best)).alias("picked"))
+    return picked.select(F.inline("picked"))
+
+
 def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b, bound: of the members of the open lists all that may meet the threshold and have
     different parts, with the overlap that they cannot exceed.
@@ -260,8 +276,7 @@ def links(docs: DataFrame, classes: DataFrame, drawn: DataFrame, width: int, per
     def compared(near: DataFrame) -> None:
         """Adds the links among the pairs to the components."""
         nonlocal edges, parts
-        spoke = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))
-        sure = stored(linked(with_sets(near.select("hub", spoke.alias("spoke")), sets), percent), "links")
+        sure = stored(linked(with_sets(near.select("hub", spoke_of().alias("spoke")), sets), percent), "links")
         if not sure.isEmpty():
             edges = parts = stars(sure if edges is None else edges.union(sure))
 
@@ -275,7 +290,9 @@ def links(docs: DataFrame, classes: DataFrame, drawn: DataFrame, width: int, per
         if tested is not None:
             met = met.join(tested, ["a", "b"], "left_anti")
         both = with_both(met, kept, "sketch", "sketch")
-        near = stored(both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select("a", "b", "hub"), "near")
+        alike = both.where(sketches_agree(F.col("sketch_a"), F.col("sketch_b"), k, percent)).select(
+            "a", "b", "hub", F.size(F.array_intersect("sketch_a", "sketch_b")).alias("alike"))
+        near = stored(nearest_hubs(alike, turn), "near")
         compared(near)
         tested = near.select("a", "b") if tested is None else tested.union(near.select("a", "b"))
         turn, before = turn + 1, pairs

@@ -104,3 +104,15 @@ def test_stars_reach_the_least_node(spark):
     path = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 9), (9, 9), (3, 7)]
     got = {r.b: r.a for r in stars(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, 7: 3, 9: 3}
+
+
+def test_a_member_meets_two_centres_a_round(spark):
+    rows = [(0, s, h, s * h % 7) for s in range(1, 40) for h in range(100, 130)]
+    pairs = spark.createDataFrame([(s, h, h, alike) for _, s, h, alike in rows], "a long, b long, hub long, alike int")
+    picked = [tuple(r) for r in neardup.nearest_hubs(pairs, 3).collect()]
+    by_spoke = {s: [h for a, h, _ in picked if a == s] for s in range(1, 40)}
+    assert len(picked) == len(set(picked)) and all(1 <= len(hubs) <= 2 for hubs in by_spoke.values())
+    common = set.intersection(*map(set, by_spoke.values()))
+    assert common  # the centre drawn first is the same for all
+    for s, hubs in by_spoke.items():
+        assert any(s * h % 7 == max(s * x % 7 for x in range(100, 130)) for h in hubs)
