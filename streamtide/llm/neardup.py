@@ -19,9 +19,12 @@ represented by its least id. A sketch has the ``k`` least hashes. The steps:
    Links make components, and lists within one component are closed.
 3. When a round has not closed a tenth of the open pairs, the whole sets of the open lists'
    members are joined: values in the order of their frequency, with prefix, size and position
-   filters, for members whose components differ. Of these pairs a few for each two components
-   are compared first, then all whose components still differ. No pair that could link two
-   components is left untested.
+   filters, for members whose components differ. Values that stand in the prefixes of many make
+   these a crowd. Its members are told by their differences from the values that most of it
+   have: two sets differ as their differences do, and the edits of a member, unlike the text
+   that all share, are met by few (``differing_pairs``). Of these pairs a few for each two
+   components are compared first, then all whose components still differ. No pair that could
+   link two components is left untested.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ K = 96
 MISS = 1e-10
 #: In the last round, so many pairs of two components are tried before all others.
 PICKS = 32
+#: A value in the prefixes of more members than this makes them a crowd.
+CROWD = 64
 #: Sets to be compared are broadcast up to this size; beyond it pairs and sets are shuffled.
 BROADCAST_BYTES = 32_000_000
 #: Rows of ids and keys (24 bytes at most) up to this number are broadcast, 48 MB; beyond it
@@ -214,13 +219,72 @@ def all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     backwards = Window.partitionBy("id").orderBy(F.desc("c"), F.desc("hash"))
     shared = values.join(frequency, "hash").withColumn("left", F.row_number().over(backwards)).drop("c").join(few(own), "id")
     prefix = stored(shared.where(F.col("left") * 100 >= F.col("n") * percent), "prefix")
-    other = prefix.select("hash", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "part", "left"))).withColumnRenamed("other_id", "other")
-    at_most = F.least("left", "other_left")
-    met = prefix.join(other, "hash").where(
-        (F.col("id") < F.col("other")) & (F.col("part") != F.col("other_part"))
-        & (at_most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent))
-    ends = F.col("id").alias("a"), F.col("other").alias("b"), F.col("part").alias("part_a"), F.col("other_part").alias("part")
-    return met.groupBy(*ends).agg(F.max(at_most).alias("bound"))
+    crowded = stored(prefix.groupBy("hash").agg(F.count("*").alias("c"), F.min("id").alias("centre")).where(F.col("c") > CROWD).drop("c"), "crowded")
+    at_most, both = F.least("left", "other_left"), F.col("n") + F.col("other_n")
+    met = across(prefix.join(few(crowded), "hash", "left_anti"), ["hash"], at_most * (100 + percent) >= both * percent, at_most)
+    if crowded.isEmpty():
+        return met
+    crowds = stars(prefix.join(few(crowded), "hash").select(F.col("centre").alias("a"), F.col("id").alias("b")))
+    met = met.unionByName(differing_pairs(stored(differences(own, sets, crowds), "differences"), percent))
+    return met.groupBy("a", "b", "part_a", "part").agg(F.max("bound").alias("bound"))
+
+
+def across(rows: DataFrame, on: list[str], enough: Column, bound: Column) -> DataFrame:
+    """a, b, part_a, part, bound of the rows that share ``on``, have different parts and meet the
+    condition; in it the columns of the other row begin with other_."""
+    other = rows.select(*on, *(F.col(c).alias(f"other_{c}") for c in rows.columns if c not in on))
+    met = rows.join(other, on).where((F.col("id") < F.col("other_id")) & (F.col("part") != F.col("other_part")) & enough)
+    ends = F.col("id").alias("a"), F.col("other_id").alias("b"), F.col("part").alias("part_a"), F.col("other_part").alias("part")
+    return met.groupBy(*ends).agg(F.max(bound).alias("bound"))
+
+
+def differences(own: DataFrame, sets: DataFrame, crowds: DataFrame) -> DataFrame:
+    """crowd, id, n, part, key (of the set), hashes: the values that a member has and most of its
+    crowd have not, and those that most have and it has not. ``crowds`` has components as ``stars``
+    gives them. What most have has at most twice the values of a member on the average."""
+    named = stored(crowds.union(crowds.select("a", F.col("a").alias("b"))).distinct().select(F.col("b").alias("id"), F.col("a").alias("crowd")), "crowds")
+    rows = sets.join(few(named), "id").join(few(own), "id").where(F.size("hashes") == F.col("n"))
+    members = stored(rows.groupBy("crowd").agg(F.count("*").alias("members")), "crowd-sizes")
+    counts = rows.select("crowd", F.explode("hashes").alias("hash")).groupBy("crowd", "hash").agg(F.count("*").alias("c"))
+    common = counts.join(few(members), "crowd").where("2 * c > members").groupBy("crowd").agg(F.collect_list("hash").alias("common"))
+    common, small = light(stored(common, "common"), "common")
+    told = rows.join(F.broadcast(common) if small else common, "crowd", "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
+    apart = F.concat(F.array_except("hashes", "common"), F.array_except("common", "hashes"))
+    return told.select("crowd", "id", "n", "part", F.xxhash64("hashes").alias("key"), apart.alias("hashes"))
+
+
+def differing_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """a, b, part_a, part, bound as ``all_pairs`` has them, of members of one crowd.
+
+    Sets A and B have |A - B| + |B - A| = d + e - 2 s values apart, with d and e differences from
+    what is common and s of them shared. The threshold allows (n + m) (100 - percent) / (100 +
+    percent), so 2 (100 + percent) s must reach the sum of the two weights. Differences stand in
+    order, those that the fewest members have first, as values do in ``all_pairs``. Where the sum
+    is not positive the pair is linked; so is each of the two with the member of least weight,
+    and these pairs stand for all such.
+    """
+    apart = F.size("hashes").cast("long")
+    weight = apart * (100 + percent) - F.col("n") * (100 - percent)
+    rows = members.withColumn("apart", apart).withColumn("weight", weight)
+    values = rows.withColumn("hash", F.explode("hashes")).drop("hashes")
+    frequency = values.groupBy("crowd", "hash").agg(F.count("*").alias("c")).where("c > 1")
+    backwards = Window.partitionBy("id", "key").orderBy(F.desc("c"), F.desc("hash"))
+    shared = values.join(frequency, ["crowd", "hash"]).withColumn("left", F.row_number().over(backwards)).drop("c")
+    # a partner has at most 100 / percent times the values, and so at least the own weight less 2 (100 - percent) for each
+    prefix = stored(shared.where(F.col("left") * (100 + percent) * percent >= F.col("weight") * percent - F.col("n") * 100 * (100 - percent)), "edits")
+    at_most, weights = F.least("left", "other_left"), F.col("weight") + F.col("other_weight")
+    enough = (weights > 0) & (at_most * 2 * (100 + percent) >= weights) & sizes_agree(F.col("n"), F.col("other_n"), percent)
+    shared_before = ((F.col("n") + F.col("other_n") - F.col("apart") - F.col("other_apart")) / 2).cast("long")
+    met = across(prefix, ["crowd", "hash"], enough, shared_before + at_most)
+
+    least = stored(rows.groupBy("crowd").agg(F.min(F.struct("weight", "id", "n", "part")).alias("least")), "least")
+    sure = rows.drop("hashes").join(few(least), "crowd").where("weight + least.weight <= 0 and id != least.id and part != least.part")
+    first = F.col("id") < F.col("least.id")
+    return met.unionByName(sure.select(
+        F.least("id", "least.id").alias("a"), F.greatest("id", "least.id").alias("b"),
+        F.when(first, F.col("part")).otherwise(F.col("least.part")).alias("part_a"),
+        F.when(first, F.col("least.part")).otherwise(F.col("part")).alias("part"),
+        F.least("n", "least.n").alias("bound")))
 
 
 def best_pairs(pairs: DataFrame, parts: DataFrame | None, picks: int | None) -> DataFrame:

@@ -116,3 +116,45 @@ def test_a_member_meets_two_centres_a_round(spark):
     assert common  # the centre drawn first is the same for all
     for s, hubs in by_spoke.items():
         assert any(s * h % 7 == max(s * x % 7 for x in range(100, 130)) for h in hubs)
+
+
+def crowd_of(spark, rng, members):
+    """Sets of one text with edits of its own in each, mostly too many to link any two."""
+    base = list(range(1, 148))
+    sets = []
+    for k in range(members):
+        gone = set(rng.sample(base, rng.randrange(9, 15)))
+        sets.append((k, sorted(x for x in base if x not in gone) + [1000 * (k + 1) + i for i in range(len(gone))]))
+    members = spark.createDataFrame([(k, len(s), k) for k, s in sets], "id long, n long, part long")
+    return dict(sets), members, spark.createDataFrame(sets, "id long, hashes array<long>")
+
+
+def test_a_crowd_that_does_not_link_is_not_joined_in_all_pairs(spark):
+    sets, members, rows = crowd_of(spark, random.Random(4), 300)
+    met = {(r.a, r.b): r.bound for r in neardup.all_pairs(members, rows, 80).collect()}
+    linked = 0
+    for a in sets:
+        for b in range(a + 1, len(sets)):
+            both = len(set(sets[a]) & set(sets[b]))
+            if 180 * both >= 80 * (len(sets[a]) + len(sets[b])):
+                linked += 1
+                assert met[a, b] >= both
+    assert linked and len(met) < 300 * 299 / 2 / 3
+
+
+def test_crowds_equal_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "CROWD", 2)
+    some = docs.where("doc_id >= 60000")
+    rows = [(r.doc_id, r.text) for r in some.select("doc_id", "text").collect()]
+    assert sorted(tuple(r) for r in neardup.groups(some, 2).collect()) == brute(rows, 2, 80)
+
+
+def test_members_near_what_a_crowd_shares_are_linked_by_one(spark):
+    base = list(range(1, 101))
+    sets = [(k, base[:k] + base[k + 1:] + [1000 + k]) for k in range(80)] + [(90, base), (91, list(range(5000, 5100)))]
+    members = spark.createDataFrame([(k, len(s), k) for k, s in sets], "id long, n long, part long")
+    rows = spark.createDataFrame(sets, "id long, hashes array<long>")
+    crowds = spark.createDataFrame([(0, k) for k, _ in sets[1:]], "a long, b long")
+    told = neardup.differences(members, rows, crowds).cache()
+    assert {r.id: sorted(r.hashes) for r in told.collect()} == {k: sorted(set(s) ^ set(base)) for k, s in sets}
+    assert sorted((r.a, r.b) for r in neardup.differing_pairs(told, 80).collect()) == [(k, 90) for k in range(80)]
