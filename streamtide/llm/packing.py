@@ -15,14 +15,18 @@ partitions give the same sequences, so a task that runs again returns what it di
 
 Tokenising costs most. Ids depend on words alone, so a text is split where the tokenizer is sure
 to split it, each different word is encoded once, and a worker remembers them, up to ``WORDS``.
+Where the tokenizer lower-cases, words of ASCII and Latin-1 letters are lower-cased first, and of
+those that are all letters its model makes the ids: the rules before it leave them as they are.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import as_bytes, in_tasks, slices, span_hashes
+from streamtide.llm.common import LOWER, as_bytes, in_tasks, slices, span_hashes
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 CAPACITY = 2048
 CLASSES = 32
@@ -43,6 +50,14 @@ WORDS = 400_000
 TOGETHER = 256
 MARK = b"|"
 
+#: Rules under which words of ASCII and Latin-1 letters have the ids of their lower case, and words
+#: of small letters of these reach the model unchanged and whole.
+LOWERING = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTING = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 #: Kinds of bytes: blank, letter, digit, other sign; the rest (control characters, bytes outside
 #: ASCII) is never parted from its neighbours: it may join them, or a class that they have.
 BLANK, LETTER, DIGIT, SIGN, GLUE = range(5)
@@ -58,6 +73,12 @@ def kinds() -> np.ndarray:
 
 
 KIND = kinds()
+#: The letters of Latin-1 outside ASCII are the byte LEAD and one of SECOND, two signs left out.
+LEAD = 0xC3
+SECOND = np.zeros(256, bool)
+SECOND[0x80:0xC0] = True
+SECOND[[0x97, 0xB7]] = False
+SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f\xa0-\xb6\xb8-\xbf])+")
 APOSTROPHE = 39
 
 
@@ -147,6 +168,7 @@ class Encoder:
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
@@ -154,6 +176,12 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         mark = self.ids(MARK.decode())
         self.mark = mark[0] if len(mark) == 1 else None
+        rules = json.loads(definition)
+        self.letters = None
+        if rules["normalizer"] == LOWERING and rules["pre_tokenizer"] == SPLITTING:
+            self.letters = Tokenizer.from_str(definition)  # for words of small letters
+            self.letters.normalizer = None
+            self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
 
     @classmethod
     def of(cls, definition: str) -> Encoder:
@@ -165,10 +193,19 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def kinds_of(self, data: np.ndarray) -> np.ndarray:
+        """The kind of each byte; letters of Latin-1 are letters if the rules are known."""
+        kind = KIND[data]
+        if self.letters is not None:
+            lead = np.flatnonzero(data[:-1] == LEAD)
+            lead = lead[SECOND[data[lead + 1]]]
+            kind[lead] = kind[lead + 1] = LETTER
+        return kind
+
     def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where words begin and end: at blanks, at the borders of texts, and between two signs
         of ASCII of different kinds, but for an apostrophe and the letters after it."""
-        kind = KIND[data]
+        kind = self.kinds_of(data)
         dark = kind != BLANK
         parted = np.zeros(len(data) + 1, bool)
         parted[offsets] = True
@@ -179,24 +216,42 @@ class Encoder:
         ends = np.flatnonzero(dark & parted[1:]) + 1
         return starts, ends
 
+    def lowered(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The bytes with the words of ASCII and Latin-1 letters in lower case, if they have the same
+        ids so; in other words an accent may join a capital and not its small letter."""
+        if self.letters is None:
+            return data
+        letter = self.kinds_of(data) == LETTER
+        others = np.concatenate([np.zeros(1, np.int64), np.cumsum((data >= 128) & ~letter)])
+        kept = others[ends] > others[starts]
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[kept]] += 1
+        inside[ends[kept]] -= 1
+        low = LOWER[data]
+        low[letter & (data >= 0x80) & (data <= 0x9E)] += 0x20
+        return np.where(np.cumsum(inside[:-1]) > 0, data, low)
+
     def pieces_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, 4 bytes each."""
         if len(self.words) > WORDS:
             self.words.clear()
         new = [w for w in words if w not in self.words]
-        plain = [w for w in new if MARK not in w] if self.mark is not None else []
-        for at in range(0, len(plain), TOGETHER):
-            self.words.update(self.together(plain[at:at + TOGETHER]))
-        new = [w for w in new if w not in self.words]
+        for tokenizer, fits in ((self.letters, SMALL.fullmatch), (self.tokenizer, lambda w: MARK not in w)):
+            if tokenizer is None or self.mark is None:
+                continue
+            some = [w for w in new if fits(w)]
+            for at in range(0, len(some), TOGETHER):
+                self.words.update(self.together(some[at:at + TOGETHER], tokenizer))
+            new = [w for w in new if w not in self.words]
         for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
             self.words[word] = np.array(found.ids, np.uint32).tobytes()
         return [self.words[w] for w in words]
 
-    def together(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def together(self, words: list[bytes], tokenizer: Tokenizer | None = None) -> dict[bytes, bytes]:
         """The ids of words encoded as one text, with marks between them; none if the ids do not
         have just these marks."""
         text = (b" " + MARK + b" ").join(words).decode()
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         marks = np.flatnonzero(ids == self.mark)
         if len(marks) != len(words) - 1:
             return {}
@@ -216,6 +271,8 @@ class Encoder:
         starts, ends = self.spans(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        data = self.lowered(data, starts, ends)
+        raw = data.tobytes()
         _, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         sizes = ends - starts
         flat = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())

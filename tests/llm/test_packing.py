@@ -130,3 +130,24 @@ def test_words_encoded_together_have_their_own_ids(tokenizer):
     assert encoder.together([w for w, _ in plain]) == dict(plain)
     assert encoder.together([b"a", b"b|c"]) == {}  # a mark too many
     assert encoder.pieces_of(words) == own
+
+
+def test_words_of_letters_are_encoded_by_the_model_alone(tokenizer):
+    encoder = packing.Encoder(open(TOKENIZER_FILE, encoding="utf-8").read())
+    assert encoder.letters is not None
+    texts = ["É é ÉÑß ÀÞ×÷ß ÿŸ qué. É́ Ç,!! \x27É d\x27É É1é ÉǺx ßẞ", "Word WORD word wOrd's IT'S H̱ ẖ J̌x Éa İI KK <|ENDOFTEXT|> A1B|C", "ÅÄ A\x1cB Z\x7fz ABC\x0bDEF", "AB" * 500]
+    ids, counts = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [x for t in texts for x in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert b"word" in encoder.words and b"Word" not in encoder.words
+    calls = []
+    encoder.tokenizer = type("Counted", (), {"encode_batch_fast": lambda self, words, **_: calls.extend(words) or []})()
+    encoder.pieces_of([b"entirely", b"fresh", b"letters"])
+    assert not calls or calls == [[]]
+
+
+def test_other_rules_are_not_taken_for_these(tokenizer):
+    rules = open(TOKENIZER_FILE, encoding="utf-8").read().replace('"Lowercase"', '"NFD"', 1)
+    encoder = packing.Encoder(rules)
+    texts = ["Word WORD word", "É H̱ x"]
+    assert encoder.letters is None
+    assert encoder.encode(pa.array(texts))[0].tolist() == [x for t in texts for x in encoder.tokenizer.encode(t, add_special_tokens=False).ids]
