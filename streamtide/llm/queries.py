@@ -33,7 +33,7 @@ def op2_pieces(spark: SparkSession, sf_dir: str, model_file: str | None = None)
 
 
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.digest(table(spark, sf_dir, "documents"))
+    return suffixes.digest(table(spark, sf_dir, "documents"), passage=suffixes.PASSAGE)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,9 @@ neighbour in its own run.
    range, the trees of many narrower ranges (lanes) are played side by side.
 5. The marks, one bit for each entry, go back to the packet and become places in the texts.
 
+Passages are found in the same way, with words (between white space) in place of bytes: 50
+words have fewer than 400 bytes in most texts. They are counted, not removed.
+
 Two different windows have one fingerprint with probability 2**-64.
 """
 
@@ -28,13 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamtide.llm.common import INVERSE, as_bytes, in_tasks, mixed, powers, prefix_sums, slices, stored
+from streamtide.llm.common import BASE, DARK, INVERSE, as_bytes, in_tasks, mixed, powers, prefix_sums, slices, span_hashes, stored, word_spans
 
 WINDOW = 400
 GRAM = 200
+#: Words of a passage; a word.
+PASSAGE = 50
+WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text hashed at once and in a packet, unless one document has more; entries in a range.
 PART = 1_000_000
 PACKET = 1_000_000
@@ -45,9 +51,21 @@ BROADCAST_ROWS = 400_000
 BROADCAST_ENTRIES = 4_000_000
 
 
+def units_of(column: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts, or the 64-bit hashes of their words, end to end, and the offsets."""
+    data, offsets = as_bytes(column)
+    if not words:
+        return data, offsets
+    starts, ends, firsts = word_spans(data, offsets, DARK)
+    return span_hashes(data, starts, ends), firsts
+
+
 def hashes_at(data: np.ndarray, places: np.ndarray | None, size: int) -> np.ndarray:
-    """The hash of the ``size`` bytes from each place, by default from every one."""
-    sums = prefix_sums(data)
+    """The hash of the ``size`` bytes (or words) from each place, by default from every one."""
+    if data.dtype == np.uint8:
+        sums = prefix_sums(data)
+    else:
+        sums = np.append(np.uint64(0), np.cumsum(data * powers(BASE, len(data)), dtype=np.uint64))
     back = powers(INVERSE, len(data) + 1)
     if places is None:
         return mixed((sums[size:] - sums[:len(data) - size + 1]) * back[:len(data) - size + 1])
@@ -93,13 +111,13 @@ def chosen_grams(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     return owner[first], found[first], np.diff(np.append(np.flatnonzero(first), len(order)))
 
 
-def grams_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
+def grams_of(docs: DataFrame, window: int, gram: int, words: bool) -> DataFrame:
     """doc, gram, n: the least grams of each text and the number of their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=PART):
-                data, offsets = as_bytes(part.column("text"))
+                data, offsets = units_of(part.column("text"), words)
                 if len(data) >= window:
                     owner, found, n = chosen_grams(data, offsets, window, gram)
                     yield pa.RecordBatch.from_arrays(
@@ -113,14 +131,14 @@ PACKET_FIELDS = pa.schema([
     ("owner", pa.list_(pa.int32())), ("start", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("data", pa.binary())])
 
 
-def packets_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
+def packets_of(docs: DataFrame, window: int, gram: int, words: bool) -> DataFrame:
     """packet; docs; for each stretch its document, first place and number of windows; data.
 
     ``docs`` has the grams that stand at two places: ``shared``.
     """
 
     def stretches(part: pa.RecordBatch):
-        data, offsets = as_bytes(part.column("text"))
+        data, offsets = units_of(part.column("text"), words)
         if len(data) < window:
             return
         _, least, inside = least_grams(data, offsets, window, gram)
@@ -160,9 +178,9 @@ def packets_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return in_tasks(docs, run, "packet string, docs array<struct<id:long,tie:long>>, owner array<int>, start array<long>, n array<long>, data binary")
 
 
-def run_of(data: bytes, n: np.ndarray, window: int):
+def run_of(data: bytes, n: np.ndarray, window: int, words: bool):
     """The sorted keys of a packet's suffixes, their numbers, and the key of each suffix."""
-    text = np.frombuffer(data, np.uint8)
+    text = np.frombuffer(data, np.uint64 if words else np.uint8)
     begins = np.cumsum(n + window - 1) - (n + window - 1)
     places = np.repeat(begins - (np.cumsum(n) - n), n) + np.arange(n.sum())
     return np.unique(hashes_at(text, places, window), return_inverse=True, return_counts=True)
@@ -263,14 +281,14 @@ class LoserTrees:
                 node >>= 1
 
 
-def marked(packets: DataFrame, ranges: int, window: int) -> DataFrame:
+def marked(packets: DataFrame, ranges: int, window: int, words: bool) -> DataFrame:
     """packet, marks: for each packet the marks of its run, in pieces by range."""
     bits = ranges.bit_length() - 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, n, data in zip(batch.column("packet"), batch.column("n"), batch.column("data")):
-                keys = run_of(data.as_py(), n.values.to_numpy(), window)[0]
+                keys = run_of(data.as_py(), n.values.to_numpy(), window, words)[0]
                 which = (keys >> np.uint64(64 - bits)).astype(np.int64)
                 edges = np.searchsorted(which, np.arange(ranges + 1))
                 rows = [(k, a, b) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
@@ -298,8 +316,8 @@ def union_of(starts: np.ndarray, window: int) -> list[dict]:
     return [{"from": int(a), "to": int(b) + window} for a, b in zip(starts[first], starts[last])]
 
 
-def spans_in(packets: DataFrame, ranges: int, window: int) -> DataFrame:
-    """doc, removed: the byte ranges of each document that marked windows cover. ``packets``
+def spans_in(packets: DataFrame, ranges: int, window: int, words: bool) -> DataFrame:
+    """doc, removed: the ranges (bytes or words) of each document that marked windows cover. ``packets``
     has the marks."""
     bits = ranges.bit_length() - 1
 
@@ -307,7 +325,7 @@ def spans_in(packets: DataFrame, ranges: int, window: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 n = batch.column("n")[row].values.to_numpy()
-                keys, each, counts = run_of(batch.column("data")[row].as_py(), n, window)
+                keys, each, counts = run_of(batch.column("data")[row].as_py(), n, window, words)
                 which = (keys >> np.uint64(64 - bits)).astype(np.int64)
                 twice = counts > 1
                 for piece in batch.column("marks")[row].as_py():
@@ -335,37 +353,52 @@ def small(frame: DataFrame, entries: str | None = None) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_ROWS and held <= BROADCAST_ENTRIES else frame
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def spans_of(texts: DataFrame, window: int, gram: int, words: bool = False) -> DataFrame:
+    """doc, removed: the ranges of each text that repeated strings of ``window`` bytes or words
+    cover; ``texts`` (doc, text) has no copies. Stored, a row for each text with ranges."""
+    grams = stored(grams_of(texts, window, gram, words), "grams")
+    twice = grams.groupBy("gram").agg(F.sum("n").alias("places")).where("places > 1").select("gram")
+    shared = stored(grams.join(twice, "gram").groupBy("doc").agg(F.collect_set("gram").alias("shared")), "shared")
+    packets = stored(packets_of(texts.join(small(shared, "shared"), "doc"), window, gram, words), "packets")
+    total = packets.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    ranges = max(LEAST_RANGES, 1 << (total // RANGE).bit_length())
+    marks = stored(marked(packets, ranges, window, words), "marks")
+    return stored(spans_in(packets.join(marks, "packet"), ranges, window, words).dropDuplicates(["doc"]), "spans")
+
+
+def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text", passage: int = 0) -> DataFrame:
     """doc_id, text, removed: the byte ranges (from, to) of each text that repeated strings of
     ``window`` bytes cover, in order, none touching the next; a row for each row of ``docs``.
 
     A string is repeated if it also starts at another place of any row's text, the same one
     included; repeated rows are copies of each other. A null text is empty; texts shorter than
     ``window`` bytes have none. Other columns are not read.
+
+    With ``passage``, a column passages follows: the ranges of words, counted from 0, that
+    repeated strings of so many words cover, whatever white space stands between them.
     """
     rows = docs.select(
         F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("tie")).alias("doc"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    long = rows.where(F.octet_length("text") >= window)
+    size = F.octet_length("text")
+    least = min(window, 2 * passage - 1) if passage else window
+    long = rows.where(size >= least)
     classes = long.groupBy(F.md5("text").alias("digest")).agg(F.min("doc").alias("first"), F.count("*").alias("copies"))
     copies = small(stored(classes.where("copies > 1").select("digest", "first"), "copies"))
     single = long.withColumn("digest", F.md5("text")).join(copies, "digest", "left").where(F.col("first").isNull() | (F.col("first") == F.col("doc")))
     single = single.select("doc", "text")
-    grams = stored(grams_of(single, window, gram), "grams")
-    twice = grams.groupBy("gram").agg(F.sum("n").alias("places")).where("places > 1").select("gram")
-    shared = stored(grams.join(twice, "gram").groupBy("doc").agg(F.collect_set("gram").alias("shared")), "shared")
-    packets = stored(packets_of(single.join(small(shared, "shared"), "doc"), window, gram), "packets")
-    total = packets.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    ranges = max(LEAST_RANGES, 1 << (total // RANGE).bit_length())
-    marks = stored(marked(packets, ranges, window), "marks")
-    found = spans_in(packets.join(marks, "packet"), ranges, window).dropDuplicates(["doc"])
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.octet_length("text").cast("long").alias("to")))
-    digest = F.when(F.octet_length("text") >= window, F.md5("text"))
-    return (
-        rows.join(small(stored(found, "spans"), "removed"), "doc", "left").withColumn("digest", digest).join(copies, "digest", "left")
-        .select(F.col("doc.id").alias("doc_id"), "text",
-                F.when(F.col("first").isNotNull(), whole).otherwise(F.coalesce("removed", F.array().cast("array<struct<from:long,to:long>>"))).alias("removed"))
-    )
+
+    def ranges(found: str, length: Column, least: int) -> Column:
+        whole = F.array(F.struct(F.lit(0).cast("long").alias("from"), length.cast("long").alias("to")))
+        return F.when(F.col("first").isNotNull() & (length >= least), whole).otherwise(F.coalesce(found, F.array().cast("array<struct<from:long,to:long>>")))
+
+    found = rows.join(small(spans_of(single.where(size >= window), window, gram), "removed"), "doc", "left")
+    columns = [F.col("doc.id").alias("doc_id"), "text", ranges("removed", size, window).alias("removed")]
+    if passage:
+        spans = spans_of(single, passage, max(1, passage // 2), words=True).withColumnRenamed("removed", "passages")
+        found = found.join(small(spans, "passages"), "doc", "left")
+        columns.append(ranges("passages", F.regexp_count("text", F.lit(WORD)), passage).alias("passages"))
+    return found.withColumn("digest", F.when(size >= least, F.md5("text"))).join(copies, "digest", "left").select(*columns)
 
 
 def outside(text: str, removed: list[dict]) -> bytes:
@@ -389,17 +422,23 @@ def cut(found: DataFrame) -> DataFrame:
     return in_tasks(found, run, "doc_id long, kept binary")
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, and the hash of the bytes that are left."""
+def digest(docs: DataFrame, passage: int = 0) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, and the hash of the bytes that are left; with
+    ``passage``, also the number of repeated passages of so many words or more and of their words."""
+    counts = ["n_passages", "n_passage_words"] if passage else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=PART):
                 kept = [outside(t.as_py(), r.as_py()) for t, r in zip(part.column("text"), part.column("removed"))]
                 yield pa.RecordBatch.from_arrays([
-                    *(part.column(c) for c in ("doc_id", "n_bytes", "n_spans")), pa.array([len(x) for x in kept], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())], ["doc_id", "n_bytes", "n_spans", "n_kept", "kept_sha256"])
-
-    found = repeats(docs).withColumns({"n_bytes": F.octet_length("text").cast("long"), "n_spans": F.size("removed").cast("long")})
-    left = in_tasks(found, run, "doc_id long, n_bytes long, n_spans long, n_kept long, kept_sha256 string")
-    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.col("n_kept")).alias("n_removed"), "n_spans", "kept_sha256")
+                    *(part.column(c) for c in ("doc_id", "n_bytes", "n_spans", *counts)), pa.array([len(x) for x in kept], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())], ["doc_id", "n_bytes", "n_spans", *counts, "n_kept", "kept_sha256"])
+
+    found = repeats(docs, passage=passage) if passage else repeats(docs)
+    found = found.withColumns({"n_bytes": F.octet_length("text").cast("long"), "n_spans": F.size("removed").cast("long")})
+    if passage:
+        n_words = F.aggregate("passages", F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"])
+        found = found.withColumns({"n_passages": F.size("passages").cast("long"), "n_passage_words": n_words}).drop("passages")
+    left = in_tasks(found, run, f"doc_id long, n_bytes long, n_spans long, {''.join(f'{c} long, ' for c in counts)}n_kept long, kept_sha256 string")
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.col("n_kept")).alias("n_removed"), "n_spans", "kept_sha256", *counts)
